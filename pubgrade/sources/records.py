@@ -163,10 +163,21 @@ def extract_work_records(members: DataFrame) -> DataFrame:
     )
 
 
+def read_xml_records(spark: SparkSession, paths: str | list[str], tag: str) -> DataFrame:
+    """One row (xml) per element of a tag in large XML files.
+
+    The end tag serves as the separator of a text source, which Spark can split;
+    the XML source reads a whole file in one task.
+    """
+    parts = spark.read.option("lineSep", f"</{tag}>").text(paths)
+    start = F.regexp_extract("value", rf"(?s)<{tag}[\s>].*", 0)
+    return parts.select(start.alias("start")).where("start <> ''").select(F.concat("start", F.lit(f"</{tag}>")).alias("xml"))
+
+
 def read_legal_entities(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(id, name) of every legal entity; one large XML file is read in splits."""
-    records = spark.read.format("xml").options(rowTag="lei:LEIRecord", **_XML).schema(LEGAL_ENTITY).load(paths)
-    return records.select(F.col("`lei:LEI`").alias("id"), F.col("`lei:Entity`.`lei:LegalName`").alias("name"))
+    """(id, name) of every legal entity."""
+    records = read_xml_records(spark, paths, "lei:LEIRecord").select(F.from_xml("xml", LEGAL_ENTITY, _XML).alias("r"))
+    return records.select(F.col("r.`lei:LEI`").alias("id"), F.col("r.`lei:Entity`.`lei:LegalName`").alias("name"))
 
 
 def read_items(spark: SparkSession, paths: str | list[str]) -> DataFrame:
