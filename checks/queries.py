@@ -63,7 +63,9 @@ def view_query(view: str, select: Callable[[DataFrame], DataFrame]) -> Query:
 
 def indicator_query(metric: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        frame = metrics.indicators(load(spark, sf_dir), [metric], AS_OF_YEAR)
+        registries = ("ROR", "lei", "fundref") if metric == "CorrectValue" else ()
+        entities = load(spark, sf_dir, "works", "persons", "orgUnits", *registries)
+        frame = metrics.indicators(entities, [metric], AS_OF_YEAR)
         return frame.select("metric", "indicator", "hits", "base", "value")
 
     return query

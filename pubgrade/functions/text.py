@@ -1,10 +1,21 @@
-"""Cleaning and normalising of free text."""
+"""Cleaning and normalising of free text.
+
+Regular expressions over long texts dominate the cost of the whole pipeline, so
+the functions first ask cheap questions (byte counts, first and last character,
+plain substrings) and run a pattern only where it can match. The answers are the
+same as those of the patterns in the rules alone.
+"""
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pubgrade import rules
 
+_TAG = r"<[a-zA-Z/]+>"
+_LEADING_NOISE = r"^[^\p{Alnum}]+"
+_TRAILING_NOISE = r"""[^\p{Alnum}.!?"')]+$"""
+_NOT_AVAILABLE = r"^[nk][\./]?[na][\./]?$"
+
 
 def is_ascii(text: Column) -> Column:
     """Compares byte and character counts, which is far cheaper than any regex."""
@@ -16,16 +27,85 @@ def has_foreign_alphabet(text: Column) -> Column:
     return ~is_ascii(text) & text.rlike(rules.FOREIGN_ALPHABET)
 
 
+def _first(text: Column) -> Column:
+    return F.substring(text, 1, 1)
+
+
+def _last(text: Column) -> Column:
+    return F.substring(text, -1, 1)
+
+
+def _is_not_available(text: Column) -> Column:
+    # at most four characters and a line end
+    return (F.length(text) <= 6) & text.rlike(_NOT_AVAILABLE)
+
+
+def has_noise(text: Column) -> Column:
+    """``rlike(TEXT_NOISE)``, alternative by alternative."""
+    return (
+        _first(text).rlike(_LEADING_NOISE)
+        | _last(text).rlike(_TRAILING_NOISE)
+        | text.contains("  ")
+        | (text.contains("<") & text.rlike(_TAG))
+        | _is_not_available(text)
+    )
+
+
+def _when_last_matches(text: Column, last: str, changed: Column) -> Column:
+    return F.when(_last(text).rlike(last), changed).otherwise(text)
+
+
+def _strip_plain_noise(text: Column, leading: bool = True) -> Column:
+    """Removes TEXT_NOISE from text without ``<``.
+
+    Without tags the other alternatives cannot overlap: noise at the start, noise
+    at the end, and double blanks between them.
+    """
+    if leading:
+        text = F.when(_first(text).rlike(_LEADING_NOISE), F.regexp_replace(text, _LEADING_NOISE, "")).otherwise(text)
+    text = _when_last_matches(text, _TRAILING_NOISE, F.regexp_replace(text, _TRAILING_NOISE, ""))
+    return F.replace(text, F.lit("  "), F.lit(""))
+
+
+def _strip_one_blank(text: Column) -> Column:
+    """One blank on either side; a line end may follow the last one."""
+    stripped = F.regexp_replace(text, "^[ ]|[ ]$", "")
+    touched = text.startswith(" ") | _last(text).rlike("[ \n\r\u0085\u2028\u2029]")
+    return F.when(touched, stripped).otherwise(text)
+
+
 def _squeeze(text: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(text, "[ ]{2,}", " "), "^[ ]|[ ]$", "")
+    single = F.when(text.contains("  "), F.regexp_replace(text, "[ ]{2,}", " ")).otherwise(text)
+    return _strip_one_blank(single)
 
 
 def strip_title_noise(text: Column) -> Column:
-    return _squeeze(F.regexp_replace(text, f"{rules.TEXT_NOISE}|{rules.LINE_BREAKS}", ""))
+    """Removes TEXT_NOISE and line breaks, then surplus blanks."""
+    plain = _strip_plain_noise(text)
+    for line_break in "\n\r\t":
+        plain = F.replace(plain, F.lit(line_break), F.lit(""))
+    stripped = (
+        F.when(text.contains("<"), F.regexp_replace(text, f"{rules.TEXT_NOISE}|{rules.LINE_BREAKS}", ""))
+        .when(_is_not_available(text), "")
+        .otherwise(plain)
+    )
+    return _squeeze(stripped)
 
 
 def strip_abstract_noise(text: Column) -> Column:
-    return _squeeze(F.regexp_replace(text, f"{rules.ABSTRACT_LABEL}|{rules.TEXT_NOISE}", ""))
+    """Removes the label and TEXT_NOISE, then surplus blanks.
+
+    What follows the label is no longer the start of the text, so noise there stays.
+    """
+    labelled = text.rlike(rules.ABSTRACT_LABEL)
+    without_label = _strip_plain_noise(F.regexp_replace(text, rules.ABSTRACT_LABEL, ""), leading=False)
+    stripped = (
+        F.when(text.contains("<"), F.regexp_replace(text, f"{rules.ABSTRACT_LABEL}|{rules.TEXT_NOISE}", ""))
+        .when(_is_not_available(text), "")
+        .when(labelled, without_label)
+        .otherwise(_strip_plain_noise(text))
+    )
+    return _squeeze(stripped)
 
 
 def strip_name_remarks(name: Column) -> Column:
@@ -46,7 +126,12 @@ def fold_characters(text: Column) -> Column:
 
 def squash_for_key(text: Column) -> Column:
     """Lower case, one kind of separator, single blanks, no edge blanks, no quotes."""
-    text = F.translate(F.lower(text), ",;:", "...")
-    text = F.regexp_replace(text, "[ ]+", " ")
-    text = F.regexp_replace(text, r"^ | (?=\n?\z)", "")
-    return F.translate(text, "'\"´`", "")
+    text = F.lower(text)
+    for separator in ",;:":
+        text = F.replace(text, F.lit(separator), F.lit("."))
+    text = F.when(text.contains("  "), F.regexp_replace(text, "[ ]+", " ")).otherwise(text)
+    edges = text.startswith(" ") | text.endswith(" ") | text.endswith(" \n")
+    text = F.when(edges, F.regexp_replace(text, r"^ | (?=\n?\z)", "")).otherwise(text)
+    for quote in "'\"´`":
+        text = F.replace(text, F.lit(quote), F.lit(""))
+    return text

@@ -29,19 +29,18 @@ def _sum(value: Column) -> Column:
     return F.coalesce(F.sum(value), F.lit(0))
 
 
-def _missing(domain: list[str], value: Column) -> Column:
+def _missing(domain: list[str], value: str) -> Column:
     """How many values of the domain do not occur.
 
     Every row contributes the bit of its value, so the whole domain is covered by
     a bitwise OR per 60 values and no distinct values are shuffled.
     """
-    chunks = [domain[i : i + 60] for i in range(0, len(domain), 60)]
-    seen = F.lit(0)
-    for chunk in chunks:
-        position = F.array_position(F.array(*[F.lit(v) for v in chunk]), value).cast("int")
-        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), position - 1)
-        seen = seen + F.coalesce(F.bit_count(F.bit_or(F.when(position > 0, bit))), F.lit(0))
-    return F.lit(len(domain)) - seen
+    seen = []
+    for chunk in (domain[i : i + 60] for i in range(0, len(domain), 60)):
+        values = ", ".join(f"'{v}'" for v in chunk)
+        position = f"cast(array_position(array({values}), {value}) as int)"
+        seen.append(f"coalesce(bit_count(bit_or(if({position} > 0, shiftleft(1L, {position} - 1), 0L))), 0)")
+    return F.expr(f"{len(domain)} - ({' + '.join(seen)})")
 
 
 def _min_length(entity: str) -> list[Ratio]:
@@ -58,7 +57,7 @@ def _not_null(entity: str, df: DataFrame) -> list[Ratio]:
     ]
 
 
-def _population(indicator: str, domain: list[str], value: Column) -> Ratio:
+def _population(indicator: str, domain: list[str], value: str) -> Ratio:
     return Ratio("MinPopulation", indicator, _missing(domain, value), F.lit(len(domain)), inverse=True)
 
 
@@ -68,7 +67,7 @@ def _correct(indicator: str, value: Column, condition: Column) -> Ratio:
 
 def _clean_text(value: Column) -> Column:
     return ~(
-        value.rlike(rules.LINE_BREAKS) | text.has_foreign_alphabet(value) | value.rlike(rules.TEXT_NOISE)
+        value.rlike(rules.LINE_BREAKS) | text.has_foreign_alphabet(value) | text.has_noise(value)
     )
 
 
@@ -80,7 +79,36 @@ def population_years(as_of_year: int) -> list[str]:
     return [str(year) for year in range(rules.FIRST_POPULATION_YEAR, as_of_year + 1)]
 
 
-def work_ratios(works: DataFrame, as_of_year: int) -> list[Ratio]:
+def work_ratios(works: DataFrame, metric: str, as_of_year: int) -> list[Ratio]:
+    """Ratios of one metric over works; empty for metrics that need other jobs."""
+    match metric:
+        case "MinLength":
+            return _min_length("works")
+        case "MinValue":
+            full = F.length("date") == rules.FULL_DATE_LENGTH
+            return [Ratio(metric, "works.date", F.count_if(full), F.count("date"))]
+        case "NotNull":
+            return _not_null("works", works)
+        case "MinPopulation":
+            return [
+                _population("works.date", population_years(as_of_year), "substring(date, 1, 4)"),
+                _population("works.type", rules.WORK_TYPES, "type"),
+            ]
+        case "MinObject":
+            return [Ratio(metric, "works", F.count_if(filters.is_minimal_work()), F.count(F.lit(1)))]
+        case "CorrectValue":
+            return _correct_work_values(as_of_year)
+        case "NoContradict":
+            both, either = F.expr("isbn is not null and issn is not null"), F.expr("isbn is not null or issn is not null")
+            other_type, typed = F.expr("isbn is not null and not contains(type, 'book')"), F.expr("isbn is not null and type is not null")
+            return [
+                Ratio(metric, "works.isbnXORissn", F.count_if(both), F.count_if(either), inverse=True),
+                Ratio(metric, "works.isbnOnlyBook", F.count_if(other_type), F.count_if(typed), inverse=True),
+            ]
+    return []
+
+
+def _correct_work_values(as_of_year: int) -> list[Ratio]:
     c = F.col
     patterns = {
         "bibtex": rules.BIBTEX,
@@ -92,51 +120,48 @@ def work_ratios(works: DataFrame, as_of_year: int) -> list[Ratio]:
     }
     abstract = c("abstract")
     clean_abstract = abstract.rlike(rules.FIVE_WORDS) & ~(
-        abstract.rlike(rules.ABSTRACT_LABEL)
-        | text.has_foreign_alphabet(abstract)
-        | abstract.rlike(rules.TEXT_NOISE)
+        abstract.rlike(rules.ABSTRACT_LABEL) | text.has_foreign_alphabet(abstract) | text.has_noise(abstract)
     )
-    has_isbn, has_issn, has_type = c("isbn").isNotNull(), c("issn").isNotNull(), c("type").isNotNull()
     return [
-        *_min_length("works"),
-        Ratio("MinValue", "works.date", F.count_if(F.length("date") == rules.FULL_DATE_LENGTH), F.count("date")),
-        *_not_null("works", works),
-        _population("works.date", population_years(as_of_year), F.substring("date", 1, 4)),
-        _population("works.type", rules.WORK_TYPES, c("type")),
-        Ratio("MinObject", "works", F.count_if(filters.is_minimal_work()), F.count(F.lit(1))),
         *[_correct(f"works.{field}", c(field), c(field).rlike(p)) for field, p in patterns.items()],
         _correct("works.date", c("date"), identifiers.is_date(c("date"), as_of_year)),
         _correct("works.url", c("url"), identifiers.is_url(c("url"))),
         _correct("works.abstract", abstract, clean_abstract),
         _correct("works.title", c("title"), _clean_text(c("title"))),
         _correct("works.subTitle", c("subTitle"), _clean_text(c("subTitle"))),
-        Ratio("NoContradict", "works.isbnXORissn", F.count_if(has_isbn & has_issn), F.count_if(has_isbn | has_issn), True),
-        Ratio(
-            "NoContradict",
-            "works.isbnOnlyBook",
-            F.count_if(has_isbn & ~c("type").contains("book")),
-            F.count_if(has_isbn & has_type),
-            True,
-        ),
     ]
 
 
-def person_ratios(persons: DataFrame) -> list[Ratio]:
+def person_ratios(persons: DataFrame, metric: str) -> list[Ratio]:
+    """Ratios of one metric over persons."""
+    entries = F.col("affiliations")
+    match metric:
+        case "MinLength":
+            return _min_length("persons")
+        case "NotNull":
+            return _not_null("persons", persons)
+        case "MinPopulation":
+            return [_population("works.country", rules.COUNTRIES, "country")]
+        case "MinObject":
+            return [Ratio(metric, "persons", F.count_if(filters.is_minimal_person()), F.count(F.lit(1)))]
+        case "CorrectValue":
+            return _correct_person_values(entries)
+        case "NoContradict":
+            both = affiliations.count_entries(entries, lambda a: a["startYear"].isNotNull() & a["endYear"].isNotNull())
+            in_order = affiliations.count_entries(entries, lambda a: a["startYear"] <= a["endYear"])
+            return [Ratio(metric, "persons.affiliations.startBeforeEnd", _sum(in_order), _sum(both))]
+    return []
+
+
+def _correct_person_values(entries: Column) -> list[Ratio]:
     c = F.col
-    entries = c("affiliations")
 
     def valid_year(field: str) -> Ratio:
         # every entry counts in the base, also without a year
         hits = affiliations.count_entries(entries, lambda a: a[field].rlike(rules.AFFILIATION_YEAR))
         return Ratio("CorrectValue", f"persons.affiliations.{field}", _sum(hits), _sum(affiliations.count_entries(entries)))
 
-    both_years = affiliations.count_entries(entries, lambda a: a["startYear"].isNotNull() & a["endYear"].isNotNull())
-    in_order = affiliations.count_entries(entries, lambda a: a["startYear"] <= a["endYear"])
     return [
-        *_min_length("persons"),
-        *_not_null("persons", persons),
-        _population("works.country", rules.COUNTRIES, c("country")),
-        Ratio("MinObject", "persons", F.count_if(filters.is_minimal_person()), F.count(F.lit(1))),
         _correct("persons.id", c("id"), c("id").rlike(rules.PERSON_ID)),
         _correct("persons.country", c("country"), c("country").rlike(rules.COUNTRY_CODE)),
         valid_year("startYear"),
@@ -145,10 +170,13 @@ def person_ratios(persons: DataFrame) -> list[Ratio]:
             _correct(f"persons.{name}", c(name), _clean_name(c(name)))
             for name in ("firstName", "lastName", "publishedName", "otherNames")
         ],
-        Ratio("NoContradict", "persons.affiliations.startBeforeEnd", _sum(in_order), _sum(both_years)),
     ]
 
 
+def org_ratios(orgs: DataFrame, metric: str) -> list[Ratio]:
+    return _not_null("orgUnits", orgs) if metric == "NotNull" else []
+
+
 def fused_ratios(df: DataFrame, ratios: list[Ratio]) -> DataFrame:
     """All ratios of one table in one pass, in long form."""
     aggregates = [
@@ -156,31 +184,27 @@ def fused_ratios(df: DataFrame, ratios: list[Ratio]) -> DataFrame:
         for i, ratio in enumerate(ratios)
         for kind, column in (("hits", ratio.hits), ("base", ratio.base))
     ]
-    entries = [
-        _entry(r.metric, r.indicator, F.col(f"hits_{i}"), F.col(f"base_{i}"), r.inverse)
-        for i, r in enumerate(ratios)
-    ]
-    return df.agg(*aggregates).select(F.inline(F.array(*entries)))
-
-
-def ratio(hits: Column, base: Column, inverse: bool = False) -> Column:
-    share = hits / F.nullif(base, F.lit(0))
-    return F.coalesce(1 - share if inverse else share, F.lit(0.0))
+    entries = [_entry(r.metric, r.indicator, f"hits_{i}", f"base_{i}", r.inverse) for i, r in enumerate(ratios)]
+    return df.agg(*aggregates).select(F.expr(f"inline(array({', '.join(entries)}))"))
 
 
-def _entry(metric: str, indicator: str, hits: Column, base: Column, inverse: bool = False, value: Column | None = None) -> Column:
+def _entry(
+    metric: str, indicator: str, hits: str = "hits", base: str = "base", inverse: bool = False, value: str | None = None
+) -> str:
+    """SQL of one row of the long form; a ratio without a base is 0."""
     weights = rules.WEIGHTS[metric]
-    return F.struct(
-        F.lit(metric).alias("metric"),
-        F.lit(list(weights).index(indicator)).alias("position"),
-        F.lit(indicator).alias("indicator"),
-        F.lit(float(weights[indicator])).alias("weight"),
-        hits.cast("bigint").alias("hits"),
-        base.cast("bigint").alias("base"),
-        (ratio(hits, base, inverse) if value is None else value).alias("value"),
+    share = f"{hits} / nullif({base}, 0)"
+    value = value or f"coalesce({'1 - ' if inverse else ''}{share}, 0D)"
+    return (
+        f"struct('{metric}' as metric, {list(weights).index(indicator)} as position, '{indicator}' as indicator,"
+        f" {float(weights[indicator])}D as weight, {hits} as hits, {base} as base, {value} as value)"
     )
 
 
+def _one_entry(one_row: DataFrame, metric: str, indicator: str, value: str | None = None) -> DataFrame:
+    return one_row.select(F.expr(f"inline(array({_entry(metric, indicator, value=value)}))"))
+
+
 def count_distinct(df: DataFrame, column: str) -> DataFrame:
     """Distinct values and rows with a value, exactly, from one grouping."""
     groups = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
@@ -213,35 +237,31 @@ def org_name_ratio(entities: dict[str, DataFrame]) -> DataFrame:
     one_row = per_type.where("orgs > 0").agg(
         _sum(F.col("mismatches")).alias("hits"),
         _sum(F.col("orgs")).alias("base"),
-        (total / len(shares)).alias("value"),
+        (total / len(shares)).alias("share"),
     )
-    entry = _entry("CorrectValue", "orgUnits.name", F.col("hits"), F.col("base"), value=F.col("value"))
-    return one_row.select(F.inline(F.array(entry)))
+    return _one_entry(one_row, "CorrectValue", "orgUnits.name", value="share")
 
 
 def indicators(entities: dict[str, DataFrame], metrics: list[str], as_of_year: int) -> DataFrame:
     """Indicators of the given metrics in long form, not rounded."""
-    works, persons, orgs = entities["works"], entities["persons"], entities["orgUnits"]
-    per_entity = [
-        (works, work_ratios(works, as_of_year)),
-        (persons, person_ratios(persons)),
-        (orgs, _not_null("orgUnits", orgs)),
-    ]
+    per_entity = {
+        "works": lambda df, metric: work_ratios(df, metric, as_of_year),
+        "persons": person_ratios,
+        "orgUnits": org_ratios,
+    }
     frames = []
-    for df, ratios in per_entity:
-        chosen = [r for r in ratios if r.metric in metrics]
-        if chosen:
-            frames.append(fused_ratios(df, chosen))
+    for entity, ratios_of in per_entity.items():
+        ratios = [ratio for metric in metrics for ratio in ratios_of(entities[entity], metric)]
+        if ratios:
+            frames.append(fused_ratios(entities[entity], ratios))
     if "CorrectValue" in metrics:
         frames.append(org_name_ratio(entities))
     if "UniqueValue" in metrics:
         for indicator in rules.WEIGHTS["UniqueValue"]:
             entity, column = indicator.split(".")
-            entry = _entry("UniqueValue", indicator, F.col("hits"), F.col("base"))
-            frames.append(count_distinct(entities[entity], column).select(F.inline(F.array(entry))))
+            frames.append(_one_entry(count_distinct(entities[entity], column), "UniqueValue", indicator))
     if "UniqueObject" in metrics:
-        entry = _entry("UniqueObject", "works", F.col("hits"), F.col("base"))
-        frames.append(count_objects(works).select(F.inline(F.array(entry))))
+        frames.append(_one_entry(count_objects(entities["works"]), "UniqueObject", "works"))
     return reduce(DataFrame.unionByName, frames)
 
 

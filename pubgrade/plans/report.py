@@ -1,7 +1,6 @@
 """Weighted scores of metrics and dimensions, and stored measurements."""
 
 from datetime import date, datetime
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,11 +56,11 @@ def metric_scores(indicators: DataFrame) -> DataFrame:
     )
 
 
-def _dimension_score(scores: Column, dimension: str) -> Column:
-    """Weighted mean of scores that are already rounded."""
+def _dimension_score(dimension: str) -> str:
+    """SQL of the weighted mean of scores that are already rounded."""
     weights = rules.DIMENSIONS[dimension]
-    weighted = [F.try_element_at(scores, F.lit(metric)) * float(weight) for metric, weight in weights.items()]
-    return round3(reduce(lambda a, b: a + b, weighted, F.lit(0.0)) / float(sum(weights.values())))
+    total = " + ".join(f"scores['{metric}'] * {weight}D" for metric, weight in weights.items())
+    return f"({total}) / {sum(weights.values())}D"
 
 
 def scored_report(indicators: DataFrame, names: dict[str, list[str]], dimensions: list[str]) -> DataFrame:
@@ -71,34 +70,24 @@ def scored_report(indicators: DataFrame, names: dict[str, list[str]], dimensions
     computed twice.
     """
 
-    def row(name: Column, value: Column) -> Column:
-        return F.struct(name.alias("indicator"), value.alias("value"))
-
-    score = F.struct("metric", "score", "items")
-    one_row = metric_scores(indicators).agg(F.collect_list(score).alias("metrics"))
-    scores = F.map_from_entries(F.transform("metrics", lambda x: F.struct(x["metric"], x["score"])))
-
-    def metric_rows(metric: str, name: str) -> Column:
-        def of_metric(x: Column) -> Column:
-            items = F.transform(
-                x["items"], lambda i: row(F.concat(F.lit(name + "."), i["indicator"]), round3(i["value"]))
-            )
-            return F.concat(F.array(row(F.lit(name), x["score"])), items)
-
-        return F.flatten(F.transform(F.filter("metrics", lambda x: x["metric"] == metric), of_metric))
-
-    rows = [metric_rows(metric, name) for metric, shown_as in names.items() for name in shown_as]
-    for dimension in dimensions:
-        rows.append(F.array(row(F.lit(dimension), _dimension_score(F.col("scores"), dimension))))
-        rows.append(
-            F.array(
-                *[
-                    row(F.lit(f"{dimension}.{metric}"), F.try_element_at("scores", F.lit(metric)))
-                    for metric in rules.DIMENSIONS[dimension]
-                ]
-            )
-        )
-    return one_row.withColumn("scores", scores).select(F.inline(F.concat(*rows)))
+    shown_as = ", ".join(f"'{metric}', array({', '.join(map(repr, aliases))})" for metric, aliases in names.items())
+    dimension_rows = [
+        f"array(struct('{dimension}' as indicator, {_dimension_score(dimension)} as value))" for dimension in dimensions
+    ] + [
+        f"array(struct('{dimension}.{metric}' as indicator, scores['{metric}'] as value))"
+        for dimension in dimensions
+        for metric in rules.DIMENSIONS[dimension]
+    ]
+    metric_rows = f"""
+        flatten(transform(metrics, m -> flatten(transform(map({shown_as})[m.metric], name -> concat(
+          array(struct(name as indicator, m.score as value)),
+          transform(m.items, i -> struct(concat(name, '.', i.indicator) as indicator, i.value as value)))))))"""
+    one_row = metric_scores(indicators).agg(F.collect_list(F.struct("metric", "score", "items")).alias("metrics"))
+    return (
+        one_row.withColumn("scores", F.expr("map_from_entries(transform(metrics, m -> struct(m.metric, m.score)))"))
+        .select(F.expr(f"inline(concat({', '.join([metric_rows, *dimension_rows])}))"))
+        .select("indicator", round3(F.col("value")).alias("value"))
+    )
 
 
 def analyze(
