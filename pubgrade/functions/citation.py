@@ -54,13 +54,15 @@ def _letters() -> dict[str, str]:
 
 def decode_latex(text: Column) -> Column:
     """Plain text of a LaTeX string; text without special signs is passed through."""
-    table = F.create_map(*[F.lit(part) for pair in _letters().items() for part in pair])
+    # folds to one literal, where a map of 200 literals would bloat every plan
+    pairs = "\n".join(f"{command}\t{char}" for command, char in _letters().items())
+    table = F.str_to_map(F.lit(pairs), F.lit("\n"), F.lit("\t"))
 
     def plain(token: Column) -> Column:
-        for pattern, replacement in (
-            ("%[^\n]*", ""), (r"[{}$]", ""), ("~", " "), ("---", "—"), ("--", "–"), ("``", "“"), ("''", "”")
-        ):
+        for pattern, replacement in (("%[^\n]*", ""), (r"[{}$]", "")):
             token = F.regexp_replace(token, pattern, replacement)
+        for sign, replacement in (("~", " "), ("---", "—"), ("--", "–"), ("``", "“"), ("''", "”")):
+            token = F.replace(token, F.lit(sign), F.lit(replacement))
         return token
 
     def decode(token: Column) -> Column:
@@ -73,34 +75,32 @@ def decode_latex(text: Column) -> Column:
     return F.when(text.rlike(_SPECIAL), F.array_join(F.transform(tokens, decode), "")).otherwise(text)
 
 
-def citation_fields(citation: Column) -> Column:
+def citation_fields(citation: Column, names: list[str]) -> Column:
     """Array of (name, value) of the only entry; NULL for none or several entries.
 
-    The last of several fields with one name counts, so the array is reversed.
+    Holds the given names with a non-empty value, decoded. The last of several
+    fields with one name counts, so the array is reversed.
     """
     entries = F.regexp_extract_all(citation, F.lit(_ENTRY), F.lit(1))
 
     def pair(field: Column) -> Column:
-        value = F.regexp_replace(F.substring_index(field, "=", 1), r"\s", "")
+        name = F.regexp_replace(F.substring_index(field, "=", 1), r"\s", "")
         text = F.regexp_replace(field, r"^[^=]*=\s*", "")
         inner = F.when(text.rlike(r'^[{"]'), F.substring(text, F.lit(2), F.char_length(text) - 2)).otherwise(text)
         return F.struct(
-            F.lower(value).alias("name"), F.regexp_replace(inner, "\n[ \t]+", "\n").alias("value")
+            F.lower(name).alias("name"), F.regexp_replace(inner, "\n[ \t]+", "\n").alias("value")
         )
 
     fields = F.regexp_extract_all(F.get(entries, F.lit(0)), F.lit(_FIELD), F.lit(0))
-    return F.when(F.size(entries) == 1, F.reverse(F.transform(fields, pair)))
+    wanted = F.filter(F.transform(fields, pair), lambda f: f["name"].isin(names) & (f["value"] != ""))
+    decoded = F.transform(wanted, lambda f: F.struct(f["name"].alias("name"), decode_latex(f["value"]).alias("value")))
+    return F.when(F.size(entries) == 1, F.reverse(F.filter(decoded, lambda f: f["value"] != "")))
 
 
-def field_value(fields: Column, *names: str) -> Column:
-    """Decoded value of the first of the names that has one."""
-
-    def value(name: str) -> Column:
-        named = F.filter(fields, lambda f: (f["name"] == name) & (f["value"] != ""))
-        return F.get(named, F.lit(0))["value"]
-
-    values = [value(name) for name in names]
-    return F.nullif(decode_latex(F.coalesce(*values)), F.lit(""))
+def field_value(fields: str, *names: str) -> Column:
+    """Value of the first of the names that has one; ``fields`` is the column of the pairs."""
+    values = [f"get(filter({fields}, f -> f.name = '{name}'), 0).value" for name in names]
+    return F.expr(f"coalesce({', '.join(values)})")
 
 
 def split_authors(authors: Column, publication_id: Column) -> Column:

@@ -24,23 +24,30 @@ STRICT_CITATION_FIELDS = {
 }
 
 
-def cited_authors(works: DataFrame) -> DataFrame:
-    """Works plus ``_fields`` (pairs of the citation) and ``_authors`` (id, otherNames)."""
-    with_fields = works.withColumn("_fields", citation.citation_fields(F.col("bibtex")))
-    names = citation.field_value(F.col("_fields"), "orcid-numbers", "author")
-    return with_fields.withColumn(
-        "_authors", citation.split_authors(names, F.col("orcid_publication_id"))
+AUTHOR_FIELDS = ["orcid-numbers", "author"]
+
+
+def cited_authors(works: DataFrame, names: list[str] | None = None) -> DataFrame:
+    """Works plus ``_fields`` (pairs of the citation) and ``_authors`` (id, otherNames).
+
+    ``names`` are further citation fields to read.
+    """
+    fields = citation.citation_fields(F.col("bibtex"), AUTHOR_FIELDS + (names or []))
+    authors = citation.split_authors(
+        citation.field_value("_fields", *AUTHOR_FIELDS), F.col("orcid_publication_id")
     )
+    return works.withColumn("_fields", fields).withColumn("_authors", authors)
 
 
 def fill_works_from_citations(works: DataFrame, strict_fields: bool = False) -> DataFrame:
-    fields = STRICT_CITATION_FIELDS if strict_fields else CITATION_FIELDS
+    sources = STRICT_CITATION_FIELDS if strict_fields else CITATION_FIELDS
     filled = {
-        column: F.coalesce(F.col(column), citation.field_value(F.col("_fields"), *names))
-        for column, names in fields.items()
+        column: F.coalesce(F.col(column), citation.field_value("_fields", *names))
+        for column, names in sources.items()
     }
     filled["authors"] = F.coalesce(F.col("authors"), F.col("_authors.id"))
-    return cited_authors(works).withColumns(filled).select(works.columns)
+    all_names = [name for names in sources.values() for name in names]
+    return cited_authors(works, all_names).withColumns(filled).select(works.columns)
 
 
 def add_cited_persons(persons: DataFrame, works: DataFrame) -> DataFrame:
