@@ -14,15 +14,16 @@ from pubgrade.operators import correct, enrich, extract, filters, merge, parse,
 from pubgrade.plans import chain, metrics, monitor, report
 from pubgrade.sources import ingest, records, states
 from pubgrade.sources.scratch import scratch_path
+from pubgrade.sources.spread import spread_small
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def load(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
     chosen = names or tuple(schemas.ENTITIES)
-    return {
-        name: spark_view(spark, sf_dir, f"v_{name}").select(_columns(name)) for name in chosen
-    }
+    views = {name: spark_view(spark, sf_dir, f"v_{name}").select(_columns(name)) for name in chosen}
+    # only the works carry long texts
+    return {name: spread_small(df) if name == "works" else df for name, df in views.items()}
 
 
 def _columns(entity: str) -> list[Column]:
@@ -198,7 +199,7 @@ def work_members(works: DataFrame) -> DataFrame:
 
 
 def extract_xml_works(spark: SparkSession, sf_dir: str) -> DataFrame:
-    members = work_members(spark_view(spark, sf_dir, "v_raw_works"))
+    members = work_members(spread_small(spark_view(spark, sf_dir, "v_raw_works")))
     return flat_works(extract.flatten_works(records.extract_work_records(members)).drop("_authors"))
 
 

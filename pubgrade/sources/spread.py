@@ -1,0 +1,14 @@
+"""Small inputs on many cores."""
+
+from pyspark.sql import DataFrame
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Gives a small table as many partitions as there are cores.
+
+    A file with one row group is one task, however many cores wait, and cleaning
+    text is bound by the processor. Large tables have more splits than the cluster
+    has cores and pass through without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
