@@ -93,10 +93,12 @@ def merge_persons(persons: DataFrame, works: DataFrame) -> DataFrame:
     """One row per id, for persons that occur as author of a work.
 
     Grouping comes first: it combines before the shuffle, and its partitioning by
-    id serves the semi join, so the persons move only once.
+    id serves the join, so the persons move only once. The cited ids are distinct,
+    which makes the inner join a semi join; written as a semi join, the optimizer
+    would move it below the grouping and shuffle every single row of a frequent id.
     """
     cited = works.select(F.explode("authors").alias("id")).distinct()
-    return merge_by_id(persons).join(cited, "id", "left_semi").select(persons.columns)
+    return merge_by_id(persons).join(cited, "id").select(persons.columns)
 
 
 def _max_per(df: DataFrame, key: str, columns: list[str]) -> DataFrame:

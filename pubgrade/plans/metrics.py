@@ -205,10 +205,34 @@ def _one_entry(one_row: DataFrame, metric: str, indicator: str, value: str | Non
     return one_row.select(F.expr(f"inline(array({_entry(metric, indicator, value=value)}))"))
 
 
-def count_distinct(df: DataFrame, column: str) -> DataFrame:
-    """Distinct values and rows with a value, exactly, from one grouping."""
-    groups = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    return groups.agg(F.count(F.lit(1)).alias("hits"), _sum(F.col("n")).alias("base"))
+def count_distinct(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, hits, base): distinct values and rows with a value, exactly.
+
+    All columns go through one grouping of (column, value) pairs, so the table is
+    read once and equal values are combined before the shuffle.
+    """
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]))
+    groups = (
+        df.select(pairs.alias("pair"))
+        .select("pair.*")
+        .where("value is not null")
+        .groupBy("column", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    return groups.groupBy("column").agg(F.count(F.lit(1)).alias("hits"), F.sum("n").alias("base"))
+
+
+def unique_value_ratios(df: DataFrame, entity: str) -> DataFrame:
+    indicators = [i for i in rules.WEIGHTS["UniqueValue"] if i.split(".")[0] == entity]
+    counts = count_distinct(df, [i.split(".")[1] for i in indicators])
+    # one row with a column pair per indicator, also where no value occurs at all
+    picked = [
+        _sum(F.when(F.col("column") == indicator.split(".")[1], F.col(kind))).alias(f"{kind}_{i}")
+        for i, indicator in enumerate(indicators)
+        for kind in ("hits", "base")
+    ]
+    entries = [_entry("UniqueValue", indicator, f"hits_{i}", f"base_{i}") for i, indicator in enumerate(indicators)]
+    return counts.agg(*picked).select(F.expr(f"inline(array({', '.join(entries)}))"))
 
 
 def array_elements(df: DataFrame, column: str, pattern: str) -> DataFrame:
@@ -257,9 +281,7 @@ def indicators(entities: dict[str, DataFrame], metrics: list[str], as_of_year: i
     if "CorrectValue" in metrics:
         frames.append(org_name_ratio(entities))
     if "UniqueValue" in metrics:
-        for indicator in rules.WEIGHTS["UniqueValue"]:
-            entity, column = indicator.split(".")
-            frames.append(_one_entry(count_distinct(entities[entity], column), "UniqueValue", indicator))
+        frames.extend(unique_value_ratios(entities[entity], entity) for entity in per_entity)
     if "UniqueObject" in metrics:
         frames.append(_one_entry(count_objects(entities["works"]), "UniqueObject", "works"))
     return reduce(DataFrame.unionByName, frames)
