@@ -40,8 +40,15 @@ def is_date(value: Column, as_of_year: int) -> Column:
 
 
 def labelled_number(field: str, sources: list[Column]) -> Column:
-    """First labelled ISSN, ISBN or DOI found in the sources, in their order."""
+    """First labelled ISSN, ISBN or DOI found in the sources, in their order.
+
+    The patterns look behind at every position of a text, so only texts that
+    contain the label at all are searched.
+    """
     pattern = rules.LABELLED_NUMBERS[field]
-    return F.coalesce(
-        *[F.nullif(F.regexp_extract(source, pattern, 0), F.lit("")) for source in sources]
-    )
+
+    def found(source: Column) -> Column:
+        number = F.regexp_extract(source, pattern, 0)
+        return F.nullif(F.when(F.lower(source).contains(field), number), F.lit(""))
+
+    return F.coalesce(*[found(source) for source in sources])

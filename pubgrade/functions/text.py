@@ -113,25 +113,32 @@ def strip_name_remarks(name: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(name, r"\(.*\)", ""), "^[ ]|[ ]$", "")
 
 
+def _unless_ascii(text: Column, changed: Column) -> Column:
+    return F.when(is_ascii(text), text).otherwise(changed)
+
+
 def fold_characters(text: Column) -> Column:
-    """Maps accented letters and typographic signs to ASCII; skips ASCII text."""
-    folded = text
-    for char, replacement in rules.FOLDING.items():
-        if len(replacement) > 1:
-            folded = F.replace(folded, F.lit(char), F.lit(replacement))
+    """Maps accented letters and typographic signs to ASCII.
+
+    One pass maps single characters. Those with several letters as output need one
+    replacement each, letters before the rarer signs; text that is ASCII by then
+    is done.
+    """
     single = {char: to for char, to in rules.FOLDING.items() if len(to) == 1}
-    folded = F.translate(folded, "".join(single), "".join(single.values()))
-    return F.when(is_ascii(text), text).otherwise(folded)
+    several = [char for char, to in rules.FOLDING.items() if len(to) > 1]
+    folded = _unless_ascii(text, F.translate(text, "".join(single), "".join(single.values())))
+    for group in ([c for c in several if c.isalpha()], [c for c in several if not c.isalpha()]):
+        replaced = folded
+        for char in group:
+            replaced = F.replace(replaced, F.lit(char), F.lit(rules.FOLDING[char]))
+        folded = _unless_ascii(folded, replaced)
+    return folded
 
 
 def squash_for_key(text: Column) -> Column:
     """Lower case, one kind of separator, single blanks, no edge blanks, no quotes."""
-    text = F.lower(text)
-    for separator in ",;:":
-        text = F.replace(text, F.lit(separator), F.lit("."))
+    text = F.regexp_replace(F.lower(text), "[,;:]", ".")
     text = F.when(text.contains("  "), F.regexp_replace(text, "[ ]+", " ")).otherwise(text)
     edges = text.startswith(" ") | text.endswith(" ") | text.endswith(" \n")
     text = F.when(edges, F.regexp_replace(text, r"^ | (?=\n?\z)", "")).otherwise(text)
-    for quote in "'\"´`":
-        text = F.replace(text, F.lit(quote), F.lit(""))
-    return text
+    return F.regexp_replace(text, "['\"´`]", "")
