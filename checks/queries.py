@@ -383,7 +383,7 @@ def all_queries() -> dict[str, Query]:
         "q_join_enrich": join_enrich,
         "q_union_authors": union_authors,
         "q_normalise_text": entity_query(
-            lambda works: works.withColumn("normalised", text.fold_characters(text.squash_for_key(c("title")))),
+            lambda works: text.normalise(works.withColumn("normalised", c("title")), "normalised"),
             "works", "orcid_publication_id", "normalised",
         ),
         "q_duplicate_key": entity_query(merge.add_duplicate_key, "works", "orcid_publication_id", "key"),

@@ -48,7 +48,7 @@ def labelled_number(field: str, sources: list[Column]) -> Column:
     pattern = rules.LABELLED_NUMBERS[field]
 
     def found(source: Column) -> Column:
-        number = F.regexp_extract(source, pattern, 0)
-        return F.nullif(F.when(F.lower(source).contains(field), number), F.lit(""))
+        numbers = F.regexp_extract_all(source, F.lit(pattern), F.lit(0))
+        return F.when(F.lower(source).contains(field), F.get(numbers, F.lit(0)))
 
     return F.coalesce(*[found(source) for source in sources])

@@ -4,13 +4,21 @@ Regular expressions over long texts dominate the cost of the whole pipeline, so
 the functions first ask cheap questions (byte counts, first and last character,
 plain substrings) and run a pattern only where it can match. The answers are the
 same as those of the patterns in the rules alone.
+
+Cleaning works on a column of a table, one small step per projection. Each step
+reads its input several times; as one nested expression, every level would
+compute the levels below again, because Spark shares no subexpressions inside
+the branches of a condition.
 """
 
-from pyspark.sql import Column
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pubgrade import rules
 
+_FROM_CYRILLIC = "[\u0410-\uffff]"
 _TAG = r"<[a-zA-Z/]+>"
 _LEADING_NOISE = r"^[^\p{Alnum}]+"
 _TRAILING_NOISE = r"""[^\p{Alnum}.!?"')]+$"""
@@ -23,8 +31,12 @@ def is_ascii(text: Column) -> Column:
 
 
 def has_foreign_alphabet(text: Column) -> Column:
-    """CJK or Cyrillic letters occur; plain ASCII text never reaches the regex."""
-    return ~is_ascii(text) & text.rlike(rules.FOREIGN_ALPHABET)
+    """CJK or Cyrillic letters occur.
+
+    ASCII text never reaches a regex, and text below the Cyrillic letters only the
+    first one, whose single range is much faster than the union of all ranges.
+    """
+    return ~is_ascii(text) & text.rlike(_FROM_CYRILLIC) & text.rlike(rules.FOREIGN_ALPHABET)
 
 
 def _first(text: Column) -> Column:
@@ -51,61 +63,60 @@ def has_noise(text: Column) -> Column:
     )
 
 
-def _when_last_matches(text: Column, last: str, changed: Column) -> Column:
-    return F.when(_last(text).rlike(last), changed).otherwise(text)
-
+def _step(df: DataFrame, columns: list[str], change: Callable[[Column], Column]) -> DataFrame:
+    return df.withColumns({name: change(F.col(name)) for name in columns})
 
-def _strip_plain_noise(text: Column, leading: bool = True) -> Column:
-    """Removes TEXT_NOISE from text without ``<``.
 
-    Without tags the other alternatives cannot overlap: noise at the start, noise
-    at the end, and double blanks between them.
-    """
-    if leading:
-        text = F.when(_first(text).rlike(_LEADING_NOISE), F.regexp_replace(text, _LEADING_NOISE, "")).otherwise(text)
-    text = _when_last_matches(text, _TRAILING_NOISE, F.regexp_replace(text, _TRAILING_NOISE, ""))
-    return F.replace(text, F.lit("  "), F.lit(""))
+def _squeeze(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Several blanks become one; one blank on either side goes, also before a line end."""
 
+    def single(text: Column) -> Column:
+        return F.when(text.contains("  "), F.regexp_replace(text, "[ ]{2,}", " ")).otherwise(text)
 
-def _strip_one_blank(text: Column) -> Column:
-    """One blank on either side; a line end may follow the last one."""
-    stripped = F.regexp_replace(text, "^[ ]|[ ]$", "")
-    touched = text.startswith(" ") | _last(text).rlike("[ \n\r\u0085\u2028\u2029]")
-    return F.when(touched, stripped).otherwise(text)
+    def trimmed(text: Column) -> Column:
+        touched = text.startswith(" ") | _last(text).rlike("[ \n\r\u0085\u2028\u2029]")
+        return F.when(touched, F.regexp_replace(text, "^[ ]|[ ]$", "")).otherwise(text)
 
+    return _step(_step(df, columns, single), columns, trimmed)
 
-def _squeeze(text: Column) -> Column:
-    single = F.when(text.contains("  "), F.regexp_replace(text, "[ ]{2,}", " ")).otherwise(text)
-    return _strip_one_blank(single)
 
+def _strip_noise(df: DataFrame, column: str, pattern: str, label: str | None, removed: list[str]) -> DataFrame:
+    """Removes the pattern, which is TEXT_NOISE with a label before or more characters behind.
 
-def strip_title_noise(text: Column) -> Column:
+    In text without ``<`` the alternatives cannot overlap: noise at the start,
+    noise at the end, and the substrings to remove between them. What follows a
+    label is no longer the start of the text, so noise there stays.
+    """
+    kind, text = F.col("_kind"), F.col(column)
+    mixed = text.contains("<") | _is_not_available(text)
+    kinds = F.when(mixed, "mixed")
+    if label:
+        kinds = kinds.when(text.rlike(label), "labelled")
+    df = df.withColumn("_kind", kinds.otherwise("plain"))
+    whole = F.when(kind == "mixed", F.regexp_replace(text, pattern, ""))
+    if label:
+        whole = whole.when(kind == "labelled", F.regexp_replace(text, label, ""))
+    df = df.withColumn(column, whole.otherwise(text))
+    leading = (kind == "plain") & _first(text).rlike(_LEADING_NOISE)
+    df = df.withColumn(column, F.when(leading, F.regexp_replace(text, _LEADING_NOISE, "")).otherwise(text))
+    trailing = (kind != "mixed") & _last(text).rlike(_TRAILING_NOISE)
+    df = df.withColumn(column, F.when(trailing, F.regexp_replace(text, _TRAILING_NOISE, "")).otherwise(text))
+    inner = text
+    for part in removed:
+        inner = F.replace(inner, F.lit(part), F.lit(""))
+    return df.withColumn(column, F.when(kind != "mixed", inner).otherwise(text)).drop("_kind")
+
+
+def strip_title_noise(df: DataFrame, column: str) -> DataFrame:
     """Removes TEXT_NOISE and line breaks, then surplus blanks."""
-    plain = _strip_plain_noise(text)
-    for line_break in "\n\r\t":
-        plain = F.replace(plain, F.lit(line_break), F.lit(""))
-    stripped = (
-        F.when(text.contains("<"), F.regexp_replace(text, f"{rules.TEXT_NOISE}|{rules.LINE_BREAKS}", ""))
-        .when(_is_not_available(text), "")
-        .otherwise(plain)
-    )
-    return _squeeze(stripped)
-
+    pattern = f"{rules.TEXT_NOISE}|{rules.LINE_BREAKS}"
+    return _squeeze(_strip_noise(df, column, pattern, None, ["  ", "\n", "\r", "\t"]), [column])
 
-def strip_abstract_noise(text: Column) -> Column:
-    """Removes the label and TEXT_NOISE, then surplus blanks.
 
-    What follows the label is no longer the start of the text, so noise there stays.
-    """
-    labelled = text.rlike(rules.ABSTRACT_LABEL)
-    without_label = _strip_plain_noise(F.regexp_replace(text, rules.ABSTRACT_LABEL, ""), leading=False)
-    stripped = (
-        F.when(text.contains("<"), F.regexp_replace(text, f"{rules.ABSTRACT_LABEL}|{rules.TEXT_NOISE}", ""))
-        .when(_is_not_available(text), "")
-        .when(labelled, without_label)
-        .otherwise(_strip_plain_noise(text))
-    )
-    return _squeeze(stripped)
+def strip_abstract_noise(df: DataFrame, column: str) -> DataFrame:
+    """Removes the label and TEXT_NOISE, then surplus blanks."""
+    pattern = f"{rules.ABSTRACT_LABEL}|{rules.TEXT_NOISE}"
+    return _squeeze(_strip_noise(df, column, pattern, rules.ABSTRACT_LABEL, ["  "]), [column])
 
 
 def strip_name_remarks(name: Column) -> Column:
@@ -113,11 +124,7 @@ def strip_name_remarks(name: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(name, r"\(.*\)", ""), "^[ ]|[ ]$", "")
 
 
-def _unless_ascii(text: Column, changed: Column) -> Column:
-    return F.when(is_ascii(text), text).otherwise(changed)
-
-
-def fold_characters(text: Column) -> Column:
+def fold_characters(df: DataFrame, column: str) -> DataFrame:
     """Maps accented letters and typographic signs to ASCII.
 
     One pass maps single characters. Those with several letters as output need one
@@ -126,19 +133,41 @@ def fold_characters(text: Column) -> Column:
     """
     single = {char: to for char, to in rules.FOLDING.items() if len(to) == 1}
     several = [char for char, to in rules.FOLDING.items() if len(to) > 1]
-    folded = _unless_ascii(text, F.translate(text, "".join(single), "".join(single.values())))
-    for group in ([c for c in several if c.isalpha()], [c for c in several if not c.isalpha()]):
-        replaced = folded
-        for char in group:
-            replaced = F.replace(replaced, F.lit(char), F.lit(rules.FOLDING[char]))
-        folded = _unless_ascii(folded, replaced)
-    return folded
-
-
-def squash_for_key(text: Column) -> Column:
-    """Lower case, one kind of separator, single blanks, no edge blanks, no quotes."""
-    text = F.regexp_replace(F.lower(text), "[,;:]", ".")
-    text = F.when(text.contains("  "), F.regexp_replace(text, "[ ]+", " ")).otherwise(text)
-    edges = text.startswith(" ") | text.endswith(" ") | text.endswith(" \n")
-    text = F.when(edges, F.regexp_replace(text, r"^ | (?=\n?\z)", "")).otherwise(text)
-    return F.regexp_replace(text, "['\"´`]", "")
+
+    def fold_single(text: Column) -> Column:
+        folded = F.translate(text, "".join(single), "".join(single.values()))
+        return F.when(is_ascii(text), text).otherwise(folded)
+
+    def fold_several(chars: list[str]) -> Callable[[Column], Column]:
+        def fold(text: Column) -> Column:
+            folded = text
+            for char in chars:
+                folded = F.replace(folded, F.lit(char), F.lit(rules.FOLDING[char]))
+            return F.when(is_ascii(text), text).otherwise(folded)
+
+        return fold
+
+    df = _step(df, [column], fold_single)
+    df = _step(df, [column], fold_several([char for char in several if char.isalpha()]))
+    return _step(df, [column], fold_several([char for char in several if not char.isalpha()]))
+
+
+def normalise(df: DataFrame, column: str) -> DataFrame:
+    """Lower case, one kind of separator, single blanks, no edge blanks, no quotes, folded."""
+
+    def separated(text: Column) -> Column:
+        return F.regexp_replace(F.lower(text), "[,;:]", ".")
+
+    def single_blanks(text: Column) -> Column:
+        return F.when(text.contains("  "), F.regexp_replace(text, "[ ]+", " ")).otherwise(text)
+
+    def trimmed(text: Column) -> Column:
+        edges = text.startswith(" ") | text.endswith(" ") | text.endswith(" \n")
+        return F.when(edges, F.regexp_replace(text, r"^ | (?=\n?\z)", "")).otherwise(text)
+
+    def unquoted(text: Column) -> Column:
+        return F.regexp_replace(text, "['\"´`]", "")
+
+    for change in (separated, single_blanks, trimmed, unquoted):
+        df = _step(df, [column], change)
+    return fold_characters(df, column)

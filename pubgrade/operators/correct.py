@@ -1,6 +1,6 @@
 """Correction of single values; what cannot be corrected becomes NULL."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pubgrade import rules
@@ -22,31 +22,33 @@ def null_short_values(df: DataFrame, entity: str) -> DataFrame:
 def correct_work_values(works: DataFrame) -> DataFrame:
     """Strips labels and noise first, then keeps what fits the pattern of its field.
 
-    Two projections, so every cleaned value is computed once and tested after.
+    One projection per step, so every cleaned value is computed once and tested after.
     """
-    clean_title = {
-        field: text.strip_title_noise(F.when(~text.has_foreign_alphabet(F.col(field)), F.col(field)))
-        for field in ("title", "subTitle")
-    }
+
+    def without_foreign(column: str) -> Column:
+        return F.when(~text.has_foreign_alphabet(F.col(column)), F.col(column))
+
     stripped = works.withColumns(
         {
             "issn": identifiers.strip_issn(F.col("issn")),
             "isbn": identifiers.strip_isbn(F.col("isbn")),
             "url": identifiers.strip_url(F.col("url")),
             "doi": identifiers.strip_doi(F.col("doi")),
-            "abstract": F.when(
-                F.col("abstract").rlike(rules.FIVE_WORDS), text.strip_abstract_noise(F.col("abstract"))
-            ),
-            **clean_title,
+            "abstract": F.when(F.col("abstract").rlike(rules.FIVE_WORDS), F.col("abstract")),
+            "title": without_foreign("title"),
+            "subTitle": without_foreign("subTitle"),
         }
     )
+    stripped = text.strip_abstract_noise(stripped, "abstract")
+    for title in ("title", "subTitle"):
+        stripped = text.strip_title_noise(stripped, title)
     return stripped.withColumns(
         {
             "issn": F.when(F.col("issn").rlike(rules.ISSN), F.col("issn")),
             "isbn": F.when(F.col("isbn").rlike(rules.ISBN), F.col("isbn")),
             "url": F.when(identifiers.is_url(F.col("url")), F.col("url")),
             "doi": F.when(F.col("doi").rlike(rules.DOI), F.col("doi")),
-            "abstract": F.when(~text.has_foreign_alphabet(F.col("abstract")), F.col("abstract")),
+            "abstract": without_foreign("abstract"),
             "title": F.when(F.col("title") != "", F.col("title")),
             "subTitle": F.when(F.col("subTitle") != "", F.col("subTitle")),
         }

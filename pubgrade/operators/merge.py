@@ -18,15 +18,9 @@ def add_duplicate_key(works: DataFrame, author_part: Column | None = None) -> Da
         author_part = F.repeat(F.lit("#"), F.size(authors))
     complete = title.isNotNull() & date.isNotNull() & authors.isNotNull()
     usable = (title != "") & (date != "") & (F.size(authors) > 0)
-    squashed = text.squash_for_key(F.concat(title, F.lit("#"), date, author_part))
-    return (
-        works.withColumn("_squashed", F.when(complete & usable, squashed))
-        .withColumn(
-            "key",
-            F.when(complete, text.fold_characters(F.col("_squashed"))).otherwise(F.col("orcid_publication_id")),
-        )
-        .drop("_squashed")
-    )
+    raw = F.when(complete & usable, F.concat(title, F.lit("#"), date, author_part))
+    normalised = text.normalise(works.withColumn("key", raw), "key")
+    return normalised.withColumn("key", F.when(complete, F.col("key")).otherwise(F.col("orcid_publication_id")))
 
 
 def display_name(person: Column) -> Column:

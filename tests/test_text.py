@@ -47,17 +47,16 @@ def test_cheap_predicates_equal_the_patterns(spark):
     rows = [("".join(rng.choice(parts) for _ in range(rng.randint(0, 9))),) for _ in range(30000)]
     df = spark.createDataFrame(rows, "value string")
     value = F.col("value")
+    for clean, pattern in (
+        (text.strip_title_noise, f"{rules.TEXT_NOISE}|{rules.LINE_BREAKS}"),
+        (text.strip_abstract_noise, f"{rules.ABSTRACT_LABEL}|{rules.TEXT_NOISE}"),
+    ):
+        both = df.withColumn("ours", value).withColumn("plain", plain_squeeze(F.regexp_replace(value, pattern, "")))
+        wrong = clean(both, "ours").where("ours <> plain").take(3)
+        assert not wrong, wrong
     pairs = {
         "noise": (text.has_noise(value), value.rlike(rules.TEXT_NOISE)),
         "foreign": (text.has_foreign_alphabet(value), value.rlike(rules.FOREIGN_ALPHABET)),
-        "title": (
-            text.strip_title_noise(value),
-            plain_squeeze(F.regexp_replace(value, f"{rules.TEXT_NOISE}|{rules.LINE_BREAKS}", "")),
-        ),
-        "abstract": (
-            text.strip_abstract_noise(value),
-            plain_squeeze(F.regexp_replace(value, f"{rules.ABSTRACT_LABEL}|{rules.TEXT_NOISE}", "")),
-        ),
         "five": (value.rlike(rules.FIVE_WORDS), value.rlike(r"([^\s]+ ){4}[^\s]+")),
     }
     for name, (ours, plain) in pairs.items():
@@ -65,12 +64,12 @@ def test_cheap_predicates_equal_the_patterns(spark):
         assert not wrong, (name, wrong)
 
 
-def test_normalised_text(apply):
-    def normalised(value):
-        return text.fold_characters(text.squash_for_key(value))
-
-    values = ["Größe: ‘x’", " A  B ", "'q'", "plain", "Æ © ½", "end \n"]
-    assert apply(normalised, values) == ["groesse. 'x'", "a b", "q", "plain", "ae (c) 1/2", "end\n"]
+def test_normalised_text(spark):
+    expected = {
+        "Größe: ‘x’": "groesse. 'x'", " A  B ": "a b", "'q'": "q", "plain": "plain", "Æ © ½": "ae (c) 1/2", "end \n": "end\n",
+    }
+    df = spark.createDataFrame([(v, v) for v in expected], "value string, normalised string")
+    assert {r.value: r.normalised for r in text.normalise(df, "normalised").collect()} == expected
 
 
 def test_normalised_text_equals_python_model(spark):
@@ -85,6 +84,5 @@ def test_normalised_text_equals_python_model(spark):
     rng = random.Random(11)
     alphabet = list("aB ,;:.'\"´`\n") + ["  "] + list(rules.FOLDING)
     values = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 12))) for _ in range(5000)]
-    df = spark.createDataFrame([(v, model(v)) for v in values], "value string, expected string")
-    ours = text.fold_characters(text.squash_for_key(F.col("value")))
-    assert not df.select("value", "expected", ours.alias("ours")).where("ours <> expected").take(3)
+    df = spark.createDataFrame([(v, v, model(v)) for v in values], "value string, ours string, expected string")
+    assert not text.normalise(df, "ours").where("ours <> expected").take(3)
