@@ -1,5 +1,112 @@
-"""SQL for the corpus queries that SQL can express."""
+"""SQL for the corpus queries that SQL can express, written apart from the operators."""
+
+_WORDS = r"list_filter(regexp_split_to_array(coalesce({0}, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
+_LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+URL_RULES = """
+with cut as (
+  select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) else '' end as rest from pages),
+parsed as (
+  select page_id, regexp_extract(rest, '^[^/?#]*') as raw, rest from cut),
+target as (
+  select page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+    regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') as path from parsed),
+site(rule, domain, prefix, verdict) as (values
+  ('com/', 'com', '/', 'allow'), ('example.com/en/', 'example.com', '/en/', 'block'),
+  ('www.example.com/en/', 'www.example.com', '/en/', 'allow'), ('net/es/', 'net', '/es/', 'block'), ('net/fr/', 'net', '/fr/', 'block')),
+hits as (
+  select page_id, arg_max(rule, length(rule)) as rule, arg_max(s.verdict, length(rule)) as verdict
+  from target, site s
+  where (host = domain or ends_with(host, '.' || domain)) and starts_with(path, prefix)
+  group by page_id)
+select t.page_id, t.host, t.path, h.rule, coalesce(h.verdict, case when regexp_matches(t.host || t.path,
+  '(?:[^A-Za-z0-9]|^)(?:adserver|adult|bets|betting|casino|escort|malware|phishing|pills|poker|porn|track|viagra|xxx)(?:[^A-Za-z0-9]|$)')
+  then 'block' else 'allow' end) as verdict
+from target t left join hits h using (page_id)
+"""
+
+QUALITY = f"""
+with cut as (
+  select doc_id, coalesce(lang, '') as lang, coalesce(source, '') as source, coalesce(text, '') as text,
+    {_WORDS.format("text")} as words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as lines
+  from documents),
+windows as (
+  select doc_id, i, array_to_string(words[i:i + 7], ' ') as w from cut, unnest(range(1, len(words) - 6)) as t(i)),
+starts as (
+  select doc_id, i from windows qualify count(*) over (partition by doc_id, w) > 1),
+covered as (
+  select doc_id, count(distinct i + k) as n from starts, range(8) as r(k) group by doc_id),
+counted as (
+  select doc_id, lang, source, len(words)::bigint as n_words, length(array_to_string(words, ''))::bigint as word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::bigint as n_symbols, len(lines)::bigint as n_lines,
+    (len(lines) - len(list_distinct(lines)))::bigint as n_dup_lines, coalesce(n, 0)::bigint as n_repeat_words
+  from cut left join covered using (doc_id)),
+measured as (
+  select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
+    n_symbols * 10000 // greatest(word_chars, 1) as symbols, n_dup_lines * 10000 // greatest(n_lines, 1) as lines,
+    n_repeat_words * 10000 // greatest(n_words, 1) as repeats, 100 * word_chars // greatest(n_words, 1) as length
+  from counted),
+long as (
+  select lang, source, measure, (value >> greatest(length(bin(value)) - 6, 0)) << greatest(length(bin(value)) - 6, 0) as bucket
+  from (unpivot (select * from measured where not base_failed) on symbols, lines, repeats, length into name measure value value)),
+margins(measure, below, above) as (values ('symbols', null, 100), ('lines', null, 4000), ('repeats', null, 3000), ('length', 100, 100)),
+quartiles as (
+  select lang, source, measure, count(*) as docs, quantile_disc(bucket, 0.25) as q25, quantile_disc(bucket, 0.75) as q75
+  from long group by grouping sets ((lang, source, measure), (lang, measure), (measure))),
+fences as (
+  select lang, source, measure, docs, q25 - 3 * (q75 - q25) - below as low, q75 + 3 * (q75 - q25) + above as high
+  from quartiles join margins using (measure)),
+judged as (
+  select m.doc_id, bool_and(coalesce(v.value >= f.low, true) and coalesce(v.value <= f.high, true)) as inside
+  from measured m
+  join (unpivot (select doc_id, symbols, lines, repeats, length from measured) on symbols, lines, repeats, length
+    into name measure value value) v on v.doc_id = m.doc_id
+  join fences own on own.lang = m.lang and own.source = m.source and own.measure = v.measure
+  join fences by_lang on by_lang.lang = m.lang and by_lang.source is null and by_lang.measure = v.measure
+  join fences of_all on of_all.lang is null and of_all.source is null and of_all.measure = v.measure
+  join fences f on f.measure = v.measure and f.lang is not distinct from case when own.docs >= 50 or by_lang.docs >= 50 then m.lang end
+    and f.source is not distinct from case when own.docs >= 50 then m.source end
+  group by m.doc_id)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and coalesce(inside, true) as kept
+from measured left join judged using (doc_id)
+"""
+
+NEAR_DUPLICATES = f"""
+with recursive cut as (
+  select doc_id, {_WORDS.format(_LOWERED)} as w from documents),
+sets as (
+  select distinct doc_id, array_to_string(w[i:i + 3], ' ') as s from cut, unnest(range(1, greatest(len(w) - 2, 2))) as t(i) where len(w) > 0),
+sizes as (
+  select doc_id, count(s) as n from documents left join sets using (doc_id) group by doc_id),
+common as (
+  select a.doc_id as u, b.doc_id as v, count(*) as c from sets a join sets b on a.s = b.s and a.doc_id < b.doc_id group by all),
+links as (
+  select u, v from common join sizes x on x.doc_id = u join sizes y on y.doc_id = v where 100 * c >= 80 * (x.n + y.n - c)),
+both_ways as (
+  select u, v from links union all select v, u from links),
+reach(doc_id, r) as (
+  select doc_id, doc_id from documents union select reach.doc_id, v from reach join both_ways on u = r)
+select doc_id, n as n_shingles, min(r) as component_id, doc_id = min(r) as kept
+from reach join sizes using (doc_id) group by doc_id, n
+"""
+
+WARC = """
+with heads as (
+  select page_id, octet_length(encode(coalesce(html, '')))::bigint as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages),
+firsts as (
+  select payload_digest, min(page_id) as page from heads where payload_bytes >= 100 group by payload_digest)
+select page_id, payload_bytes, payload_digest, case when page <> page_id then 'revisit' else 'response' end as record_type,
+  case when page <> page_id then page end as refers_to
+from heads left join firsts using (payload_digest)
+"""
 
 
 def llm_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op4_url_rules": URL_RULES,
+        "op5_adaptive_quality": QUALITY,
+        "op6_minmax_near_duplicates": NEAR_DUPLICATES,
+        "op10_warc_revisits": WARC,
+    }

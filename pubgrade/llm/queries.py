@@ -2,17 +2,48 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pubgrade.llm import minhash
-from pubgrade.llm.tables import table
+from pubgrade.llm import minhash, quality, token_counts, token_files, url_rules, warc
+from pubgrade.llm.tables import scratch_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
+
+
+def token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, folder = table(spark, sf_dir, "documents"), scratch_path(spark, "token-ids")
+    files = token_files.write_token_files(docs, folder, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_files.read_token_files(files)
+
+
+def url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages"), url_rules.SITE_RULES + url_rules.WORD_RULES)
+
+
+def quality_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge_quality(table(spark, sf_dir, "documents"))
+
+
 def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.link_near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
 
 
+def warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = warc.write_archives(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    return warc.read_archives(files)
+
+
 def llm_queries() -> dict[str, Query]:
-    return {"op6_minmax_near_duplicates": near_duplicates}
+    return {
+        "op2_heap_token_counts": token_count,
+        "op3_token_id_files": token_output,
+        "op4_url_rules": url_verdicts,
+        "op5_adaptive_quality": quality_verdicts,
+        "op6_minmax_near_duplicates": near_duplicates,
+        "op10_warc_revisits": warc_records,
+    }
