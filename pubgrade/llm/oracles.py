@@ -102,11 +102,69 @@ select page_id, payload_bytes, payload_digest, case when page <> page_id then 'r
 from heads left join firsts using (payload_digest)
 """
 
+_UNITS = (
+    "km|kilometers?|kilometres?|m|meters?|metres?|cm|mm|miles?|feet|foot|ft|inch(?:es)?|kg|kilograms?|g|grams?|mg|lbs?|pounds?|ounces?|oz|"
+    "l|liters?|litres?|ml|seconds?|s|minutes?|min|hours?|h|days?|weeks?|months?|years?|dollars?|cents?|euros?|percent|degrees?"
+)
+
+
+def _template(column: str) -> str:
+    name = r"([\p{Ll}\p{N},;>] )\p{Lu}[\p{L}''-]*"
+    steps = [
+        (r"[0-9]+(?:[.,:/][0-9]+)*", "<num>"),
+        (r"[$€£¥]<num>", "<unit><num>"),
+        (rf"(<num> ?)(?:%|(?:{_UNITS})\b)", r"\1<unit>"),
+        (name, r"\1<name>"),
+        (name, r"\1<name>"),
+        (r"([\p{L}\p{N}>])[.,;:!?)]+([\x20\x09-\x0D]|$)", r"\1\2"),
+    ]
+    for pattern, by in steps:
+        column = f"regexp_replace({column}, '{pattern}', '{by}', 'g')"
+    return f"lower({column})"
+
+
+def _cut(table: str, key: str) -> str:
+    return f"select {key}, {_WORDS.format('text')} as raw, {_WORDS.format(_template('text'))} as words from {table}"
+
+
+def _grams(table: str, key: str) -> str:
+    return f"select {key}, i - 1 as pos, words[i:i + 7] as ws from {table}, unnest(range(1, len(words) - 6)) as t(i)"
+
+
+_VALUE = "lower(regexp_replace({0}, '[.,;:!?)]+$', ''))"
+
+LEAKS = f"""
+with items as ({_cut("benchmark", "item_id")}),
+docs as ({_cut("documents", "doc_id")}),
+item_grams as ({_grams("items", "item_id")}),
+doc_grams as ({_grams("docs", "doc_id")}),
+firsts as (
+  select item_id, ws, min(pos) as pos from item_grams where len(list_filter(ws, lambda x: not contains(x, '<'))) >= 4 group by item_id, ws),
+counts as (
+  select item_id, count(*) as n from firsts group by item_id),
+matches as (
+  select distinct doc_id, item_id, f.pos, d.pos - f.pos as diagonal from doc_grams d join firsts f on d.ws = f.ws),
+candidates as (
+  select doc_id, item_id, diagonal, count(*) as n_windows, min(pos) as low, max(pos) as high
+  from matches join counts using (item_id) group by doc_id, item_id, diagonal, n having count(*) >= least(6, ceil(n / 2))),
+slots as (
+  select distinct doc_id, item_id, diagonal, {_VALUE.format("i.raw[p + 1]")} as iv, {_VALUE.format("d.raw[p + 1 + diagonal]")} as dv
+  from candidates c join items i using (item_id) join docs d using (doc_id), unnest(range(low, high + 8)) as r(p)
+  where contains(i.words[p + 1], '<') and i.words[p + 1] = d.words[p + 1 + diagonal]),
+lines as (
+  select doc_id, item_id, diagonal, count(*) <> count(distinct iv) as clash, bool_or(iv is distinct from dv) as other
+  from slots group by doc_id, item_id, diagonal)
+select doc_id, item_id, max(n_windows) as n_windows, bool_or(not coalesce(other, false)) as exact
+from candidates left join lines using (doc_id, item_id, diagonal)
+where not coalesce(clash, false) group by doc_id, item_id
+"""
+
 
 def llm_sql() -> dict[str, str]:
     return {
         "op4_url_rules": URL_RULES,
         "op5_adaptive_quality": QUALITY,
         "op6_minmax_near_duplicates": NEAR_DUPLICATES,
+        "op9_template_leaks": LEAKS,
         "op10_warc_revisits": WARC,
     }

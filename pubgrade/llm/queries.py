@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pubgrade.llm import minhash, quality, token_counts, token_files, url_rules, warc
+from pubgrade.llm import decontaminate, minhash, quality, token_counts, token_files, toxicity, url_rules, warc
 from pubgrade.llm.tables import scratch_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,14 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.link_near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
 
 
+def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = warc.write_archives(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
     return warc.read_archives(files)
@@ -45,5 +53,7 @@ def llm_queries() -> dict[str, Query]:
         "op4_url_rules": url_verdicts,
         "op5_adaptive_quality": quality_verdicts,
         "op6_minmax_near_duplicates": near_duplicates,
+        "op7_recurrent_toxicity": toxicity_scores,
+        "op9_template_leaks": template_leaks,
         "op10_warc_revisits": warc_records,
     }
