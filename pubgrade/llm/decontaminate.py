@@ -125,8 +125,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, least: int = LEAST, broadcast_
 def drop_leaks(docs: DataFrame, items: DataFrame, least: int = LEAST, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
     """The rows without any leak, all columns kept."""
     found = _leaks(docs, items, least, broadcast_windows).select(F.col("doc_id").alias("d"), F.col("key").alias("k")).distinct()
-    key = fresh_name(docs, "key")
+    key, d, k = (fresh_name(docs, name) for name in ("key", "d", "k"))
+    found = cut_lineage(found.withColumnsRenamed({"d": d, "k": k}), "leaks")
     keyed = docs.withColumn(key, F.xxhash64("text"))
-    found = found.select(F.col("d").alias(fresh_name(docs, "d")), F.col("k").alias(fresh_name(docs, "k")))
-    same = keyed["doc_id"].eqNullSafe(found[found.columns[0]]) & (keyed[key] == found[found.columns[1]])
-    return keyed.join(cut_lineage(found, "leaks"), same, "left_anti").drop(key)
+    return keyed.join(found, keyed["doc_id"].eqNullSafe(found[d]) & (keyed[key] == found[k]), "left_anti").drop(key)

@@ -5,12 +5,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from pubgrade.llm import decontaminate, minhash, quality, token_counts, token_files, toxicity, url_rules, warc
+import corpus_pipeline
+from pubgrade.llm import decontaminate, minhash, mixing, quality, repeats, token_counts, token_files, toxicity, url_rules, warc
 from pubgrade.llm.tables import scratch_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.find_repeats(table(spark, sf_dir, "documents"))
+
+
 def token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
 
@@ -37,6 +42,10 @@ def toxicity_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def mixing_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.fit_rates(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("draw")
+
+
 def template_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -48,12 +57,15 @@ def warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op1_sentence_run_dedup": repeated_passages,
         "op2_heap_token_counts": token_count,
         "op3_token_id_files": token_output,
         "op4_url_rules": url_verdicts,
         "op5_adaptive_quality": quality_verdicts,
         "op6_minmax_near_duplicates": near_duplicates,
         "op7_recurrent_toxicity": toxicity_scores,
+        "op8_soft_mixing": mixing_rates,
         "op9_template_leaks": template_leaks,
         "op10_warc_revisits": warc_records,
+        "pipeline": corpus_pipeline.run,
     }
