@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from pubgrade.llm import decontaminate, minhash, mixing, quality, repeats, token_counts, token_files, toxicity, url_rules, warc
 from pubgrade.llm.tables import scratch_path, table
+from pubgrade.sources.scratch import with_local_scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,7 +57,7 @@ def warc_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def llm_queries() -> dict[str, Query]:
-    return {
+    queries: dict[str, Query] = {
         "op1_sentence_run_dedup": repeated_passages,
         "op2_heap_token_counts": token_count,
         "op3_token_id_files": token_output,
@@ -69,3 +70,4 @@ def llm_queries() -> dict[str, Query]:
         "op10_warc_revisits": warc_records,
         "pipeline": corpus_pipeline.run,
     }
+    return {name: with_local_scratch(query) for name, query in queries.items()}

@@ -118,11 +118,11 @@ def _log_odds(toxic: np.ndarray, clean: np.ndarray, share: float) -> np.ndarray:
 
 
 def _split_point(logits: np.ndarray, labels: np.ndarray) -> float:
-    """The middle of the gap between sorted logits that leaves the fewest documents on the wrong side, both classes weighing alike."""
+    """The middle of the widest gap between sorted logits that leaves the fewest documents on the wrong side."""
     order = np.argsort(logits, kind="stable")
     logits, labels = logits[order].astype(np.float64), labels[order]
-    wrong = np.cumsum(labels) / max(labels.sum(), 1) + 1 - np.cumsum(1 - labels) / max((1 - labels).sum(), 1)
-    best = np.flatnonzero(wrong[:-1] <= wrong[:-1].min() + 1e-12)
+    wrong = np.cumsum(labels) - np.cumsum(1 - labels)
+    best = np.flatnonzero(wrong[:-1] == wrong[:-1].min())
     gaps = logits[best + 1] - logits[best]
     k = best[gaps.argmax()]
     return float((logits[k] + logits[k + 1]) / 2)
