@@ -240,10 +240,10 @@ from (select unnest(r.authors) as a from {w} w join v_crossRef r on w.doi = r.do
 
 def normalised(value: str) -> str:
     value = cleaned(cleaned(cleaned(f"lower({value})", "[,;:]", "."), "[ ]+", " "), "^ | $|['\"´`]")
-    for char, to in rules.FOLDING.items():
+    for char, to in rules.FOLDED.items():
         if len(to) > 1:
             value = f"replace({value}, {text(char)}, {text(to)})"
-    single = {char: to for char, to in rules.FOLDING.items() if len(to) == 1}
+    single = {char: to for char, to in rules.FOLDED.items() if len(to) == 1}
     return f"translate({value}, {text(''.join(single))}, {text(''.join(single.values()))})"
 
 
@@ -525,6 +525,24 @@ def all_sql() -> dict[str, str]:
         "select 'ROR' as entity, id, name, \"external_ids.GRID.preferred\" as grid from v_ROR"
         " union all select 'lei', id, name, null from v_lei union all select 'fundref', uri, primary_name_display, null from v_fundref",
     )
+    cut = "cast(orcid_publication_id as bigint) % 5 = 0"
+    sql["q_ingest_damaged"] = with_views(
+        "v_works",
+        f"select 'good' as kind, orcid_publication_id as value from v_works where not ({cut})"
+        f" union all select 'damaged', cast(count(*) as string) from v_works where {cut}",
+    )
+    sql["q_ingest_one_entity"] = with_views("v_orgUnits", "select 'orgUnits' as entity, id from v_orgUnits")
+    sql["q_schema_roundtrip"] = with_views("v_persons", f"select {PERSONS_OUT} from v_persons")
+    sql["q_stack_parse"] = with_views(
+        "v_works", f"select {WORKS_OUT} from w2", w1=fill_from_citations("v_works"), w2=fill_from_labels("w1")
+    )
+    sql["q_stack_correct"] = with_views(
+        "v_works", f"select {WORKS_OUT} from ({prefer_issn('w2')})", w1=null_short("v_works", "works"), w2=correct_works("w1")
+    )
+    sql["q_stack_filter"] = with_views("v_persons", f"select {PERSONS_OUT} from ({filter_contradict('v_persons')}) where {MINIMAL_PERSON}")
+    sql["q_extract_xml_damaged"] = with_views(
+        "v_raw_persons", "select case when country is null then 'good' else 'damaged' end as kind, id from v_raw_persons"
+    )
     sql["q_state_roundtrip"] = with_views("v_works", f"select {WORKS_OUT} from ({prefer_issn('v_works')})")
     sql["q_state_fallback"] = with_views(
         "v_works v_persons v_orgUnits",
@@ -675,6 +693,12 @@ from v_works w left join parts p on w.orcid_publication_id = p.orcid_publication
         f" union all select 'persons', id from v_persons where {MINIMAL_PERSON}",
     )
     sql["q_full_chain"] = chain_query(f"select {WORKS_OUT} from w12 where {MINIMAL_WORK}")
+    sql["q_full_chain_orgs"] = with_views("v_orgUnits v_ROR v_lei v_fundref", f"select id, type, name from ({correct_orgs('v_orgUnits')})")
+    sql["q_selected_metrics"] = with_views(
+        INDICATOR_VIEWS,
+        "select indicator, value from report where indicator in ('NotNull', 'UniqueObject') or indicator like 'NotNull.%' or indicator like 'UniqueObject.%'",
+        **report,
+    )
     sql["q_full_chain_persons"] = chain_query(f"select {PERSONS_OUT} from p13 where {MINIMAL_PERSON}")
     # samples
     sql["q_sample_extremes"] = with_views("v_works", "select title from v_works where title <> '' order by title desc limit 1000")

@@ -13,17 +13,14 @@ from pubgrade.functions import text
 from pubgrade.operators import correct, enrich, extract, filters, merge, parse, registry, sample
 from pubgrade.plans import chain, metrics, monitor, report
 from pubgrade.sources import ingest, records, states
-from pubgrade.sources.scratch import scratch_path
-from pubgrade.sources.spread import spread_small
+from pubgrade.sources.scratch import scratch_path, with_local_scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def load(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
     chosen = names or tuple(schemas.ENTITIES)
-    views = {name: spark_view(spark, sf_dir, f"v_{name}").select(_columns(name)) for name in chosen}
-    # only the works carry long texts
-    return {name: spread_small(df) if name == "works" else df for name, df in views.items()}
+    return {name: spark_view(spark, sf_dir, f"v_{name}").select(_columns(name)) for name in chosen}
 
 
 def _columns(entity: str) -> list[Column]:
@@ -104,6 +101,50 @@ def state_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_works(states.read_entity(spark, root, target, "works"))
 
 
+def ingest_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth line is cut off."""
+    path = scratch_path(spark, "damaged")
+    line = F.to_json(F.struct("*"))
+    cut = F.col("orcid_publication_id").cast("long") % 5 == 0
+    works = load(spark, sf_dir, "works")["works"]
+    works.select(F.when(cut, F.substring(line, F.lit(1), F.char_length(line) - 3)).otherwise(line).alias("value")).write.text(path)
+    good = ingest.read_json(spark, path, schemas.WORKS).select(F.lit("good").alias("kind"), F.col("orcid_publication_id").alias("value"))
+    bad = ingest.read_json(spark, path, schemas.WORKS, damaged="only").agg(F.count("*").cast("string").alias("value"))
+    return good.unionByName(bad.select(F.lit("damaged").alias("kind"), "value"))
+
+
+def ingest_one_entity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "one-entity")
+    paths = {}
+    for name, df in load(spark, sf_dir, "works", "orgUnits").items():
+        paths[name] = f"{root}/in/{name}"
+        df.write.json(paths[name])
+    ingest.ingest(spark, paths, f"{root}/states", entity="orgUnits")
+    found = states.read_entities(spark, f"{root}/states")
+    ids = [df.select(F.lit(name).alias("entity"), F.col(df.columns[0]).alias("id")) for name, df in found.items()]
+    return reduce(DataFrame.unionByName, ids)
+
+
+def schema_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "schema")
+    persons = load(spark, sf_dir, "persons")["persons"]
+    ingest.save_schema(persons, f"{root}/scheme")
+    persons.write.json(f"{root}/persons")
+    return flat_affiliations(ingest.read_json(spark, f"{root}/persons", ingest.load_schema(spark, f"{root}/scheme")))
+
+
+def stack_query(stack: str, entity: str) -> Query:
+    """An entity after a composed transformation, through stored states."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = scratch_path(spark, "stack")
+        states.write_state(root, states.INITIAL, load(spark, sf_dir))
+        found = states.read_entity(spark, root, chain.run_transformation(spark, root, stack), entity)
+        return flat_works(found) if entity == "works" else flat_affiliations(found)
+
+    return query
+
+
 def state_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "states")
     states.write_state(root, states.INITIAL, load(spark, sf_dir, "works", "persons", "orgUnits"))
@@ -162,6 +203,17 @@ def extract_xml_persons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.select("id", "firstName", "lastName", "country", "startYear", "role", "orgName", "orgID", "orgIDType")
 
 
+def extract_xml_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record of every country's person is cut off."""
+    persons = spark_view(spark, sf_dir, "v_raw_persons")
+    members = person_members(persons).withColumn("own", F.col("xml").contains("<address:country>"))
+    cut = F.when(F.col("own"), F.substring("xml", F.lit(1), F.char_length("xml") - 30)).otherwise(F.col("xml"))
+    members = members.select("path", cut.alias("xml"))
+    good = records.extract_persons(members).select(F.lit("good").alias("kind"), "id")
+    bad = records.extract_persons(members, damaged="only").select(F.lit("damaged").alias("kind"), records.record_id(F.col("path")).alias("id"))
+    return good.unionByName(bad)
+
+
 def work_members(works: DataFrame) -> DataFrame:
     def contributor(c: Column) -> Column:
         return _nested(
@@ -199,7 +251,7 @@ def work_members(works: DataFrame) -> DataFrame:
 
 
 def extract_xml_works(spark: SparkSession, sf_dir: str) -> DataFrame:
-    members = work_members(spread_small(spark_view(spark, sf_dir, "v_raw_works")))
+    members = work_members(spark_view(spark, sf_dir, "v_raw_works"))
     return flat_works(extract.flatten_works(records.extract_work_records(members)).drop("_authors"))
 
 
@@ -297,6 +349,14 @@ def full_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_works(chain.transform(load(spark, sf_dir))["works"])
 
 
+def full_chain_orgs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chain.transform(load(spark, sf_dir))["orgUnits"]
+
+
+def selected_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.analyze(load(spark, sf_dir), ["NotNull", "UniqueObject"], AS_OF_YEAR)
+
+
 def full_chain_persons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_affiliations(chain.transform(load(spark, sf_dir))["persons"])
 
@@ -311,10 +371,17 @@ def all_queries() -> dict[str, Query]:
     queries: dict[str, Query] = {
         "q_ingest_json": ingest_json,
         "q_ingest_csv": ingest_csv,
+        "q_ingest_damaged": ingest_damaged,
+        "q_ingest_one_entity": ingest_one_entity,
+        "q_schema_roundtrip": schema_roundtrip,
         "q_state_roundtrip": state_roundtrip,
+        "q_stack_parse": stack_query("Parse", "works"),
+        "q_stack_correct": stack_query("Correct", "works"),
+        "q_stack_filter": stack_query("Filter", "persons"),
         "q_state_fallback": state_fallback,
         "q_extract_xml_persons": extract_xml_persons,
         "q_extract_xml_works": extract_xml_works,
+        "q_extract_xml_damaged": extract_xml_damaged,
         "q_extract_xml_registry": extract_xml_registry,
         "q_extract_date_parts": view_query(
             "v_raw_works", lambda df: df.select("pub_id", extract.publication_date(c("publication_date")).alias("date"))
@@ -394,6 +461,8 @@ def all_queries() -> dict[str, Query]:
         "q_filter_objects": filter_objects,
         "q_full_chain": full_chain,
         "q_full_chain_persons": full_chain_persons,
+        "q_full_chain_orgs": full_chain_orgs,
+        "q_selected_metrics": selected_metrics,
         "q_sample_extremes": entity_query(partial(sample.sample_extremes, attribute="title", descending=True), "works", "title"),
         "q_sample_nested": entity_query(
             partial(sample.sample_extremes, attribute="affiliations.startYear", n=500), "persons", "startYear"
@@ -402,4 +471,4 @@ def all_queries() -> dict[str, Query]:
         "q_monitor_improvement": monitor_query("improvement_before", "improvement_last", "improvement_change"),
         "q_monitor_guard": view_query("v_measurements", monitor.run_counts),
     }
-    return queries
+    return {name: with_local_scratch(query) for name, query in queries.items()}

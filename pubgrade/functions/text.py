@@ -19,10 +19,6 @@ from pyspark.sql import functions as F
 from pubgrade import rules
 
 _FROM_CYRILLIC = "[\u0410-\uffff]"
-_TAG = r"<[a-zA-Z/]+>"
-_LEADING_NOISE = r"^[^\p{Alnum}]+"
-_TRAILING_NOISE = r"""[^\p{Alnum}.!?"')]+$"""
-_NOT_AVAILABLE = r"^[nk][\./]?[na][\./]?$"
 
 
 def is_ascii(text: Column) -> Column:
@@ -49,16 +45,16 @@ def _last(text: Column) -> Column:
 
 def _is_not_available(text: Column) -> Column:
     # at most four characters and a line end
-    return (F.length(text) <= 6) & text.rlike(_NOT_AVAILABLE)
+    return (F.length(text) <= 6) & text.rlike(rules.NOT_AVAILABLE)
 
 
 def has_noise(text: Column) -> Column:
     """``rlike(TEXT_NOISE)``, alternative by alternative."""
     return (
-        _first(text).rlike(_LEADING_NOISE)
-        | _last(text).rlike(_TRAILING_NOISE)
+        _first(text).rlike(rules.LEADING_NOISE)
+        | _last(text).rlike(rules.TRAILING_NOISE)
         | text.contains("  ")
-        | (text.contains("<") & text.rlike(_TAG))
+        | (text.contains("<") & text.rlike(rules.TAG))
         | _is_not_available(text)
     )
 
@@ -71,57 +67,69 @@ def _squeeze(df: DataFrame, columns: list[str]) -> DataFrame:
     """Several blanks become one; one blank on either side goes, also before a line end."""
 
     def single(text: Column) -> Column:
-        return F.when(text.contains("  "), F.regexp_replace(text, "[ ]{2,}", " ")).otherwise(text)
+        return F.when(text.contains("  "), F.regexp_replace(text, rules.BLANKS, " ")).otherwise(text)
 
     def trimmed(text: Column) -> Column:
         touched = text.startswith(" ") | _last(text).rlike("[ \n\r\u0085\u2028\u2029]")
-        return F.when(touched, F.regexp_replace(text, "^[ ]|[ ]$", "")).otherwise(text)
+        return F.when(touched, F.regexp_replace(text, rules.EDGE_BLANK, "")).otherwise(text)
 
     return _step(_step(df, columns, single), columns, trimmed)
 
 
-def _strip_noise(df: DataFrame, column: str, pattern: str, label: str | None, removed: list[str]) -> DataFrame:
-    """Removes the pattern, which is TEXT_NOISE with a label before or more characters behind.
+def strip_noise(df: DataFrame, titles: list[str], abstracts: list[str]) -> DataFrame:
+    """Removes noise from columns, the same step of all columns in one projection.
 
-    In text without ``<`` the alternatives cannot overlap: noise at the start,
-    noise at the end, and the substrings to remove between them. What follows a
-    label is no longer the start of the text, so noise there stays.
+    Titles lose TEXT_NOISE and line breaks, abstracts their label and TEXT_NOISE; all
+    lose surplus blanks. In text without ``<`` the alternatives of the pattern cannot
+    overlap: noise at the start, noise at the end, and the substrings to remove
+    between them. What follows a label is no longer the start of the text, so noise
+    there stays.
     """
-    kind, text = F.col("_kind"), F.col(column)
-    mixed = text.contains("<") | _is_not_available(text)
-    kinds = F.when(mixed, "mixed")
-    if label:
-        kinds = kinds.when(text.rlike(label), "labelled")
-    df = df.withColumn("_kind", kinds.otherwise("plain"))
-    whole = F.when(kind == "mixed", F.regexp_replace(text, pattern, ""))
-    if label:
-        whole = whole.when(kind == "labelled", F.regexp_replace(text, label, ""))
-    df = df.withColumn(column, whole.otherwise(text))
-    leading = (kind == "plain") & _first(text).rlike(_LEADING_NOISE)
-    df = df.withColumn(column, F.when(leading, F.regexp_replace(text, _LEADING_NOISE, "")).otherwise(text))
-    trailing = (kind != "mixed") & _last(text).rlike(_TRAILING_NOISE)
-    df = df.withColumn(column, F.when(trailing, F.regexp_replace(text, _TRAILING_NOISE, "")).otherwise(text))
-    inner = text
-    for part in removed:
-        inner = F.replace(inner, F.lit(part), F.lit(""))
-    return df.withColumn(column, F.when(kind != "mixed", inner).otherwise(text)).drop("_kind")
-
-
-def strip_title_noise(df: DataFrame, column: str) -> DataFrame:
-    """Removes TEXT_NOISE and line breaks, then surplus blanks."""
-    pattern = f"{rules.TEXT_NOISE}|{rules.LINE_BREAKS}"
-    return _squeeze(_strip_noise(df, column, pattern, None, ["  ", "\n", "\r", "\t"]), [column])
-
-
-def strip_abstract_noise(df: DataFrame, column: str) -> DataFrame:
-    """Removes the label and TEXT_NOISE, then surplus blanks."""
-    pattern = f"{rules.ABSTRACT_LABEL}|{rules.TEXT_NOISE}"
-    return _squeeze(_strip_noise(df, column, pattern, rules.ABSTRACT_LABEL, ["  "]), [column])
+    patterns = {c: f"{rules.TEXT_NOISE}|{rules.LINE_BREAKS}" for c in titles}
+    patterns |= {c: f"{rules.ABSTRACT_LABEL}|{rules.TEXT_NOISE}" for c in abstracts}
+    removed = {c: [rules.DOUBLE_BLANK, "\n", "\r", "\t"] for c in titles} | {c: [rules.DOUBLE_BLANK] for c in abstracts}
+
+    def step(change: Callable[[str, Column, Column], Column]) -> None:
+        nonlocal df
+        df = df.withColumns({c: change(c, F.col(c), F.col(f"_kind_{c}")) for c in patterns})
+
+    def kind(column: str) -> Column:
+        value = F.col(column)
+        mixed = value.contains("<") | _is_not_available(value)
+        kinds = F.when(mixed, "mixed")
+        if column in abstracts:
+            kinds = kinds.when(value.rlike(rules.ABSTRACT_LABEL), "labelled")
+        return kinds.otherwise("plain")
+
+    def whole(column: str, value: Column, kind: Column) -> Column:
+        changed = F.when(kind == "mixed", F.regexp_replace(value, patterns[column], ""))
+        if column in abstracts:
+            changed = changed.when(kind == "labelled", F.regexp_replace(value, rules.ABSTRACT_LABEL, ""))
+        return changed.otherwise(value)
+
+    def leading(column: str, value: Column, kind: Column) -> Column:
+        noisy = (kind == "plain") & _first(value).rlike(rules.LEADING_NOISE)
+        return F.when(noisy, F.regexp_replace(value, rules.LEADING_NOISE, "")).otherwise(value)
+
+    def trailing(column: str, value: Column, kind: Column) -> Column:
+        noisy = (kind != "mixed") & _last(value).rlike(rules.TRAILING_NOISE)
+        return F.when(noisy, F.regexp_replace(value, rules.TRAILING_NOISE, "")).otherwise(value)
+
+    def inner(column: str, value: Column, kind: Column) -> Column:
+        changed = value
+        for part in removed[column]:
+            changed = F.replace(changed, F.lit(part), F.lit(""))
+        return F.when(kind != "mixed", changed).otherwise(value)
+
+    df = df.withColumns({f"_kind_{c}": kind(c) for c in patterns})
+    for change in (whole, leading, trailing, inner):
+        step(change)
+    return _squeeze(df.drop(*[f"_kind_{c}" for c in patterns]), list(patterns))
 
 
 def strip_name_remarks(name: Column) -> Column:
     """Drops everything in parentheses and one blank on either side."""
-    return F.regexp_replace(F.regexp_replace(name, r"\(.*\)", ""), "^[ ]|[ ]$", "")
+    return F.regexp_replace(F.regexp_replace(name, rules.PARENTHESES, ""), rules.EDGE_BLANK, "")
 
 
 def fold_characters(df: DataFrame, column: str) -> DataFrame:
@@ -131,8 +139,8 @@ def fold_characters(df: DataFrame, column: str) -> DataFrame:
     replacement each, letters before the rarer signs; text that is ASCII by then
     is done.
     """
-    single = {char: to for char, to in rules.FOLDING.items() if len(to) == 1}
-    several = [char for char, to in rules.FOLDING.items() if len(to) > 1]
+    single = {char: to for char, to in rules.FOLDED.items() if len(to) == 1}
+    several = [char for char, to in rules.FOLDED.items() if len(to) > 1]
 
     def fold_single(text: Column) -> Column:
         folded = F.translate(text, "".join(single), "".join(single.values()))
@@ -142,7 +150,7 @@ def fold_characters(df: DataFrame, column: str) -> DataFrame:
         def fold(text: Column) -> Column:
             folded = text
             for char in chars:
-                folded = F.replace(folded, F.lit(char), F.lit(rules.FOLDING[char]))
+                folded = F.replace(folded, F.lit(char), F.lit(rules.FOLDED[char]))
             return F.when(is_ascii(text), text).otherwise(folded)
 
         return fold
@@ -156,17 +164,17 @@ def normalise(df: DataFrame, column: str) -> DataFrame:
     """Lower case, one kind of separator, single blanks, no edge blanks, no quotes, folded."""
 
     def separated(text: Column) -> Column:
-        return F.regexp_replace(F.lower(text), "[,;:]", ".")
+        return F.regexp_replace(F.lower(text), rules.KEY_SEPARATORS, ".")
 
     def single_blanks(text: Column) -> Column:
-        return F.when(text.contains("  "), F.regexp_replace(text, "[ ]+", " ")).otherwise(text)
+        return F.when(text.contains("  "), F.regexp_replace(text, rules.KEY_BLANKS, " ")).otherwise(text)
 
     def trimmed(text: Column) -> Column:
         edges = text.startswith(" ") | text.endswith(" ") | text.endswith(" \n")
         return F.when(edges, F.regexp_replace(text, r"^ | (?=\n?\z)", "")).otherwise(text)
 
     def unquoted(text: Column) -> Column:
-        return F.regexp_replace(text, "['\"´`]", "")
+        return F.regexp_replace(text, rules.KEY_QUOTES, "")
 
     for change in (separated, single_blanks, trimmed, unquoted):
         df = _step(df, [column], change)

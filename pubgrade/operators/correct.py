@@ -39,9 +39,7 @@ def correct_work_values(works: DataFrame) -> DataFrame:
             "subTitle": without_foreign("subTitle"),
         }
     )
-    stripped = text.strip_abstract_noise(stripped, "abstract")
-    for title in ("title", "subTitle"):
-        stripped = text.strip_title_noise(stripped, title)
+    stripped = text.strip_noise(stripped, ["title", "subTitle"], ["abstract"])
     return stripped.withColumns(
         {
             "issn": F.when(F.col("issn").rlike(rules.ISSN), F.col("issn")),

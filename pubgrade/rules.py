@@ -27,21 +27,30 @@ WORK_TYPES = [
     "conference-poster",
 ]
 
-COUNTRIES = (
-    "BE BG DK DE EE FI FR GB GR IE IT HR LV LT LU MT NL AT PL PT RO SE SK SI ES CZ HU UK "
-    "CY AL AD IS LI MC ME NO SM CH RS UA BY"
-).split()
+COUNTRIES = [
+    "BE", "BG", "DK", "DE", "EE", "FI", "FR", "GB", "GR", "IE", "IT", "HR", "LV", "LT", "LU", "MT", "NL", "AT", "PL", "PT", "RO",
+    "SE", "SK", "SI", "ES", "CZ", "HU", "UK", "CY", "AL", "AD", "IS", "LI", "MC", "ME", "NO", "SM", "CH", "RS", "UA", "BY",
+]
 
 # --- fixed values: patterns -------------------------------------------------
 
 # Chinese, Japanese, Korean and Cyrillic letters
 FOREIGN_ALPHABET = "[\u4e00-\u9fff\u3040-\u30ff\uac00-\ud7a3а-яА-Я]"
-TEXT_NOISE = (
-    r"""(<[a-zA-Z/]+>)|(^[^a-zA-Z0-9]+)|([^a-zA-Z0-9.!?"'\)]+$)|(^[nk][\./]?[na][\./]?$)|(  )"""
-)
+TAG = r"<[a-zA-Z/]+>"
+LEADING_NOISE = r"^[^a-zA-Z0-9]+"
+TRAILING_NOISE = r"""[^a-zA-Z0-9.!?"'\)]+$"""
+NOT_AVAILABLE = r"^[nk][\./]?[na][\./]?$"
+DOUBLE_BLANK = r"  "
+TEXT_NOISE = rf"({TAG})|({LEADING_NOISE})|({TRAILING_NOISE})|({NOT_AVAILABLE})|({DOUBLE_BLANK})"
 NAME_NOISE = r"[\(\)/\t0-9]+"
 ABSTRACT_LABEL = r"^[Aa][Bb][Ss][Tt][Rr][Aa][Cc][Tt]"
 LINE_BREAKS = r"[\n\r\t]"
+BLANKS = r"[ ]{2,}"
+EDGE_BLANK = r"^[ ]|[ ]$"
+PARENTHESES = r"\(.*\)"
+KEY_SEPARATORS = r"[,;:]"
+KEY_BLANKS = r"[ ]+"
+KEY_QUOTES = "['\"´`]"
 
 BIBTEX = r"^(@[a-zA-Z]+[\s]*\{[\S\s]*\})$"
 OWNER_ID = r"^([0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{3}[0-9|X])$"
@@ -84,6 +93,9 @@ LABELLED_NUMBERS = {
 }
 SEARCHED_FIELDS = ["doi", "url", "isbn", "issn", "subTitle", "journal_title", "title"]
 
+# fields of a work that the reference table can fill
+REFERENCE_FIELDS = ["abstract", "date", "doi", "isbn", "issn", "subTitle", "title", "type", "url"]
+
 # roles that make a contributor an author
 AUTHOR_ROLES = ["author", "http://credit.niso.org/contributor-roles/writing-original-draft/"]
 
@@ -190,26 +202,21 @@ DIMENSIONS = {
 # --- fixed values: character folding of duplicate keys ------------------------
 
 FOLDING = {
-    "¡": " ", "¢": "cent", "£": "pound", "¤": " ", "¥": "yen", "¦": "|", "§": "paragraph", "¨": " ",
-    "©": "(c)", "ª": "a", "«": '"', "¬": "not", "\u00ad": "-", "®": "(r)", "¯": " ", "°": "degree",
-    "±": "plus-minus", "²": "2", "³": "3", "´": " ", "µ": "micro", "¶": " ", "·": " ", "¸": " ",
-    "¹": "1", "º": "o", "»": '"', "¼": "1/4", "½": "1/2", "¾": "3/4", "¿": " ", "×": "x",
-    "ß": "ss", "à": "a", "á": "a", "â": "a", "ã": "a", "ä": "ae", "å": "a", "æ": "ae",
-    "ç": "c", "è": "e", "é": "e", "ê": "e", "ë": "e", "ì": "e", "í": "i", "î": "i", "ï": "i",
-    "ð": "d", "ñ": "n", "ò": "o", "ó": "o", "ô": "o", "õ": "o", "ö": "oe", "÷": ":", "ø": "o",
-    "ù": "u", "ú": "u", "û": "u", "ü": "ue", "ý": "y", "þ": "p", "ÿ": "y",
-    "ā": "a", "ă": "a", "ą": "a", "ć": "c", "ĉ": "c", "ċ": "c", "č": "c", "ď": "d", "đ": "d",
-    "ē": "e", "ĕ": "e", "ė": "e", "ę": "e", "ě": "e", "ĝ": "g", "ğ": "g", "ġ": "g", "ģ": "g",
-    "ĥ": "h", "ħ": "h", "ĩ": "i", "ī": "i", "ĭ": "i", "į": "i", "ı": "i", "ĳ": "ij", "ĵ": "j",
-    "ķ": "k", "ĸ": "k", "ĺ": "l", "ļ": "l", "ľ": "l", "ŀ": "l", "ł": "l", "ń": "n", "ņ": "n",
-    "ň": "n", "ŉ": "'n", "ŋ": "n", "ō": "o", "ŏ": "o", "ő": "o", "œ": "oe", "ŕ": "r", "ŗ": "r",
-    "ř": "r", "ś": "s", "ŝ": "s", "ş": "s", "š": "s", "ţ": "t", "ť": "t", "ŧ": "t", "ũ": "u",
-    "ū": "u", "ŭ": "u", "ů": "u", "ű": "u", "ų": "u", "ŵ": "w", "ŷ": "y", "ź": "z", "ż": "z",
-    "ž": "z", "ſ": "s", "ȁ": "a", "ȃ": "a", "ȅ": "e", "ȇ": "e", "ȉ": "i", "ȋ": "i", "ȍ": "o",
-    "ȏ": "o", "ȑ": "r", "ȓ": "r", "ȕ": "u", "ȗ": "u", "ș": "s", "ț": "t",
-    "‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "-", "―": "-",
-    "‘": "'", "’": "'", "‚": "'", "‛": "'",
-    "“": '"', "”": '"', "„": '"', "‟": '"',
-    "†": "+", "‡": "+", "•": "-", "‣": "-", "…": "...",
-    "‹": "'", "›": "'",
-}
+    161: " ", 162: "cent", 163: "pound", 164: " ", 165: "yen", 166: "|", 167: "paragraph", 168: " ", 169: "(c)", 170: "a",
+    171: "\"", 172: "not", 173: "-", 174: "(r)", 175: " ", 176: "degree", 177: "plus-minus", 178: "2", 179: "3", 180: " ",
+    181: "micro", 182: " ", 183: " ", 184: " ", 185: "1", 186: "o", 187: "\"", 188: "1/4", 189: "1/2", 190: "3/4", 191: " ",
+    224: "a", 225: "a", 226: "a", 227: "a", 229: "a", 230: "ae", 231: "c", 232: "e", 233: "e", 234: "e", 235: "e", 236: "e",
+    237: "i", 238: "i", 239: "i", 240: "d", 241: "n", 242: "o", 243: "o", 244: "o", 245: "o", 215: "x", 248: "o", 249: "u",
+    250: "u", 251: "u", 253: "y", 254: "p", 223: "ss", 247: ":", 255: "y", 257: "a", 259: "a", 261: "a", 263: "c", 265: "c",
+    267: "c", 269: "c", 271: "d", 273: "d", 275: "e", 277: "e", 279: "e", 281: "e", 283: "e", 285: "g", 287: "g", 289: "g",
+    291: "g", 293: "h", 295: "h", 297: "i", 299: "i", 301: "i", 303: "i", 305: "i", 307: "ij", 309: "j", 311: "k", 312: "k",
+    314: "l", 316: "l", 318: "l", 320: "l", 322: "l", 324: "n", 326: "n", 328: "n", 329: "'n", 331: "n", 333: "o", 335: "o",
+    337: "o", 339: "oe", 341: "r", 343: "r", 345: "r", 347: "s", 349: "s", 351: "s", 353: "s", 355: "t", 357: "t", 359: "t",
+    361: "u", 363: "u", 365: "u", 367: "u", 369: "u", 371: "u", 373: "w", 375: "y", 378: "z", 380: "z", 382: "z", 383: "s",
+    513: "a", 515: "a", 517: "e", 519: "e", 521: "i", 523: "i", 525: "o", 527: "o", 529: "r", 531: "r", 533: "u", 535: "u",
+    537: "s", 539: "t", 8208: "-", 8209: "-", 8210: "-", 8211: "-", 8212: "-", 8213: "-", 8216: "'", 8217: "'", 8218: "'",
+    8219: "'", 8220: "\"", 8221: "\"", 8222: "\"", 8223: "\"", 8224: "+", 8225: "+", 8226: "-", 8227: "-", 8230: "...",
+    8249: "'", 8250: "'", 228: "ae", 246: "oe", 252: "ue",
+}
+# the same by character, in the order of the code points
+FOLDED = {chr(point): text for point, text in sorted(FOLDING.items())}

@@ -1,4 +1,4 @@
-"""Schemas of the entities; every leaf is a nullable string."""
+"""Schemas of the entities; every leaf is a nullable string. All names are fixed values."""
 
 from pyspark.sql import types as T
 
