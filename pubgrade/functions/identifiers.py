@@ -48,7 +48,6 @@ def labelled_number(field: str, sources: list[Column]) -> Column:
     pattern = rules.LABELLED_NUMBERS[field]
 
     def found(source: Column) -> Column:
-        numbers = F.regexp_extract_all(source, F.lit(pattern), F.lit(0))
-        return F.when(F.lower(source).contains(field), F.get(numbers, F.lit(0)))
+        return F.when(source.rlike(f"(?i){field}"), F.regexp_extract(source, pattern, 0))
 
-    return F.coalesce(*[found(source) for source in sources])
+    return F.get(F.filter(F.array(*[found(source) for source in sources]), lambda number: number != ""), F.lit(0))

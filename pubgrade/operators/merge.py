@@ -1,9 +1,12 @@
 """Duplicate keys of works, and merging of duplicate works and persons."""
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pubgrade.functions import text
+from pubgrade.sources.scratch import cut_lineage
 
 
 def add_duplicate_key(works: DataFrame, author_part: Column | None = None) -> DataFrame:
@@ -42,17 +45,22 @@ def display_name(person: Column) -> Column:
     )
 
 
-def add_duplicate_key_with_names(works: DataFrame, persons: DataFrame) -> DataFrame:
+def add_duplicate_key_with_names(works: DataFrame, persons: DataFrame, cut: Callable[[DataFrame, str], DataFrame] = cut_lineage) -> DataFrame:
     """Like ``add_duplicate_key``, but with the names of the authors in the key.
 
     Names are looked up once per distinct author list. The list is put together
     again per list, so one group never holds more than the authors of one work.
+    Works without authors take no part in the join. The right sides of both joins are
+    stored tables (``cut``) and not groupings, so the adaptive skew join can split
+    a frequent author or author list.
     """
     names = merge_by_id(persons).select(
         F.col("id").alias("_author"),
         display_name(F.struct("firstName", "lastName", "otherNames", "publishedName")).alias("_name"),
     )
-    lists = works.select("authors").where(F.size("authors") > 0).distinct()
+    names = cut(names.where("_author is not null"), "author-names")
+    with_authors = F.coalesce(F.size("authors") > 0, F.lit(False))
+    lists = works.select("authors").where(with_authors).distinct()
     parts = (
         lists.select("authors", F.posexplode("authors").alias("_position", "_author"))
         .join(names, "_author", "left")
@@ -60,8 +68,9 @@ def add_duplicate_key_with_names(works: DataFrame, persons: DataFrame) -> DataFr
         .agg(F.sort_array(F.collect_list(F.struct("_position", F.coalesce("_name", F.lit("")).alias("_name")))).alias("_names"))
         .select("authors", F.concat(F.lit("#"), F.array_join("_names._name", "#")).alias("_part"))
     )
-    joined = works.join(parts, "authors", "left").select(*works.columns, "_part")
-    return add_duplicate_key(joined, F.coalesce("_part", F.lit(""))).drop("_part")
+    joined = works.where(with_authors).join(cut(parts, "author-parts"), "authors", "left").select(*works.columns, "_part")
+    alone = works.where(~with_authors).withColumn("_part", F.lit(None).cast("string"))
+    return add_duplicate_key(joined.unionByName(alone), F.coalesce("_part", F.lit(""))).drop("_part")
 
 
 def merge_works(works: DataFrame, null_key: str = "merge") -> DataFrame:
@@ -69,9 +78,10 @@ def merge_works(works: DataFrame, null_key: str = "merge") -> DataFrame:
 
     The maxima are combined before the shuffle, so even a key shared by a third of
     all works arrives as one row per task. Works with a NULL key form one group,
-    or stay as they are with ``null_key="keep"``.
+    or stay as they are with ``null_key="keep"``. Groups go by the digest of the key,
+    so titles are neither sorted nor moved for it.
     """
-    keyed = add_duplicate_key(works)
+    keyed = add_duplicate_key(works).withColumn("key", F.sha2("key", 256))
     if null_key == "keep":
         merged = _max_per(keyed.where("key is not null"), "key", works.columns)
         return merged.unionByName(keyed.where("key is null").select(works.columns))

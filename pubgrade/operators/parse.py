@@ -39,20 +39,34 @@ def cited_authors(works: DataFrame, names: list[str] | None = None) -> DataFrame
     return works.withColumn("_fields", fields).withColumn("_authors", authors)
 
 
+def read_citations(works: DataFrame, strict_fields: bool = False) -> DataFrame:
+    """Works with all that their citations hold, for both functions below: parsed once."""
+    sources = STRICT_CITATION_FIELDS if strict_fields else CITATION_FIELDS
+    return cited_authors(works, [name for names in sources.values() for name in names])
+
+
 def fill_works_from_citations(works: DataFrame, strict_fields: bool = False) -> DataFrame:
+    return fill_works(read_citations(works, strict_fields), strict_fields).select(works.columns)
+
+
+def fill_works(cited: DataFrame, strict_fields: bool = False) -> DataFrame:
+    """Works from ``read_citations`` with their gaps filled."""
     sources = STRICT_CITATION_FIELDS if strict_fields else CITATION_FIELDS
     filled = {
         column: F.coalesce(F.col(column), citation.field_value("_fields", *names))
         for column, names in sources.items()
     }
     filled["authors"] = F.coalesce(F.col("authors"), F.col("_authors.id"))
-    all_names = [name for names in sources.values() for name in names]
-    return cited_authors(works, all_names).withColumns(filled).select(works.columns)
+    return cited.withColumns(filled).drop("_fields", "_authors")
 
 
 def add_cited_persons(persons: DataFrame, works: DataFrame) -> DataFrame:
     """Appends the authors of every readable citation."""
-    authors = cited_authors(works).select(F.inline("_authors"))
+    return add_persons(persons, cited_authors(works))
+
+
+def add_persons(persons: DataFrame, cited: DataFrame) -> DataFrame:
+    authors = cited.select(F.inline("_authors"))
     return persons.unionByName(authors, allowMissingColumns=True)
 
 

@@ -19,16 +19,21 @@ def registry_names(entities: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts).where("id is not null")
 
 
-def correct_org_names(entities: dict[str, DataFrame]) -> DataFrame:
+def correct_org_names(entities: dict[str, DataFrame], duplicates: str = "multiply") -> DataFrame:
     """Takes the registry name where the registry has one.
 
     One equi-join on (type, id) instead of one join per registry. Several rows
-    of a registry with one id multiply the organisation. Spark picks broadcast
+    of a registry with one id multiply the organisation, or count as their smallest
+    name with ``duplicates="first"``. Spark picks broadcast
     or sort-merge from the actual size of the registries; the id in the join key
     spreads untyped organisations.
     """
     orgs = entities["orgUnits"]
     names = registry_names(entities).withColumnRenamed("name", "registry_name")
+    if duplicates not in ("multiply", "first"):
+        raise ValueError(f"duplicates must be multiply or first, not {duplicates}")
+    if duplicates == "first":
+        names = names.groupBy("type", "id").agg(F.min("registry_name").alias("registry_name"))
     return (
         orgs.join(names, ["type", "id"], "left")
         .withColumn("name", F.coalesce("registry_name", "name"))

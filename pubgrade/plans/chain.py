@@ -1,12 +1,13 @@
 """The transformations by name, and their complete chain."""
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from pubgrade.operators import correct, enrich, filters, merge, parse, registry
 from pubgrade.sources import states
-from pubgrade.sources.scratch import cut_lineage
+from pubgrade.sources.scratch import cut_lineage, remove, store
 
 Entities = dict[str, DataFrame]
 Cut = Callable[[DataFrame, str], DataFrame]
@@ -29,7 +30,7 @@ FULL_CHAIN = [
     "FilterObjects",
 ]
 
-# composed transformations
+# fixed values: composed transformations
 STACKS = {
     "Parse": ["ParseBibtex", "ParseValues"],
     "Correct": ["CorrectOrgs", "CorrectMinLength", "CorrectValues", "CorrectContradict"],
@@ -39,9 +40,11 @@ STACKS = {
 
 
 def _parse_bibtex(e: Entities, cut: Cut) -> Entities:
+    # both results need the citations: they are parsed once and read twice
+    cited = cut(parse.read_citations(e["works"]), "citations")
     return {
-        "persons": parse.add_cited_persons(e["persons"], e["works"]),
-        "works": parse.fill_works_from_citations(e["works"]),
+        "persons": parse.add_persons(e["persons"], cited),
+        "works": parse.fill_works(cited).select(e["works"].columns),
     }
 
 
@@ -86,7 +89,7 @@ def transform(entities: Entities, transformation: str = "complete", cut: Cut = c
     """Runs a transformation and returns the entities it changed.
 
     ``cut`` stores tables that several results need, by default in the scratch
-    folder. The join and the merge cut; all other steps stay lazy.
+    folder. Citations, join and merge cut; all other steps stay lazy.
     """
     current, changed = dict(entities), {}
     for step in STACKS.get(transformation, [transformation]):
@@ -104,8 +107,16 @@ def keep_lazy(df: DataFrame, name: str) -> DataFrame:
 def run_transformation(
     spark: SparkSession, root: str, transformation: str = "complete", chain: str = states.INITIAL
 ) -> str:
-    """Reads a state, transforms it, stores the changed entities as the next state."""
-    changed = transform(states.read_entities(spark, root, chain), transformation)
+    """Reads a state, transforms it, stores the changed entities as the next state.
+
+    Tables that several results need lie below the root until the state is written.
+    """
+    scratch = f"{root}/.cuts-{uuid.uuid4().hex}"
     target = states.extend_chain(chain, transformation)
-    states.write_state(root, target, changed)
+    try:
+        entities = states.read_entities(spark, root, chain)
+        changed = transform(entities, transformation, lambda df, name: store(df, f"{scratch}/{name}"))
+        states.write_state(root, target, changed)
+    finally:
+        remove(spark, scratch)
     return target

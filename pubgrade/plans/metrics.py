@@ -193,6 +193,8 @@ def _entry(
 ) -> str:
     """SQL of one row of the long form; a ratio without a base is 0."""
     weights = rules.WEIGHTS[metric]
+    if indicator not in weights:
+        raise ValueError(f"{metric} has no weight for {indicator}; known are {', '.join(weights)}")
     share = f"{hits} / nullif({base}, 0)"
     value = value or f"coalesce({'1 - ' if inverse else ''}{share}, 0D)"
     return (
@@ -209,9 +211,10 @@ def count_distinct(df: DataFrame, columns: list[str]) -> DataFrame:
     """(column, hits, base): distinct values and rows with a value, exactly.
 
     All columns go through one grouping of (column, value) pairs, so the table is
-    read once and equal values are combined before the shuffle.
+    read once and equal values are combined before the shuffle. A value goes by its
+    SHA-256 digest, so long texts are not moved.
     """
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]))
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.sha2(c, 256).alias("value")) for c in columns]))
     groups = (
         df.select(pairs.alias("pair"))
         .select("pair.*")
@@ -246,7 +249,7 @@ def array_elements(df: DataFrame, column: str, pattern: str) -> DataFrame:
 
 def count_objects(works: DataFrame) -> DataFrame:
     """Distinct duplicate keys, the NULL key being one of them, and rows."""
-    groups = merge.add_duplicate_key(works).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    groups = merge.add_duplicate_key(works).groupBy(F.sha2("key", 256).alias("key")).agg(F.count(F.lit(1)).alias("n"))
     return groups.agg(F.count(F.lit(1)).alias("hits"), _sum(F.col("n")).alias("base"))
 
 

@@ -43,23 +43,40 @@ def monitor(
     ``improvement_before``  base minus result of the previous runs, negative is better
     ``improvement_last``    base minus result of the last runs
     ``improvement_change``  improvement before minus improvement last
+
+    The numbers of the four compared runs come along, and their times if measured.
     """
     runs = latest_runs(measurements, metrics, base, result)
     recent = measurements.where(F.col("metrics") == metrics).join(F.broadcast(runs), ["chain", "run_seq"])
 
-    def at(chain: str, age: int) -> Column:
-        return F.max(F.when((F.col("chain") == chain) & (F.col("age") == age), F.col("value")))
+    named = ["run_seq", "time"] if "time" in measurements.columns else ["run_seq"]
+    ages = {"base_{}_last": (base, 1), "base_{}_before": (base, 2), "result_{}_last": (result, 1), "result_{}_before": (result, 2)}
+
+    def of_run(column: str, chain: str, age: int) -> Column:
+        return F.max(F.when((F.col("chain") == chain) & (F.col("age") == age), F.col(column)))
 
+    compared = {form.format(c): of_run(c, *at) for c in named for form, at in ages.items()}
     values = recent.groupBy("kind", "indicator").agg(
-        at(base, 1).alias("base_last"),
-        at(base, 2).alias("base_before"),
-        at(result, 1).alias("result_last"),
-        at(result, 2).alias("result_before"),
+        *[column.alias(name) for name, column in compared.items()],
+        of_run("value", base, 1).alias("base_last"),
+        of_run("value", base, 2).alias("base_before"),
+        of_run("value", result, 1).alias("result_last"),
+        of_run("value", result, 2).alias("result_before"),
     )
     return values.select(
         "kind",
         "indicator",
+        *compared,
         round3(F.col("base_last") - F.col("base_before")).alias("base_change"),
         round3(F.col("base_before") - F.col("result_before")).alias("improvement_before"),
         round3(F.col("base_last") - F.col("result_last")).alias("improvement_last"),
     ).withColumn("improvement_change", round3(F.col("improvement_before") - F.col("improvement_last")))
+
+
+def append_monitoring(
+    measurements: DataFrame, path: str, metrics: str = "complete", base: str = "initial", result: str = "complete"
+) -> None:
+    """Appends what changed between the compared runs, with their chains, numbers and times."""
+    changes = monitor(measurements, metrics, base, result)
+    named = changes.select(F.lit(metrics).alias("metrics"), F.lit(base).alias("base_chain"), F.lit(result).alias("result_chain"), "*")
+    named.write.mode("append").parquet(path)

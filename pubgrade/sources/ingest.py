@@ -2,7 +2,7 @@
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -10,21 +10,54 @@ from pubgrade import schemas
 from pubgrade.sources import states
 
 
-def read_json(spark: SparkSession, paths: str | list[str], schema: T.StructType) -> DataFrame:
-    """JSON lines, plain or compressed; a list in a string field arrives as its JSON text."""
-    return spark.read.schema(schema).json(paths)
+DAMAGED = "_damaged"
 
 
-def read_csv(spark: SparkSession, paths: str | list[str], schema: T.StructType) -> DataFrame:
-    """CSV with a header, all strings; columns are matched by their header names."""
-    df = spark.read.option("header", True).csv(paths)
-    return df.select([F.col(f"`{name}`") for name in schema.names])
+def _split(df: DataFrame, schema: T.StructType, damaged: str) -> DataFrame:
+    """Good rows, or with ``damaged="only"`` the text of the others as ``damaged``."""
+    # Spark refuses to read nothing but the column of damaged records, so another one is always read too
+    other = F.length(F.coalesce(F.col(f"`{df.columns[0]}`").cast("string"), F.lit(""))) >= 0
+    if damaged == "only":
+        return df.where(F.col(DAMAGED).isNotNull() & other).select(F.col(DAMAGED).alias("damaged"))
+    return df.where(F.col(DAMAGED).isNull() & other).select([F.col(f"`{name}`") for name in schema.names])
 
 
-def read_source(spark: SparkSession, paths: str | list[str], schema: T.StructType) -> DataFrame:
+def _with_damaged(reader: DataFrameReader, schema: T.StructType, damaged: str) -> DataFrameReader:
+    if damaged not in ("drop", "only", "fail"):
+        raise ValueError(f"damaged must be drop, only or fail, not {damaged}")
+    reader = reader.schema(T.StructType([*schema, T.StructField(DAMAGED, T.StringType())]))
+    return reader.option("columnNameOfCorruptRecord", DAMAGED).option("mode", "FAILFAST" if damaged == "fail" else "PERMISSIVE")
+
+
+def read_json(spark: SparkSession, paths: str | list[str], schema: T.StructType, damaged: str = "drop") -> DataFrame:
+    """JSON lines, plain or compressed; a list in a string field arrives as its JSON text.
+
+    Lines that are no JSON objects are left out ("drop"), are all that is returned
+    ("only") or raise ("fail").
+    """
+    return _split(_with_damaged(spark.read, schema, damaged).json(paths), schema, damaged)
+
+
+def read_json_files(spark: SparkSession, paths: str | list[str], schema: T.StructType, damaged: str = "drop") -> DataFrame:
+    """Like ``read_json`` for files that hold one document each."""
+    return _split(_with_damaged(spark.read.option("multiLine", True), schema, damaged).json(paths), schema, damaged)
+
+
+def read_csv(spark: SparkSession, paths: str | list[str], schema: T.StructType, damaged: str = "drop") -> DataFrame:
+    """CSV with a header, all strings; columns are matched by their header names.
+
+    Rows with fewer or more values than the header are damaged; see ``read_json``.
+    """
+    header = spark.read.option("header", True).csv(paths).schema
+    reader = spark.read.option("header", True).option("columnPruning", False)  # else unread values are not counted
+    df = _with_damaged(reader, header, damaged).csv(paths)
+    return _split(df, schema, damaged)
+
+
+def read_source(spark: SparkSession, paths: str | list[str], schema: T.StructType, damaged: str = "drop") -> DataFrame:
     first = paths if isinstance(paths, str) else paths[0]
     reader = read_csv if ".csv" in first else read_json
-    return reader(spark, paths, schema)
+    return reader(spark, paths, schema, damaged)
 
 
 def ingest(

@@ -2,6 +2,9 @@
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from pubgrade.sources.ingest import DAMAGED, read_json_files
 
 # fixed values: element names of the person records
 PERSON_RECORD = """
@@ -65,6 +68,20 @@ def read_members(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     )
 
 
+def parse_records(members: DataFrame, record: str, damaged: str = "drop") -> DataFrame:
+    """``members`` with the parsed record as ``r``.
+
+    Records that are no complete XML are left out ("drop"), are all that is returned,
+    as they came ("only"), or raise ("fail").
+    """
+    if damaged not in ("drop", "only", "fail"):
+        raise ValueError(f"damaged must be drop, only or fail, not {damaged}")
+    options = _XML | {"columnNameOfCorruptRecord": DAMAGED, "mode": "FAILFAST" if damaged == "fail" else "PERMISSIVE"}
+    parsed = members.withColumn("r", F.from_xml("xml", f"{record.rstrip()}, `{DAMAGED}` string", options))
+    broken = F.col("r").isNull() | F.col(f"r.{DAMAGED}").isNotNull()
+    return parsed.where(broken).select(members.columns) if damaged == "only" else parsed.where(~broken)
+
+
 def _one_or_list(values: Column) -> Column:
     """A single value as it is, several as the JSON text of their list."""
     present = F.filter(values, lambda value: value.isNotNull() & (value != ""))
@@ -90,9 +107,12 @@ def owner_id(path: Column) -> Column:
     return F.substring_index(_file_name(path), "_", 1)
 
 
-def extract_persons(members: DataFrame) -> DataFrame:
-    """(path, xml) -> persons whose affiliations still carry the organisation."""
-    record = members.select("path", F.from_xml("xml", PERSON_RECORD, _XML).alias("r"))
+def extract_persons(members: DataFrame, damaged: str = "drop") -> DataFrame:
+    """(path, xml) -> persons whose affiliations still carry the organisation; see ``parse_records`` for ``damaged``."""
+    record = parse_records(members, PERSON_RECORD, damaged)
+    if damaged == "only":
+        return record
+    record = record.select("path", "r")
     person = F.col("r.`person:person`")
     name = person["person:name"]
     groups = F.col("r.`activities:activities-summary`.`activities:employments`.`activities:affiliation-group`")
@@ -125,9 +145,12 @@ def extract_persons(members: DataFrame) -> DataFrame:
     )
 
 
-def extract_work_records(members: DataFrame) -> DataFrame:
-    """(path, xml) -> nested works, the input of ``operators.extract.flatten_works``."""
-    record = members.select("path", F.from_xml("xml", WORK_RECORD, _XML).alias("r"))
+def extract_work_records(members: DataFrame, damaged: str = "drop") -> DataFrame:
+    """(path, xml) -> nested works, the input of ``operators.extract.flatten_works``; see ``parse_records`` for ``damaged``."""
+    record = parse_records(members, WORK_RECORD, damaged)
+    if damaged == "only":
+        return record
+    record = record.select("path", "r")
 
     def contributor(c: Column) -> Column:
         return F.struct(
@@ -174,16 +197,22 @@ def read_xml_records(spark: SparkSession, paths: str | list[str], tag: str) -> D
     return parts.select(start.alias("start")).where("start <> ''").select(F.concat("start", F.lit(f"</{tag}>")).alias("xml"))
 
 
-def read_legal_entities(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """(id, name) of every legal entity."""
-    records = read_xml_records(spark, paths, "lei:LEIRecord").select(F.from_xml("xml", LEGAL_ENTITY, _XML).alias("r"))
+def read_legal_entities(spark: SparkSession, paths: str | list[str], damaged: str = "drop") -> DataFrame:
+    """(id, name) of every legal entity, or (xml) of the damaged ones."""
+    records = parse_records(read_xml_records(spark, paths, "lei:LEIRecord"), LEGAL_ENTITY, damaged)
+    if damaged == "only":
+        return records
     return records.select(F.col("r.`lei:LEI`").alias("id"), F.col("r.`lei:Entity`.`lei:LegalName`").alias("name"))
 
 
-def read_items(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """One row per item of bibliographic JSON files, each file one task's work at most."""
-    files = spark.read.schema(f"items array<{ITEM}>").option("multiLine", True).json(paths)
-    return files.select(F.inline("items"))
+def read_items(spark: SparkSession, paths: str | list[str], damaged: str = "drop") -> DataFrame:
+    """One row per item of bibliographic JSON files, each file one task's work at most.
+
+    Of damaged files nothing is read; ``damaged="only"`` gives their texts.
+    """
+    schema = T.StructType.fromDDL(f"items array<{ITEM}>")
+    files = read_json_files(spark, paths, schema, damaged)
+    return files if damaged == "only" else files.select(F.inline("items"))
 
 
 def flatten_items(items: DataFrame) -> DataFrame:

@@ -7,6 +7,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from checks.compare import connect, local_session  # noqa: E402
 from pubgrade import schemas  # noqa: E402
+from pubgrade.sources.scratch import use_local_scratch  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -15,6 +16,7 @@ SF_DIR = "/root/testdata/sf0.001"
 def spark():
     session = local_session("4")
     session.sparkContext.setLogLevel("ERROR")
+    use_local_scratch(session)
     return session
 
 

@@ -51,12 +51,40 @@ def test_states(spark, frame, tmp_path):
     states.write_state(root, "initial", {"works": works, "persons": frame("persons", {"id": "1", "otherNames": "x"})})
     assert chain.run_transformation(spark, root, "FilterObjects") == "FilterObjects"
     assert chain.run_transformation(spark, root, "CorrectContradict", "FilterObjects") == "FilterObjects.CorrectContradict"
+    assert not [p for p in tmp_path.iterdir() if p.name.startswith(".cuts")]
+    with pytest.raises(ValueError):
+        states.read_entities(spark, root, "Mistyped")
     found = states.read_entities(spark, root, "FilterObjects.CorrectContradict.Unknown")
     assert [r.isbn for r in found["works"].collect()] == [None]
     assert found["persons"].count() == 1 and "orgUnits" not in found
     assert states.read_entity(spark, root, "initial", "works").count() == 2
 
 
+def test_half_written_state_is_refused(spark, frame, tmp_path):
+    works = frame("works", {"title": "t"})
+    broken = frame("persons", {"id": "1"}).select("*", F.raise_error(F.lit("stop")).alias("x"))
+    with pytest.raises(Exception):
+        states.write_state(str(tmp_path), "initial", {"works": works, "persons": broken})
+    with pytest.raises(ValueError):
+        states.read_entities(spark, str(tmp_path))
+    states.write_state(str(tmp_path), "initial", {"works": works})
+    assert states.read_entities(spark, str(tmp_path)).keys() == {"works"}
+
+
+def test_damaged_sources(spark, tmp_path):
+    (tmp_path / "lei.csv").write_text('id,name\n1,"A"\n2\n3,b,c\n4,d\n')
+    path = str(tmp_path / "lei.csv")
+    assert sorted(r.id for r in ingest.read_csv(spark, path, schemas.LEI).collect()) == ["1", "4"]
+    assert ingest.read_csv(spark, path, schemas.LEI, damaged="only").count() == 2
+    (tmp_path / "a.json").write_text('{"items": [{"DOI": "1"}]}')
+    (tmp_path / "b.json").write_text('{"items": [{"DOI": "2"')
+    files = str(tmp_path / "*.json")
+    assert [r.DOI for r in records.read_items(spark, files).collect()] == ["1"]
+    assert records.read_items(spark, files, damaged="only").count() == 1
+    with pytest.raises(Exception):
+        records.read_items(spark, files, damaged="fail").collect()
+
+
 def session(master, folder):
     conf = SimpleNamespace(get=lambda key, default: folder if key == "spark.checkpoint.dir" else default)
     return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master=master, applicationId=f"app-{folder}"))
