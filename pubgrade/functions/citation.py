@@ -1,10 +1,11 @@
 """Values of a citation in BibTeX notation, as native expressions.
 
-Supported are entries with braces nested up to three levels inside a field,
-quoted and bare values. Macros, ``#`` concatenation and most LaTeX commands are
-out of scope: commands without an entry in the letter table are dropped, their
-arguments stay. All quantifiers over groups are possessive, so the JVM evaluates
-them in a loop and long citations cannot exhaust the stack.
+The text is cut into tokens, and a fold over them carries the depth of braces: what
+stands at depth one (commas, equals and number signs, closing signs) cuts an entry
+into names and operands. So braces nest to any depth, in linear time. Operands are
+joined at number signs; a bare word must be a number, a month or a ``@string`` of
+the same text, else the whole citation is unreadable (NULL) rather than wrong.
+LaTeX commands that the letter table does not know stay as they are.
 """
 
 import unicodedata
@@ -14,13 +15,9 @@ from pyspark.sql import functions as F
 
 from pubgrade import rules
 
-_BRACED = r"\{(?:[^{}]++|\{(?:[^{}]++|\{(?:[^{}]++|\{[^{}]*+\})*+\})*+\})*+\}"
-_QUOTED = rf'"(?:[^"{{}}]++|{_BRACED})*+"'
-_BARE = r'[^\s,{}"#]++'
-_FIELD = rf"[a-zA-Z][\w:.-]*+\s*+=\s*+(?:{_BRACED}|{_QUOTED}|{_BARE})"
-_TYPES = "|".join(rules.CITATION_TYPES)
-# group 1 holds the fields behind the key of the entry
-_ENTRY = rf"@(?i:{_TYPES})\s*+\{{[^,{{}}]*+,((?:[^{{}}]++|{_BRACED})*+)\}}"
+_PART = r"""(?s)@\s*+[a-zA-Z]++\s*+[{(]|[{}()",=#]|\\.|[^@{}()",=#\\]++|."""
+_CUT = "struct<kind: string, at: int, to: int>"
+_PAIR = "struct<name: string, value: string>"
 
 _SPECIAL = r"""[\\{}~$%]|--|``|''"""
 _COMMAND = (
@@ -39,6 +36,12 @@ _SYMBOLS = {
     "l": "ł", "L": "Ł", "i": "ı", "j": "ȷ", "&": "&", "%": "%", "$": "$", "#": "#", "_": "_",
     "{": "{", "}": "}", " ": " ", "textendash": "–", "textemdash": "—",
 }
+_GREEK = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon phi chi psi omega".split()
+# commands that only change the look of their argument
+_LOOKS = (
+    "emph textbf textit textrm textsc textsf textsl texttt textup textmd underline mathbf mathit mathrm mathsf mathcal text mbox "
+    "bf it rm sc sf sl tt em bfseries itshape rmfamily small large protect relax url"
+).split()
 
 
 def _letters() -> dict[str, str]:
@@ -49,7 +52,11 @@ def _letters() -> dict[str, str]:
             char = unicodedata.normalize("NFC", letter + mark)
             if len(char) == 1:
                 composed[command + letter] = char
-    return composed | _SYMBOLS
+    for name in _GREEK:
+        full = name.upper().replace("LAMBDA", "LAMDA")
+        composed[name] = unicodedata.lookup(f"GREEK SMALL LETTER {full}")
+        composed[name.capitalize()] = unicodedata.lookup(f"GREEK CAPITAL LETTER {full}")
+    return composed | _SYMBOLS | dict.fromkeys(_LOOKS, "")
 
 
 def decode_latex(text: Column) -> Column:
@@ -68,33 +75,116 @@ def decode_latex(text: Column) -> Column:
     def decode(token: Column) -> Column:
         command = F.regexp_replace(F.substring(token, 2, 2147483647), r"(?<=.)[{}\\\s]", "")
         return F.when(
-            token.startswith("\\"), F.coalesce(F.try_element_at(table, command), F.lit(""))
+            token.startswith("\\"), F.coalesce(F.try_element_at(table, command), token)
         ).otherwise(plain(token))
 
     tokens = F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0))
     return F.when(text.rlike(_SPECIAL), F.array_join(F.transform(tokens, decode), "")).otherwise(text)
 
 
+def _cuts(citation: Column) -> Column:
+    """Where entries begin (@) and end ($), and the commas, equals and number signs of their first level."""
+    tokens = F.regexp_extract_all(citation, F.lit(_PART), F.lit(0))
+    start = F.struct(
+        F.lit(0).alias("depth"), F.lit("").alias("opener"), F.lit(False).alias("quoted"), F.lit(0).alias("at"),
+        F.array().cast(f"array<{_CUT}>").alias("cuts"),
+    )
+
+    def step(state: Column, token: Column) -> Column:
+        depth, opener, quoted = state["depth"], state["opener"], state["quoted"]
+        to = state["at"] + F.char_length(token)
+        begins = (depth == 0) & token.startswith("@") & (F.char_length(token) > 1)
+        opens = (depth > 0) & ((token == "{") | (token.startswith("@") & token.endswith("{")))
+        ends = (depth == 1) & (((token == "}") & (opener == "{")) | ((token == ")") & (opener == "(") & ~quoted))
+        closes = (depth > 1) & (token == "}")
+        divides = (depth == 1) & ~quoted & token.isin(",", "=", "#")
+        kind = F.when(begins, "@").when(ends, "$").when(divides, token)
+        cut = F.struct(kind.alias("kind"), state["at"].alias("at"), to.alias("to"))
+        moved = F.when(begins | opens, depth + 1).when(ends | closes, depth - 1).otherwise(depth)
+        changed = F.struct(
+            moved.alias("depth"),
+            F.when(begins, F.substring(token, -1, 1)).otherwise(opener).alias("opener"),
+            F.when(begins | ends, False).when((depth == 1) & (token == '"'), ~quoted).otherwise(quoted).alias("quoted"),
+            to.alias("at"),
+            F.when(kind.isNotNull(), F.array_append(state["cuts"], cut)).otherwise(state["cuts"]).alias("cuts"),
+        )
+        # most tokens only move on: text, and inside of values all but braces
+        brace = token.endswith("{") | (token == "}")
+        sign = (depth <= 1) & (token.startswith("@") | token.isin(")", '"', ",", "=", "#"))
+        return F.when(brace | sign, changed).otherwise(state.withField("at", to))
+
+    return F.aggregate(tokens, start, step, lambda state: state["cuts"])
+
+
+def _read(citation: Column, cuts: Column) -> Column:
+    """Struct of the number of entries, whether an operand was unreadable, and the pairs in order."""
+
+    def segment(cut: Column, i: Column) -> Column:
+        following = F.get(cuts, i + 1)
+        text = F.substr(citation, cut["to"] + 1, F.coalesce(following["at"], F.char_length(citation)) - cut["to"])
+        head = F.lower(F.regexp_extract(F.substr(citation, cut["at"] + 1, cut["to"] - cut["at"]), r"[a-zA-Z]+", 0))
+        return F.struct(cut["kind"].alias("kind"), head.alias("head"), F.regexp_replace(text, r"^\s+|\s+$", "").alias("text"))
+
+    no_pairs, no_text = F.array().cast(f"array<{_PAIR}>"), F.lit(None).cast("string")
+    months = F.array(*[F.struct(F.lit(m[:3].lower()).alias("name"), F.lit(m).alias("value")) for m in rules.MONTHS])
+    start = F.struct(
+        F.lit(0).alias("entries"), F.lit(False).alias("bad"), no_text.alias("type"), no_text.alias("name"), no_text.alias("value"),
+        no_pairs.alias("pairs"), months.cast(f"array<{_PAIR}>").alias("words"),
+    )
+
+    def step(state: Column, s: Column) -> Column:
+        kind, text = s["kind"], s["text"]
+        known = F.coalesce(state["type"].isin(rules.CITATION_TYPES), F.lit(False))
+        defines = F.coalesce(state["type"] == "string", F.lit(False))
+        done = kind.isin(",", "$", "@") & state["value"].isNotNull()
+        pair = F.struct(state["name"].alias("name"), state["value"].alias("value"))
+        word = F.get(F.filter(state["words"], lambda w: w["name"] == F.lower(text)), F.lit(0))["value"]
+        enclosed = text.rlike(r'^[{"]') & (F.char_length(text) > 1)
+        operand = (
+            F.when(enclosed, F.substring(text, F.lit(2), F.char_length(text) - 2))
+            .when(text.rlike(r"^[0-9]+$"), text)
+            .when(text != "", word)
+            .otherwise("")
+        )
+        reads = kind.isin("=", "#") & (known | defines)
+        value = F.when(kind == "=", operand).when(kind == "#", F.concat(state["value"], operand))
+        # the key of an entry is no field, the first name of a definition is one
+        name = F.when(kind == ",", F.lower(text)).when(kind == "@", F.lower(text)).otherwise(state["name"])
+        return F.struct(
+            (state["entries"] + ((kind == "$") & known).cast("int")).alias("entries"),
+            (state["bad"] | (reads & operand.isNull()) | ((kind == "=") & known & state["value"].isNotNull())).alias("bad"),
+            F.when(kind == "@", s["head"]).when(kind == "$", no_text).otherwise(state["type"]).alias("type"),
+            name.alias("name"),
+            F.when(kind.isin("=", "#"), value).alias("value"),
+            F.when(done & known, F.array_append(state["pairs"], pair)).otherwise(state["pairs"]).alias("pairs"),
+            F.when(done & defines, F.array_append(state["words"], pair)).otherwise(state["words"]).alias("words"),
+        )
+
+    return F.aggregate(F.transform(cuts, segment), start, step)
+
+
 def citation_fields(citation: Column, names: list[str]) -> Column:
-    """Array of (name, value) of the only entry; NULL for none or several entries.
+    """Array of (name, value) of the only entry; NULL for none, several or unreadable entries.
 
     Holds the given names with a non-empty value, decoded. The last of several
-    fields with one name counts, so the array is reversed.
+    fields with one name counts, so the array is reversed. Entries of other types do
+    not count.
     """
-    entries = F.regexp_extract_all(citation, F.lit(_ENTRY), F.lit(1))
 
-    def pair(field: Column) -> Column:
-        name = F.regexp_replace(F.substring_index(field, "=", 1), r"\s", "")
-        text = F.regexp_replace(field, r"^[^=]*=\s*", "")
-        inner = F.when(text.rlike(r'^[{"]'), F.substring(text, F.lit(2), F.char_length(text) - 2)).otherwise(text)
-        return F.struct(
-            F.lower(name).alias("name"), F.regexp_replace(inner, "\n[ \t]+", "\n").alias("value")
+    # bound once each, since every use of an expression would compute it anew
+    def bound(value: Column, use) -> Column:
+        return F.get(F.transform(F.array(value), use), F.lit(0))
+
+    def pairs(found: Column) -> Column:
+        trimmed = F.transform(
+            found["pairs"], lambda f: F.struct(f["name"].alias("name"), F.regexp_replace(f["value"], "\n[ \t]+", "\n").alias("value"))
         )
+        wanted = F.filter(trimmed, lambda f: f["name"].isin(names) & (f["value"] != ""))
+        decoded = F.transform(wanted, lambda f: F.struct(f["name"].alias("name"), decode_latex(f["value"]).alias("value")))
+        return F.when((found["entries"] == 1) & ~found["bad"], F.reverse(F.filter(decoded, lambda f: f["value"] != "")))
 
-    fields = F.regexp_extract_all(F.get(entries, F.lit(0)), F.lit(_FIELD), F.lit(0))
-    wanted = F.filter(F.transform(fields, pair), lambda f: f["name"].isin(names) & (f["value"] != ""))
-    decoded = F.transform(wanted, lambda f: F.struct(f["name"].alias("name"), decode_latex(f["value"]).alias("value")))
-    return F.when(F.size(entries) == 1, F.reverse(F.filter(decoded, lambda f: f["value"] != "")))
+    read = bound(_cuts(citation), lambda cuts: _read(citation, cuts))
+    return F.when(citation.contains("@"), bound(read, pairs))
 
 
 def field_value(fields: str, *names: str) -> Column:

@@ -105,6 +105,11 @@ CITATION_TYPES = (
     "misc phdthesis proceedings techreport unpublished"
 ).split()
 
+# words that stand for themselves in citations, by their first three letters
+MONTHS = [
+    "January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December",
+]
+
 # --- fixed values: registries -----------------------------------------------
 
 # organisation type -> (entity, id column, name column)

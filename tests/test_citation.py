@@ -72,3 +72,31 @@ def test_long_citation_does_not_exhaust_the_stack(frame):
     many = " ".join("{w}" for _ in range(30000))
     row = parsed(frame, "@misc{a, abstract={" + many + "}, title={t}, " + ", ".join(f"f{i}={{v}}" for i in range(5000)) + "}")
     assert row.title == "t" and row.abstract.startswith("w w w")
+
+
+def test_any_depth_of_braces(frame):
+    for levels in (6, 20, 1000):
+        deep = "{" * levels + "Deep" + "}" * levels
+        row = parsed(frame, "@misc{a, title=" + deep + ", doi={10.1/x}, year=2020}")
+        assert (row.title, row.doi, row.date) == ("Deep", "10.1/x", "2020")
+
+
+def test_concatenation_and_strings(frame):
+    row = parsed(frame, '@string{j = "Journal of " # {X}} @misc{a, title = "one" # " two", journal = j, date = 3 # "~" # mar}')
+    assert (row.title, row.journal_title, row.date) == ("one two", "Journal of X", "3 March")
+    assert parsed(frame, "@misc{a, title={x}, journal=unknown}").title is None
+
+
+def test_entries_in_parentheses(frame):
+    row = parsed(frame, '@misc(a, title={x) y}, url="u)v", year=2020)')
+    assert (row.title, row.url, row.date) == ("x) y", "u)v", "2020")
+
+
+def test_unknown_commands_stay(frame):
+    row = parsed(frame, r"@misc{a, title={The $\alpha$ and \foo of \emph{x}}}")
+    assert row.title == r"The α and \foo of x"
+
+
+def test_signs_inside_values(frame):
+    row = parsed(frame, '@misc{a, title={a @book{b, "c" = d # e}, f}, url={x#y=z}}')
+    assert (row.title, row.url) == ('a @bookb, "c" = d # e, f', "x#y=z")
