@@ -29,8 +29,10 @@ from pubgrade.llm.tables import cut_lineage, fresh_name
 
 #: Two sets of similarity 0.8 share none of 24 bands of 4 values with a chance of 3 in a million.
 BANDS, ROWS = 24, 4
-#: Rounds in which a band's members are compared with one of them; what is left then is compared directly.
-STAR_ROUNDS = 4
+#: Members of a band that are compared pair by pair; those of larger bands are compared in blocks.
+SMALL = 64
+#: Shingles and documents in a block, and the number of documents up to which a shingle is rare there.
+BLOCK, MEMBERS, RARE = 250_000, 1000, 8
 
 _SEEDS = np.random.default_rng(20240229).integers(1, 1 << 63, (2, BANDS * ROWS // 2), dtype=np.uint64)
 
@@ -108,39 +110,95 @@ def _fits(a: str, b: str, percent: int):
     return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
 
-def _links(active: DataFrame, sets: DataFrame, percent: int) -> DataFrame | None:
-    """(node, component) of the representatives that share bands; None without any link.
-
-    In each round every band's members are compared with its smallest member not
-    used so far (a star, not all pairs). Bands whose members all lie in one component
-    are settled. A round costs as many comparisons as there are members, and
-    ``STAR_ROUNDS`` rounds settle groups of copies of any size. Members still in
-    different components then are compared directly, so nothing is lost.
+def _compare(percent: int):
+    def compare(rows: pa.Table) -> pa.Table:
+        """Edges that join the documents of one or two blocks as their links do, at most one per document."""
+        reps, lists = rows.column("rep").to_numpy(), rows.column("runs").combine_chunks()
+        sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+        n, runs = len(reps), lists.flatten().to_numpy()
+        docs = np.repeat(np.arange(n), sizes)
+        order = np.argsort(runs, kind="stable")
+        runs, docs = runs[order], docs[order]
+        first = np.flatnonzero(np.diff(runs, prepend=runs[0] - 1))
+        counts = np.diff(np.append(first, len(runs)))
+        shared = np.zeros((n, n), np.float32)
+        # rare shingles: neighbours in the sorted order; frequent ones: a product of 0/1 matrices
+        column = np.repeat(np.arange(len(first)), counts)
+        rare = np.repeat(counts <= RARE, counts)
+        for k in range(1, RARE):
+            both = np.flatnonzero((column[k:] == column[:-k]) & rare[k:])
+            np.add.at(shared, (docs[both], docs[both + k]), 1)
+        shared += shared.T
+        often = np.flatnonzero(counts > RARE)
+        for part in (often[a : a + 1024] for a in range(0, len(often), 1024)):
+            at = np.flatnonzero(np.isin(column, part))
+            held = np.zeros((n, len(part)), np.float32)
+            held[docs[at], np.searchsorted(part, column[at])] = 1
+            shared += held @ held.T
+        linked = 100 * shared >= percent * (sizes[:, None] + sizes[None, :] - shared)
+        np.fill_diagonal(linked, True)
+        root, before = np.arange(n), None
+        while before is None or (root != before).any():
+            before = root
+            root = np.where(linked, root, n).min(axis=1)
+            root = root[root]
+        moved = np.flatnonzero(root != np.arange(n))
+        return pa.table({"u": reps[moved], "v": reps[root[moved]]}, pa.schema([("u", pa.int64()), ("v", pa.int64())]))
+
+    return compare
+
+
+def _compare_families(big: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Edges among the members of large bands, compared exactly in blocks.
+
+    Members that share large bands form a family, a family is dealt into blocks of
+    bounded total size, and every two blocks are compared in one task by a matrix
+    product. Only a forest of the links found leaves the task, no pairs.
+    """
+    centres = big.groupBy("band").agg(F.min("rep").alias("v"))
+    families = connected_components(big.select("band", F.col("rep").alias("u")).join(centres, "band").select("u", "v"))
+    members = families.unionByName(families.select(F.col("component").alias("node"), "component")).distinct()
+    members = cut_lineage(members.select(F.col("node").alias("rep"), F.col("component").alias("family")), "families")
+    held = members.join(sets, "rep").select("family", "rep", "runs")
+    held = cut_lineage(held, "family-sets")
+    blocks = held.groupBy("family").agg(
+        F.greatest(F.ceil(F.sum(F.size("runs")) / BLOCK), F.ceil(F.count("*") / MEMBERS)).cast("long").alias("blocks")
+    )
+    dealt = held.join(blocks, "family").withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    dealt = dealt.select("family", "rep", "runs", "own", other.alias("other"))
+    dealt = dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
+    return dealt.groupBy("family", "i", "j").applyInArrow(_compare(percent), "u long, v long")
+
+
+def _links(active: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(node, component) of the representatives that share bands.
+
+    First every band's members are compared with its smallest one (a star, not all
+    pairs), which settles groups of copies of any size. Bands whose members then lie
+    in different components are open: in small ones the members are compared with
+    each other, members of large ones in blocks. So every two members of a band are
+    compared, or known to be connected.
     """
-    found = None
-    open_ = active.withColumn("component", F.col("rep"))
-    for turn in range(STAR_ROUNDS + 1):
-        ends = open_.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.min("rep").alias("centre"))
-        ends = cut_lineage(ends.where("low < high").select("band", "centre"), "open-bands")
-        open_ = cut_lineage(open_.join(ends, "band"), "open")
-        if open_.isEmpty():
-            break
-        if turn < STAR_ROUNDS:
-            centres = open_.where("rep = centre").select("band", F.col("size").alias("c_size"), F.col("component").alias("c_component"))
-            pairs = open_.where("rep > centre").join(centres.distinct(), "band").where("component <> c_component")
-            pairs = pairs.where(_fits("size", "c_size", percent)).select(F.col("centre").alias("u"), F.col("rep").alias("v"))
-            open_ = open_.where("rep > centre")
-        else:
-            other = open_.select("band", F.col("rep").alias("v"), F.col("size").alias("v_size"), F.col("component").alias("v_component"))
-            pairs = open_.join(other, "band").where("rep < v and component <> v_component").where(_fits("size", "v_size", percent))
-            pairs = pairs.select(F.col("rep").alias("u"), "v")
-        edges = _confirmed(pairs, sets, percent)
-        if found is not None:
-            edges = edges.unionByName(found.select(F.col("node").alias("u"), F.col("component").alias("v")))
-        found = connected_components(edges)
-        renamed = found.select(F.col("node").alias("rep"), F.col("component").alias("found"))
-        open_ = open_.join(renamed, "rep", "left").select("band", "rep", "size", F.coalesce("found", "rep").alias("component"))
-    return found
+    centres = cut_lineage(active.groupBy("band").agg(F.min_by(F.struct("rep", "size"), "rep").alias("c")), "centres")
+    stars = active.join(centres, "band").where("rep > c.rep").where(_fits("size", "c.size", percent))
+    edges = cut_lineage(_confirmed(stars.select(F.col("c.rep").alias("u"), F.col("rep").alias("v")), sets, percent), "star-links")
+    found = connected_components(edges).select(F.col("node").alias("rep"), "component")
+    known = cut_lineage(active.join(found, "rep", "left").withColumn("component", F.coalesce("component", "rep")), "known")
+    ends = known.groupBy("band").agg(F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"))
+    open_ = cut_lineage(known.join(cut_lineage(ends.where("low < high").select("band", "n"), "open-bands"), "band"), "open")
+
+    small = open_.where(F.col("n") <= SMALL)
+    other = small.select("band", F.col("rep").alias("v"), F.col("size").alias("v_size"), F.col("component").alias("v_component"))
+    pairs = small.join(other, "band").where("rep < v and component <> v_component").where(_fits("size", "v_size", percent))
+    links = _confirmed(pairs.select(F.col("rep").alias("u"), "v"), sets, percent)
+    big = open_.where(F.col("n") > SMALL)
+    if not big.isEmpty():
+        links = links.unionByName(_compare_families(big, sets, percent))
+    more = cut_lineage(links, "more-links")
+    if more.isEmpty():
+        return found.withColumnRenamed("rep", "node")
+    return connected_components(edges.unionByName(more))
 
 
 def link_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
@@ -166,10 +224,7 @@ def link_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -
     chosen = text.join(wanted, "doc_id").withColumn("turn", F.row_number().over(once)).where("turn = 1").drop("turn")
     found = _links(active, cut_lineage(chosen.mapInArrow(_setter(shingle), "rep long, runs array<long>"), "sets"), percent)
 
-    linked = members.withColumn("component", F.col("rep"))
-    if found is not None:
-        linked = members.join(found.withColumnRenamed("node", "rep"), "rep", "left")
-        linked = linked.withColumn("component", F.coalesce("component", "rep"))
+    linked = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     linked = linked.select("doc_id", "n_shingles", F.col("component").alias("component_id"))
     alone = signed.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
