@@ -1,9 +1,10 @@
 import random
 from collections import defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
-from pubgrade.operators import merge
+from pubgrade.operators import enrich, merge
 
 
 def keys(frame, *works):
@@ -115,3 +116,39 @@ def test_hot_key_is_combined_before_the_shuffle(spark):
     assert merged.count() == 1
     plan = merged._jdf.queryExecution().executedPlan().toString()
     assert plan.index("partial_max") > plan.index("Exchange hashpartitioning(key")
+
+
+def test_frequent_author_list_is_split(spark):
+    """A third of the works shares one author list, a third has none; the joins can split the hot side."""
+    rows = [(f"p{i}", f"Title number {i}", "2020", ["1"] if i % 3 == 0 else None if i % 3 == 1 else [str(i)]) for i in range(30_000)]
+    works = spark.createDataFrame(rows, "orcid_publication_id string, title string, date string, authors array<string>").repartition(6)
+    people = [("1", "Ann", "A", None, None)] + [(str(i), "F", f"L{i}", None, None) for i in range(2, 3000)]
+    persons = spark.createDataFrame(people, "id string, firstName string, lastName string, otherNames string, publishedName string")
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {key: spark.conf.get(key, None) for key in conf}
+    for key, value in conf.items():
+        spark.conf.set(key, value)
+    try:
+        keyed = merge.add_duplicate_key_with_names(works, persons)
+        found = {r.orcid_publication_id: r.key for r in keyed.collect()}
+        plan = keyed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+    assert "SortMergeJoin(skew=true)" in plan
+    assert found["p0"] == "title number 0#2020#a. ann" and found["p1"] == "p1" and found["p5"] == "title number 5#2020#l5. f"
+
+
+def test_one_row_per_id_of_the_reference(frame):
+    works = frame("works", {"doi": "d", "orcid_publication_id": "1"})
+    reference = frame("crossRef", {"doi": "d", "title": "b"}, {"doi": "d", "title": "a"}, {"doi": None, "title": "n"})
+    assert [r.title for r in enrich.enrich_works(works, reference, duplicates="first").collect()] == ["a"]
+    assert sorted(r.title for r in enrich.enrich_works(works, reference).collect()) == ["a", "b"]
+    with pytest.raises(ValueError):
+        enrich.enrich_works(works, reference, duplicates="last")
