@@ -6,8 +6,8 @@ others, as smoothed log odds over labelled documents. The network (see
 ``recurrent``) reads overlapping windows of words, and a document's score is that of
 its highest window. Every window of every text is scored.
 
-The model is fitted on the driver from a bounded sample: at most ``sample``
-labelled documents of each class, those with the smallest hashes of their ids, each
+The model is fitted in one task from a bounded sample: at most ``sample`` toxic
+documents and twice as many others, those with the smallest hashes of their ids, each
 of at most ``longest`` characters. A training document's own share is taken out of
 the evidence of its words. Toxic documents train with the window of most
 evidence, others with that and one drawn window each. The logit's zero lies where
@@ -20,6 +20,7 @@ ignored by ``score`` and kept by ``drop_toxic``. Labels with a null id or class
 left out, and an id that is labelled both ways counts as toxic.
 """
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from pubgrade.llm import words
 from pubgrade.llm.recurrent import Network, sigmoid
 
-SAMPLE, LONGEST = 1500, 20_000
+SAMPLE, LONGEST = 1000, 20_000
 LENGTH, STRIDE = 32, 24
 STARTS, ENDINGS = (3, 4, 5, 6, 8), (3, 4, 5, 6)
 #: Strength of the prior in the log odds, in documents; rarer features give no evidence.
@@ -133,31 +134,41 @@ def fit(texts: pa.Array, labels: np.ndarray) -> Model | None:
     labels = labels.astype(np.int64)
     if len(set(labels.tolist())) < 2:
         return None
-    raw = texts.cast(pa.large_binary()).to_pylist()
-    offsets = np.concatenate([[0], np.cumsum([len(t) for t in raw])])
-    step = Words(np.frombuffer(b"".join(raw), np.uint8), offsets)
-    docs = np.repeat(np.arange(len(raw)), np.diff(step.firsts))
-    if not len(docs):
+    steps, word, sizes = [], [], []
+    for _, buffer, offsets in words.steps(texts):
+        step = Words(buffer, offsets)
+        steps.append(step.features)
+        word.append(step.inverse)
+        sizes.append(np.diff(step.firsts))
+    # distinct words of all steps, and every word's place among them
+    features = np.concatenate(steps)
+    _, where, merged = np.unique(features[:, 0], return_index=True, return_inverse=True)
+    features, begins = features[where], np.cumsum([0, *map(len, steps)])
+    word = np.concatenate([merged[begin + w] for begin, w in zip(begins, word)])
+    sizes = np.concatenate(sizes)
+    if not len(word):
         return None
-    pairs = np.unique(docs * len(step.features) + step.inverse)  # a document's distinct words
-    doc, word = pairs // len(step.features), pairs % len(step.features)
-    keys, place = np.unique(step.features, return_inverse=True)
-    place = place.reshape(step.features.shape)
-    toxic, clean = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+    docs, firsts = np.repeat(np.arange(len(sizes)), sizes), np.concatenate([[0], np.cumsum(sizes)])
+    pairs = np.unique(docs * len(features) + word)  # a document's distinct words
+    doc, own_word = pairs // len(features), pairs % len(features)
+    keys, place = np.unique(features, return_inverse=True)
+    place = place.reshape(features.shape).astype(np.int32)
+    toxic, clean = np.zeros(len(keys), np.int32), np.zeros(len(keys), np.int32)
     for k in range(place.shape[1]):  # each kind of feature counts once a document
-        seen = np.unique(doc * len(keys) + place[word, k])
+        seen = np.unique(doc * len(keys) + place[own_word, k])
         mark = labels[seen // len(keys)]
-        toxic += np.bincount(seen[mark == 1] % len(keys), minlength=len(keys))
-        clean += np.bincount(seen[mark == 0] % len(keys), minlength=len(keys))
+        toxic += np.bincount(seen[mark == 1] % len(keys), minlength=len(keys)).astype(np.int32)
+        clean += np.bincount(seen[mark == 0] % len(keys), minlength=len(keys)).astype(np.int32)
     share = labels.mean()
     toxic[keys == 0] = clean[keys == 0] = 0
     # the word vectors as a document of either class sees them, without its own share
-    own = [_join(_log_odds(np.maximum(toxic - y, 0), np.maximum(clean - (1 - y), 0), share)[place]) for y in (0, 1)]
-    vectors = np.where(labels[docs][:, None] == 1, own[1][step.inverse], own[0][step.inverse])
+    own = [_join(_log_odds(np.maximum(toxic - y, 0), np.maximum(clean - (1 - y), 0), share).astype(np.float32)[place]) for y in (0, 1)]
+    vectors, is_toxic = own[0][word], labels[docs] == 1
+    vectors[is_toxic] = own[1][word[is_toxic]]
 
-    starts, sizes, of = windows(step.firsts)
+    starts, lengths, of = windows(firsts)
     strength = np.concatenate([[0], np.cumsum(np.maximum(vectors[:, :5], 0).sum(axis=1), dtype=np.float64)])
-    strength = strength[starts + sizes] - strength[starts]
+    strength = strength[starts + lengths] - strength[starts]
     order = np.lexsort((-strength, of))
     top = order[np.flatnonzero(np.diff(of[order], prepend=-1))]
     drawn = np.random.default_rng(5).random(len(of))
@@ -168,50 +179,68 @@ def fit(texts: pa.Array, labels: np.ndarray) -> Model | None:
     x = vectors[np.minimum(starts[chosen] + time, len(vectors) - 1)]
     y = labels[of[chosen]]
     network = Network(INPUTS)
-    network.train(x, time < sizes[chosen], y.astype(np.float32), np.where(y == 1, len(y) / y.sum(), len(y) / (1 - y).sum()).astype(np.float32))
+    network.train(x, time < lengths[chosen], y.astype(np.float32), np.where(y == 1, len(y) / y.sum(), len(y) / (1 - y).sum()).astype(np.float32))
 
-    logits = np.full(len(raw), -np.inf, np.float32)
-    np.maximum.at(logits, of, network.logits(vectors, starts, sizes, LENGTH))
+    logits = np.full(len(labels), -np.inf, np.float32)
+    for a in range(0, len(starts), 8192):  # windows follow each other, so a part of the vectors is enough
+        some = slice(a, a + 8192)
+        low, high = starts[some].min(), (starts[some] + lengths[some]).max()
+        np.maximum.at(logits, of[some], network.logits(vectors[low:high], starts[some] - low, lengths[some], LENGTH))
     has = np.isfinite(logits)
     odds = _log_odds(toxic, clean, share).astype(np.float32)
     kept = odds != 0
     return Model(keys[kept], odds[kept], network, _split_point(logits[has], labels[has]))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int = LONGEST) -> pa.Table:
-    """doc_id, toxic and text of the bounded sample, in the order of the ids."""
+def training_rows(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int = LONGEST) -> DataFrame:
+    """doc_id, toxic and text of the bounded sample."""
     known = labels.where("doc_id is not null and toxic in (0, 1)").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     chosen = known.where("toxic = 1").orderBy(*order).limit(sample).unionByName(known.where("toxic = 0").orderBy(*order).limit(sample * 2))
     # at most 3 * sample rows of two numbers go to every task
     text = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where(F.char_length("text") <= longest)
-    rows = text.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))
-    return rows.toArrow().sort_by("doc_id")
+    return text.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("text").alias("text"))
+
+
+def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int = LONGEST) -> bytes | None:
+    """The fitted model, pickled. The sample meets in one task, which needs more memory than the driver may have."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if found := list(batches):
+            rows = pa.Table.from_batches(found).sort_by("doc_id")
+            model = fit(rows.column("text").combine_chunks(), rows.column("toxic").to_numpy())
+            if model is not None:
+                yield pa.RecordBatch.from_pydict({"model": [pickle.dumps(model)]}, pa.schema([("model", pa.binary())]))
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, longest: int = LONGEST) -> Model | None:
-    rows = training_rows(docs, labels, sample, longest)
-    return fit(rows.column("text").combine_chunks(), rows.column("toxic").to_numpy())
+    rows = training_rows(docs, labels, sample, longest).repartition(1).mapInArrow(run, "model binary").collect()
+    return bytes(rows[0].model) if rows else None
 
 
-def _scorer(spark, model: Model | None):
+def _scorer(spark, model: bytes | None):
     shared = spark.sparkContext.broadcast(model)
 
-    def scores(texts: pa.Array) -> np.ndarray:
-        if shared.value is None:
-            return np.zeros(len(texts))
-        parts = [shared.value.scores(buffer, offsets) for _, buffer, offsets in words.steps(texts)]
-        return np.concatenate([*parts, np.zeros(0)])
+    def load():
+        """The scores of a batch of texts, with the model loaded once per task."""
+        fitted = None if shared.value is None else pickle.loads(shared.value)
+
+        def scores(texts: pa.Array) -> np.ndarray:
+            if fitted is None:
+                return np.zeros(len(texts))
+            parts = [fitted.scores(buffer, offsets) for _, buffer, offsets in words.steps(texts)]
+            return np.concatenate([*parts, np.zeros(0)])
+
+        return scores
 
-    return scores
+    return load
 
 
 def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, held_out, score, predicted of every document."""
-    scores = _scorer(docs.sparkSession, train(docs, labels, sample))
+    load = _scorer(docs.sparkSession, train(docs, labels, sample))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores = load()
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores(batch.column(1)))], names=["doc_id", "score"])
 
@@ -221,10 +250,11 @@ def score(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """The rows that score below one half, all columns kept, without a shuffle."""
-    scores = _scorer(docs.sparkSession, train(docs, labels, sample))
+    load = _scorer(docs.sparkSession, train(docs, labels, sample))
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scores = load()
         for batch in batches:
             yield batch.filter(pa.array(scores(batch.column(at)) < 0.5))
 
