@@ -226,6 +226,7 @@ class TokenFile:
         self.index = pa.ipc.open_file(store.open_input_file(place + ".index.arrow"))
         self.length = self.file.schema.field("ids").type.list_size
         self.batches = self.file.num_record_batches
+        self.per_batch = self.file.get_batch(0).num_rows if self.batches else 1  # all but the last are alike
 
     def batch(self, k: int) -> np.ndarray:
         """Ids of a batch as (sequences x length)."""
@@ -233,11 +234,11 @@ class TokenFile:
         return ids.flatten().to_numpy(zero_copy_only=True).reshape(-1, self.length)
 
     def sequence(self, k: int) -> np.ndarray:
-        return self.batch(k // BATCH_SEQUENCES)[k % BATCH_SEQUENCES]
+        return self.batch(k // self.per_batch)[k % self.per_batch]
 
     def mask(self, k: int) -> np.ndarray:
-        lists = self.file.get_batch(k // BATCH_SEQUENCES).column(1)
-        return lists[k % BATCH_SEQUENCES].values.to_numpy(zero_copy_only=False)
+        lists = self.file.get_batch(k // self.per_batch).column(1)
+        return lists[k % self.per_batch].values.to_numpy(zero_copy_only=False)
 
     def documents(self) -> Iterator[pa.RecordBatch]:
         for k in range(self.index.num_record_batches):

@@ -62,8 +62,7 @@ def test_ids(texts, monkeypatch):
     assert lines(texts, each) == expected
 
 
-def test_files(spark, docs, edge_rows, monkeypatch):
-    monkeypatch.setattr(token_files, "BATCH_SEQUENCES", 4)
+def test_files(spark, docs, edge_rows):
     rows = [r for r in edge_rows if r[0] is not None] + [(100 + i, f"text number {i} " * i) for i in range(50)]
     files = token_files.write_token_files(docs(*rows), scratch_path(spark, "ids"), WORD, end_id=2, length=64)
     library = Tokenizer.from_file(WORD)
