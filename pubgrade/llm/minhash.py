@@ -129,18 +129,21 @@ def _compare(percent: int):
             both = np.flatnonzero((column[k:] == column[:-k]) & rare[k:])
             np.add.at(shared, (docs[both], docs[both + k]), 1)
         shared += shared.T
-        often = np.flatnonzero(counts > RARE)
+        often, held = np.flatnonzero(counts > RARE), None
         for part in (often[a : a + 1024] for a in range(0, len(often), 1024)):
             at = np.flatnonzero(np.isin(column, part))
             held = np.zeros((n, len(part)), np.float32)
             held[docs[at], np.searchsorted(part, column[at])] = 1
             shared += held @ held.T
-        linked = 100 * shared >= percent * (sizes[:, None] + sizes[None, :] - shared)
+        linked, some = np.empty((n, n), bool), [slice(a, a + 256) for a in range(0, n, 256)]
+        for rows_ in some:  # in strips, so that only one matrix of numbers is held
+            linked[rows_] = 100 * shared[rows_] >= percent * (sizes[rows_, None] + sizes[None, :] - shared[rows_])
+        del shared, held
         np.fill_diagonal(linked, True)
         root, before = np.arange(n), None
         while before is None or (root != before).any():
             before = root
-            root = np.where(linked, root, n).min(axis=1)
+            root = np.concatenate([np.where(linked[rows_], root, n).min(axis=1) for rows_ in some])
             root = root[root]
         moved = np.flatnonzero(root != np.arange(n))
         return pa.table({"u": reps[moved], "v": reps[root[moved]]}, pa.schema([("u", pa.int64()), ("v", pa.int64())]))

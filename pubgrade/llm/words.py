@@ -15,7 +15,7 @@ import pyarrow as pa
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 #: Bytes of text that one step works on; a longer text is one step of its own.
-STEP_BYTES = 2_000_000
+STEP_BYTES = 1_000_000
 
 #: The blanks of the word pattern [^\x20\x09-\x0D]+.
 BLANKS = b" \t\n\x0b\x0c\r"
