@@ -9,14 +9,24 @@ together; a document is contaminated by an item if one diagonal holds at least
 ``least`` windows, or half the windows of a short item, and if the slots agree: every
 value of the item stands for one value in the document throughout.
 
-Rows (``find_leaks``): doc_id, item_id, n_windows (of the best diagonal), exact (all
-slot values equal), one per pair. Null and empty texts have no windows, nor have
+What this template misses is searched for under two wider ones, by the same rules.
+Both make one word of a number in digit groups (1 250) or in words (twenty five) and
+know units in any case. ``folded`` has all other words in lower case, so it finds
+items in other letter case; ``named`` takes every capitalised word for a name, the
+first of a sentence too. A name that is changed in a text without capitals is not
+recognised, and number words are English.
+
+Rows (``find_leaks``): doc_id, item_id, n_windows (of the best diagonal; under the
+wider templates only where the plain one finds nothing), exact (all slot values
+equal), one per pair. Null and empty texts have no windows, nor have
 texts under eight words; windows with fewer than four words that are no
 placeholders are not searched for. Rows that repeat an id are judged by their own
 text and reported once. Empty tables give no rows, other columns are ignored here
 and kept by ``drop_leaks``. Everything is DataFrame expressions.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -44,15 +54,43 @@ STEPS = [
     (r"([\p{L}\p{N}>])[.,;:!?)]+([\x20\x09-\x0D]|$)", "$1$2"),
 ]
 
+NUMBER_WORDS = (
+    "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen "
+    "twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion"
+).split()
+_NUMBER = r"\b(?:" + "|".join(NUMBER_WORDS) + r")\b"
+#: Signs of number, unit and name in the wider templates, for private use; a text's own are taken for blanks.
+NUM, UNIT, NAME = "\ue000", "\ue001", "\ue002"
+SIGNS = NUM + UNIT + NAME
+#: Makes one word of each number.
+JOINS = [
+    (r"(?<![0-9.,:/])([0-9]{1,3})[\x20\x{A0}\x{202F}](?=[0-9]{3}(?![0-9]))", "$1"),
+    (rf"(?i)({_NUMBER}){_BLANK}(?:and{_BLANK})?(?={_NUMBER})", "$1-"),
+]
+_VALUES = [
+    (rf"(?i)[0-9]+(?:[.,:/][0-9]+)*|{_NUMBER}(?:-{_NUMBER})*", NUM),
+    (rf"[$€£¥]{NUM}", UNIT + NUM),
+    (rf"(?i)({NUM} ?)(?:%|(?:" + "|".join(UNITS) + r")\b)", "$1" + UNIT),
+]
+_CLOSING = (rf"([\p{{L}}\p{{N}}{SIGNS}])[.,;:!?)]+(?=[\x20\x09-\x0D]|$)", "$1")
+WIDER = {
+    "folded": [*_VALUES, _CLOSING],
+    "named": [*_VALUES, (r"(?<![\p{L}\p{N}'-])\p{Lu}[\p{L}'-]*", NAME), _CLOSING],
+}
+
 
 def _words(text: Column) -> Column:
     return F.filter(F.split(text, _BLANK), lambda w: w != "")
 
 
 def template(text: Column) -> Column:
-    for pattern, by in STEPS:
+    return F.lower(_replaced(text, STEPS))
+
+
+def _replaced(text: Column, steps: list[tuple[str, str]]) -> Column:
+    for pattern, by in steps:
         text = F.regexp_replace(text, pattern, by)
-    return F.lower(text)
+    return text
 
 
 def _windows(words: str) -> Column:
@@ -72,17 +110,12 @@ def benchmark_windows(items: DataFrame) -> DataFrame:
     return firsts.join(counts, "item_id")
 
 
-def _agreeing(candidates: DataFrame, docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Candidates with ``exact``, without those whose slots disagree."""
-    doc = docs.select("doc_id", F.xxhash64("text").alias("key"), _words(F.col("text")).alias("raw"), _words(template(F.col("text"))).alias("words"))
-    item = items.select("item_id", _words(F.col("text")).alias("i_raw"), _words(template(F.col("text"))).alias("i_words"))
-    id_, key = F.col("doc_id"), F.col("key")
-    own = candidates.withColumnsRenamed({"doc_id": "d", "key": "k"})
-    joined = doc.join(own, id_.eqNullSafe(F.col("d")) & (key == F.col("k"))).drop("d", "k").join(item, "item_id")
+def _agreeing(joined: DataFrame, is_slot: Callable[[Column], Column]) -> DataFrame:
+    """Candidates with ``exact``, without those whose slots disagree; ``joined`` has their raw, words, i_raw and i_words."""
     # positions of the item, the same word of the document is ``diagonal`` further
     places = F.filter(
         F.sequence(F.col("low"), F.col("high") + WINDOW - 1),
-        lambda p: F.contains(F.get("i_words", p), F.lit("<")) & F.get("i_words", p).eqNullSafe(F.get("words", p + F.col("diagonal"))),
+        lambda p: is_slot(F.get("i_words", p)) & F.get("i_words", p).eqNullSafe(F.get("words", p + F.col("diagonal"))),
     )
 
     def value(word: Column) -> Column:
@@ -97,24 +130,99 @@ def _agreeing(candidates: DataFrame, docs: DataFrame, items: DataFrame) -> DataF
     return agreeing.select("doc_id", "key", "item_id", "n_windows", F.forall("slots", lambda s: s["i"].eqNullSafe(s["d"])).alias("exact"))
 
 
-def _leaks(docs: DataFrame, items: DataFrame, least: int, broadcast_windows: int) -> DataFrame:
-    """doc_id, key (hash of the text), item_id, n_windows, exact."""
-    index = cut_lineage(benchmark_windows(items), "benchmark-windows")
+def _with_texts(candidates: DataFrame, docs: DataFrame) -> DataFrame:
+    """``docs`` joined with its candidates."""
+    own = candidates.withColumnsRenamed({"doc_id": "d", "key": "k"})
+    return docs.join(own, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k"))).drop("d", "k")
+
+
+def _lines(matches: DataFrame, least: int) -> DataFrame:
+    """The diagonals with enough windows."""
+    lines = matches.groupBy("doc_id", "key", "item_id", "kind", "n", "diagonal").agg(
+        F.count("*").alias("n_windows"), F.min("at").alias("low"), F.max("at").alias("high"), F.max("slotted").alias("slotted")
+    )
+    # a passage may lose a window at either end to the text around it
+    return lines.where(F.col("n_windows") >= F.least(F.ceil(F.col("n") / 2), F.lit(least)))
+
+
+def _matches(placed: DataFrame, index: DataFrame, broadcast_windows: int) -> DataFrame:
     if index.count() <= broadcast_windows:
         index = F.broadcast(index)
+    diagonal = (F.col("place") - F.col("at")).alias("diagonal")
+    return placed.join(index, "hash").select("doc_id", "key", "item_id", "kind", "n", "at", "slotted", diagonal).distinct()
+
+
+def _best(found: DataFrame) -> DataFrame:
+    return found.groupBy("doc_id", "key", "item_id").agg(F.max("n_windows").alias("n_windows"), F.max("exact").alias("exact"))
+
+
+def _plain_leaks(docs: DataFrame, items: DataFrame, least: int, broadcast_windows: int) -> DataFrame:
+    index = cut_lineage(benchmark_windows(items).withColumn("kind", F.lit("plain")), "benchmark-windows")
     words = docs.select("doc_id", F.xxhash64("text").alias("key"), _words(template(F.col("text"))).alias("words"))
     placed = words.select("doc_id", "key", F.posexplode(_windows("words")).alias("place", "hash"))
-    diagonal = (F.col("place") - F.col("at")).alias("diagonal")
-    matches = placed.join(index, "hash").select("doc_id", "key", "item_id", "n", "at", "slotted", diagonal).distinct()
-    lines = matches.groupBy("doc_id", "key", "item_id", "n", "diagonal").agg(
-        F.count("*").alias("n_windows"), F.min("at").alias("low"), F.max("at").alias("high"), F.max("slotted").alias("slotted")
-    )
-    # a passage may lose a window at either end to the text around it
-    enough = F.col("n_windows") >= F.least(F.ceil(F.col("n") / 2), F.lit(least))
-    candidates = cut_lineage(lines.where(enough), "leak-candidates")
+    candidates = cut_lineage(_lines(_matches(placed, index, broadcast_windows), least), "leak-candidates")
     plain = candidates.where("not slotted").select("doc_id", "key", "item_id", "n_windows", F.lit(True).alias("exact"))
-    agreeing = plain.unionByName(_agreeing(candidates.where("slotted"), docs, items))
-    return agreeing.groupBy("doc_id", "key", "item_id").agg(F.max("n_windows").alias("n_windows"), F.max("exact").alias("exact"))
+    texts = _with_texts(candidates.where("slotted"), docs.select("doc_id", F.xxhash64("text").alias("key"), "text"))
+    texts = texts.withColumns({"raw": _words(F.col("text")), "words": _words(template(F.col("text")))}).drop("text")
+    item = items.select("item_id", _words(F.col("text")).alias("i_raw"), _words(template(F.col("text"))).alias("i_words"))
+    return _best(plain.unionByName(_agreeing(texts.join(item, "item_id"), lambda w: F.contains(w, F.lit("<")))))
+
+
+def _wider_words(table: DataFrame) -> DataFrame:
+    """``table`` with the words of its text (raw) and of the wider templates, the same number of each, instead of the text."""
+    joined = table.withColumn("text", _replaced(F.translate("text", SIGNS, " " * len(SIGNS)), JOINS))
+    wider = {kind: _words(F.lower(_replaced(F.col("text"), steps))) for kind, steps in WIDER.items()}
+    return joined.withColumns({"raw": _words(F.col("text")), **wider}).drop("text")
+
+
+def _is_slot(word: Column) -> Column:
+    return F.rlike(word, F.lit(f"[{SIGNS}]"))
+
+
+def _wider_windows(words: DataFrame, *keys: str) -> DataFrame:
+    """keys, kind, place, hash and n_slots of all windows under the wider templates."""
+    hashed = words.select(*keys, *[F.transform(k, lambda w: F.struct(F.xxhash64(w).alias("h"), _is_slot(w).alias("slot"))).alias(k) for k in WIDER])
+    return hashed.select(*keys, F.explode(F.concat(*[_kind_windows(k) for k in WIDER])).alias("w")).select(*keys, "w.*")
+
+
+def _kind_windows(kind: str) -> Column:
+    n = F.size(kind)
+
+    def window(i: Column) -> Column:
+        part = F.slice(kind, i, WINDOW)
+        return F.struct(
+            F.lit(kind).alias("kind"), (i - 1).alias("place"), F.xxhash64(F.lit(kind), part).alias("hash"), F.size(F.filter(part, lambda w: w["slot"])).alias("n_slots")
+        )
+
+    starts = F.when(n >= WINDOW, F.sequence(F.lit(1), n - WINDOW + 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, window)
+
+
+def _wider_leaks(docs: DataFrame, items: DataFrame, known: DataFrame, least: int, broadcast_windows: int) -> DataFrame:
+    """Leaks under the wider templates, without the pairs in ``known``."""
+    item = _wider_words(items.where("item_id is not null").select("item_id", "text"))
+    windows = _wider_windows(item, "item_id").where(F.col("n_slots") <= WINDOW - LITERALS)
+    firsts = windows.groupBy("hash", "item_id", "kind").agg(F.min("place").alias("at"), F.max(F.col("n_slots") > 0).alias("slotted"))
+    index = cut_lineage(firsts.join(firsts.groupBy("item_id", "kind").agg(F.count("*").alias("n")), ["item_id", "kind"]), "wider-windows")
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
+    placed = _wider_windows(_wider_words(keyed), "doc_id", "key").select("doc_id", "key", "place", "hash")
+    lines = _lines(_matches(placed, index, broadcast_windows), least)
+    same = known.select(F.col("doc_id").alias("d"), F.col("key").alias("k"), F.col("item_id").alias("i"))
+    new = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k")) & (F.col("item_id") == F.col("i"))
+    candidates = cut_lineage(lines.join(same, new, "left_anti"), "wider-candidates")
+    plain = candidates.where("not slotted").select("doc_id", "key", "item_id", "n_windows", F.lit(True).alias("exact"))
+    texts = _wider_words(_with_texts(candidates.where("slotted"), keyed))
+    texts = texts.join(item.select("item_id", F.col("raw").alias("i_raw"), *[F.col(k).alias(f"i_{k}") for k in WIDER]), "item_id")
+    for kind in WIDER:
+        own = texts.where(F.col("kind") == kind).withColumns({"words": F.col(kind), "i_words": F.col(f"i_{kind}")})
+        plain = plain.unionByName(_agreeing(own, _is_slot))
+    return _best(plain)
+
+
+def _leaks(docs: DataFrame, items: DataFrame, least: int, broadcast_windows: int) -> DataFrame:
+    """doc_id, key (hash of the text), item_id, n_windows, exact."""
+    plain = cut_lineage(_plain_leaks(docs, items, least, broadcast_windows), "plain-leaks")
+    return plain.unionByName(_wider_leaks(docs, items, plain, least, broadcast_windows))
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, least: int = LEAST, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:

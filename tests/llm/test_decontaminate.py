@@ -48,3 +48,32 @@ def test_template_keeps_words_apart(spark):
     row = spark.createDataFrame([(text,)], "text string").select(decontaminate.template(F.col("text"))).first()
     assert row[0] == "he paid <unit><num> for <num> <unit> then <name> <name> <name> went"
     assert len(row[0].split()) == len(text.split())
+
+
+VARIED = [
+    # question, the same in another wording
+    ("In the summer Anna Smith met Paul in Rome and then saw Maria in Berlin before going home.", str.upper),
+    ("In the summer Anna Smith met Paul in Rome and then saw Maria in Berlin before going home.", str.lower),
+    (
+        "A farmer has three baskets with some apples and gives five of them to the children who live near the old mill.",
+        lambda q: q.replace("three", "seven").replace("five", "twenty nine"),
+    ),
+    ("Tom goes to the old shop. Tom buys some bread there. Tom pays and goes back to the house.", lambda q: q.replace("Tom", "Anna")),
+    ("The big tank of the house holds 40 litres of water and the pump needs an hour to fill it.", lambda q: q.replace("40", "1 250")),
+    ("The small bag on the table weighs 7 kg and the large one next to it weighs far more than that.", lambda q: q.replace("7 kg", "9 KG")),
+]
+
+
+@pytest.mark.parametrize("limit", [decontaminate.BROADCAST_WINDOWS, 0])
+def test_other_case_number_words_first_names_and_digit_groups(spark, docs, limit):
+    items = spark.createDataFrame([(i, q) for i, (q, _) in enumerate(VARIED)], "item_id long, text string")
+    df = docs(*[(i, FILL + change(q) + " " + FILL) for i, (q, change) in enumerate(VARIED)], (90, FILL))
+    found = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(df, items, broadcast_windows=limit).collect()}
+    assert found == {(i, i) for i in range(len(VARIED))} | {(0, 1), (1, 0)}
+    assert [r.doc_id for r in decontaminate.drop_leaks(df, items).collect()] == [90]
+
+
+def test_wider_slots_must_agree(spark, docs):
+    items = spark.createDataFrame([(1, VARIED[3][0])], "item_id long, text string")
+    text = VARIED[3][0].replace("Tom buys", "Anna buys")  # Tom would stand for two names
+    assert decontaminate.find_leaks(docs((1, text)), items).count() == 0
