@@ -16,13 +16,17 @@ items in other letter case; ``named`` takes every capitalised word for a name, t
 first of a sentence too. A name that is changed in a text without capitals is not
 recognised, and number words are English.
 
+Items without any window under the plain template are searched for word by word, in
+any case and without closing punctuation: those of fewer than eight words as a whole,
+however short, the others by their windows. An item of one common word is found in
+every document that has the word.
+
 Rows (``find_leaks``): doc_id, item_id, n_windows (of the best diagonal; under the
 wider templates only where the plain one finds nothing), exact (all slot values
-equal), one per pair. Null and empty texts have no windows, nor have
-texts under eight words; windows with fewer than four words that are no
-placeholders are not searched for. Rows that repeat an id are judged by their own
-text and reported once. Empty tables give no rows, other columns are ignored here
-and kept by ``drop_leaks``. Everything is DataFrame expressions.
+equal), one per pair. Null and empty texts have no windows. In a template, windows with
+fewer than four words that are no placeholders are not searched for. Rows that repeat
+an id are judged by their own text and reported once. Empty tables give no rows, other
+columns are ignored here and kept by ``drop_leaks``. Everything is DataFrame expressions.
 """
 
 from collections.abc import Callable
@@ -219,10 +223,46 @@ def _wider_leaks(docs: DataFrame, items: DataFrame, known: DataFrame, least: int
     return _best(plain)
 
 
+def _raw_words(text: Column) -> Column:
+    return _words(F.lower(_replaced(text, [_CLOSING])))
+
+
+def _raw_windows(words: str, size: int) -> Column:
+    n = F.size(words)
+    starts = F.when(n >= size, F.sequence(F.lit(1), n - size + 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.struct((i - 1).alias("place"), F.xxhash64(F.lit(size), F.slice(words, i, size)).alias("hash")))
+
+
+def _raw_leaks(docs: DataFrame, items: DataFrame, least: int, broadcast_windows: int) -> DataFrame | None:
+    """Leaks of the items that have no window under the plain template, None without such items."""
+    words = items.where("item_id is not null").select("item_id", _words(template(F.col("text"))).alias("words"), _raw_words(F.col("text")).alias("raw"))
+
+    def searched(i: Column) -> Column:
+        return F.size(F.filter(F.slice("words", i, WINDOW), lambda w: ~F.contains(w, F.lit("<")))) >= LITERALS
+
+    starts = F.when(F.size("words") >= WINDOW, F.sequence(F.lit(1), F.size("words") - WINDOW + 1)).otherwise(F.array().cast("array<int>"))
+    left_out = words.where((F.size("raw") > 0) & ~F.exists(starts, searched)).select("item_id", "raw", F.least(F.size("raw"), F.lit(WINDOW)).alias("size"))
+    left_out = cut_lineage(left_out, "unsearched-items")
+    # at most one number per size comes to the driver
+    sizes = sorted(row["size"] for row in left_out.select("size").distinct().collect())
+    if not sizes:
+        return None
+    each = F.coalesce(*[F.when(F.col("size") == n, _raw_windows("raw", n)) for n in sizes])
+    firsts = left_out.select("item_id", "size", F.explode(each).alias("w")).groupBy("w.hash", "item_id", "size").agg(F.min("w.place").alias("at"))
+    counts = firsts.groupBy("item_id", "size").agg(F.when(F.col("size") < WINDOW, 1).otherwise(F.count("*")).cast("long").alias("n"))
+    index = firsts.join(counts, ["item_id", "size"]).select("hash", "item_id", "at", "n", F.lit("raw").alias("kind"), F.lit(False).alias("slotted"))
+    own = docs.select("doc_id", F.xxhash64("text").alias("key"), _raw_words(F.col("text")).alias("raw"))
+    placed = own.select("doc_id", "key", F.explode(F.concat(*[_raw_windows("raw", n) for n in sizes])).alias("w")).select("doc_id", "key", "w.*")
+    lines = _lines(_matches(placed, cut_lineage(index, "raw-windows"), broadcast_windows), least)
+    return lines.select("doc_id", "key", "item_id", "n_windows", F.lit(True).alias("exact"))
+
+
 def _leaks(docs: DataFrame, items: DataFrame, least: int, broadcast_windows: int) -> DataFrame:
     """doc_id, key (hash of the text), item_id, n_windows, exact."""
     plain = cut_lineage(_plain_leaks(docs, items, least, broadcast_windows), "plain-leaks")
-    return plain.unionByName(_wider_leaks(docs, items, plain, least, broadcast_windows))
+    more = _wider_leaks(docs, items, plain, least, broadcast_windows)
+    raw = _raw_leaks(docs, items, least, broadcast_windows)
+    return plain.unionByName(more if raw is None else _best(more.unionByName(raw)))
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, least: int = LEAST, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:

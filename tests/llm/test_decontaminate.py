@@ -77,3 +77,19 @@ def test_wider_slots_must_agree(spark, docs):
     items = spark.createDataFrame([(1, VARIED[3][0])], "item_id long, text string")
     text = VARIED[3][0].replace("Tom buys", "Anna buys")  # Tom would stand for two names
     assert decontaminate.find_leaks(docs((1, text)), items).count() == 0
+
+
+@pytest.mark.parametrize("limit", [decontaminate.BROADCAST_WINDOWS, 0])
+def test_items_without_template_windows(spark, docs, limit):
+    questions = [
+        "What is the capital of France?",
+        "Compute the sum 12 15 18 21 24 27 30 33 36",
+        "<ul> <li> a </li> <li> b </li> <li> c </li> </ul>",
+        "Why?",
+    ]
+    items = spark.createDataFrame([*enumerate(questions), (9, ""), (10, None)], "item_id long, text string")
+    rows = [(i, FILL + q + " " + FILL) for i, q in enumerate(questions)]
+    df = docs(*rows, (20, FILL + "WHAT IS the capital of france"), (21, FILL + "What is the capital of Spain?"), (22, "15 18 21"), (23, None), (24, FILL))
+    found = {(r.doc_id, r.item_id, r.exact) for r in decontaminate.find_leaks(df, items, broadcast_windows=limit).collect()}
+    assert found == {(i, i, True) for i in range(4)} | {(20, 0, True)}
+    assert sorted(r.doc_id for r in decontaminate.drop_leaks(df, items).collect()) == [21, 22, 23, 24]
