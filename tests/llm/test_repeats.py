@@ -97,3 +97,37 @@ def test_long_words_count_more():
     for _, buffer, offsets in words.steps(pa.array([text])):
         first, last, _ = repeats.Sentences(buffer, offsets).runs()
         assert len(first) == 1
+
+
+@pytest.mark.parametrize("length", [0, 11, 13, 14, 17])
+def test_passages_cut_into_mid_sentence(docs, length):
+    """Every passage of 50 words is found, wherever it breaks sentences off, and but for ten words at either end."""
+    rng = random.Random(length)
+    rows, passages = [], {}
+    for shift in range(12):
+        w = [f"p{length}x{shift}x{k}" for k in range(50)]
+        if length:
+            w = [x + "." * ((k + shift) % length == length - 1) for k, x in enumerate(w)]
+        passages[100 + shift] = w
+        for base in (0, 100):
+            around = [[f"o{rng.randint(0, 10**9)}" for _ in range(rng.randint(3, 30))] for _ in range(2)]
+            rows.append((base + shift, " ".join(around[0] + w + around[1])))
+    texts = dict(rows)
+    found = {r.doc_id: r for r in repeats.find_repeats(docs(*rows)).collect()}
+    assert found.keys() == passages.keys()
+    for doc, r in found.items():
+        left = set(r.text.split())
+        assert not left & set(passages[doc][10:40])
+        assert left >= set(texts[doc].split()) - set(passages[doc])
+
+
+def test_full_stops_of_other_scripts(docs):
+    stops = {"。": "", "।": " ", "؟": " ", "۔": " "}
+    rows, left = [], {}
+    for k, (stop, blank) in enumerate(stops.items()):
+        shared = blank.join(f"{c * 90}{blank}{c * 90}{stop}" for c in ("日本語" if not blank else "कखग" if stop == "।" else "ابت"))
+        rows += [(k, f"eins{stop}{blank}{shared}"), (10 + k, f"zwei{stop}{blank}{shared}{blank}drei{stop}")]
+        left[10 + k] = [f"zwei{stop}", f"drei{stop}"]
+    found = {r.doc_id: r.text for r in repeats.find_repeats(docs(*rows)).collect()}
+    assert {d: re.findall(r"(?:zwei|drei).", t) for d, t in found.items()} == left
+    assert all(len(t) < 20 for t in found.values())
