@@ -9,8 +9,8 @@ is confirmed on the full sets.
 
 Rows (``link_near_duplicates``): one per document with doc_id, n_shingles,
 component_id (smallest doc_id reachable over links), kept. Null and blank texts
-have an empty set and are linked with nothing. Rows that repeat a doc_id share
-that id's component. A null doc_id cannot be named in a link: its row comes back
+have an empty set and are linked with nothing. Rows that repeat a doc_id with another
+text have the component of their own text. A null doc_id cannot be named in a link: its row comes back
 with a null component_id and is kept. An empty table gives no rows; other columns
 of the input are ignored here and kept by ``drop_near_duplicates``.
 """
@@ -77,8 +77,9 @@ def _signer(size: int):
                         pa.array(sizes, pa.int64()),
                         pa.array(digests, pa.binary()),
                         words.flat_lists(lists, pa.int64()),
+                        batch.column(2).slice(rows.start, len(sets)),
                     ],
-                    names=["doc_id", "n_shingles", "digest", "bands"],
+                    names=["doc_id", "n_shingles", "digest", "bands", "text_key"],
                 )
 
     return sign
@@ -205,7 +206,12 @@ def _links(active: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def link_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """One row per document with its component; see the module's text.
+    """One row per document with its component; see the module's text."""
+    return _linked(docs, shingle, percent).drop("text_key")
+
+
+def _linked(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The rows of ``link_near_duplicates`` with text_key, a hash of the text.
 
     Exact copies (of the set) are grouped by a digest first and only their
     representative goes on, so copies never meet in pairs. Sets are kept for
@@ -213,10 +219,12 @@ def link_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -
     are between stored tables, which lets Spark split the hot side.
     """
     text = docs.select("doc_id", "text")
-    signed = cut_lineage(text.mapInArrow(_signer(shingle), "doc_id long, n_shingles long, digest binary, bands array<long>"), "signatures")
+    signed = text.withColumn("text_key", F.xxhash64("text"))
+    signed = signed.mapInArrow(_signer(shingle), "doc_id long, n_shingles long, digest binary, bands array<long>, text_key long")
+    signed = cut_lineage(signed, "signatures")
     real = signed.where("n_shingles > 0 and doc_id is not null")
     reps = cut_lineage(real.groupBy("digest").agg(F.min("doc_id").alias("rep")), "representatives")
-    members = cut_lineage(real.drop("bands").join(reps, "digest").select("doc_id", "n_shingles", "rep"), "members")
+    members = cut_lineage(real.drop("bands").join(reps, "digest").select("doc_id", "n_shingles", "rep", "text_key"), "members")
 
     firsts = real.select(F.col("doc_id").alias("rep"), "digest", F.col("n_shingles").alias("size"), "bands").join(reps, ["digest", "rep"], "left_semi")
     banded = firsts.select("rep", "size", F.explode("bands").alias("band"))
@@ -228,20 +236,21 @@ def link_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -
     found = _links(active, cut_lineage(chosen.mapInArrow(_setter(shingle), "rep long, runs array<long>"), "sets"), percent)
 
     linked = members.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    linked = linked.select("doc_id", "n_shingles", F.col("component").alias("component_id"))
-    alone = signed.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
+    linked = linked.select("doc_id", "n_shingles", F.col("component").alias("component_id"), "text_key")
+    alone = signed.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "text_key")
     return linked.unionByName(alone).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` without near duplicates, all columns kept.
 
-    Of each component the document with the smallest doc_id stays; of rows that
+    Of each component the document with the smallest doc_id stays; of the kept rows that
     repeat that id the one with the smallest text hash. Rows without doc_id stay.
     """
-    kept = link_near_duplicates(docs, shingle, percent).where("kept and doc_id is not null").select("doc_id").distinct()
-    turn = fresh_name(docs, "turn")
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    chosen = docs.join(cut_lineage(kept, "kept"), "doc_id", "left_semi").withColumn(turn, F.row_number().over(order))
+    kept = _linked(docs, shingle, percent).where("kept and doc_id is not null")
+    d, key, turn = (fresh_name(docs, x) for x in ("d", "key", "turn"))
+    kept = cut_lineage(kept.groupBy(F.col("doc_id").alias(d)).agg(F.min("text_key").alias(key)), "kept")
+    chosen = docs.join(kept, (F.col("doc_id") == F.col(d)) & (F.xxhash64("text") == F.col(key)))
+    chosen = chosen.withColumn(turn, F.row_number().over(Window.partitionBy("doc_id").orderBy(key)))
     chosen = chosen.where(F.col(turn) == 1).select(*[F.col(f"`{c}`") for c in docs.columns])
     return chosen.unionByName(docs.where("doc_id is null"))

@@ -79,3 +79,12 @@ def test_components_of_chains_and_stars(spark):
     found = {r.node: r.component for r in components.connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
     expected = {i: 0 for i in range(1, 61)} | {1000 + i: 1000 for i in range(1, 40)} | {2001: 2000}
     assert {k: v for k, v in found.items() if k != v} == expected
+
+
+def test_row_that_stays_is_the_kept_one(docs):
+    """Of two texts under one id the copy of a smaller id goes, whichever has the smaller hash."""
+    a, b = (" ".join(f"{c}{i}" for i in range(30)) for c in "ab")
+    for copy, clean in ((a, b), (b, a)):
+        df = docs((3, copy), (7, clean), (7, copy), (7, clean))
+        assert sorted((r.doc_id, r.text) for r in minhash.drop_near_duplicates(df).collect()) == [(3, copy), (7, clean)]
+        assert {(r.doc_id, r.component_id) for r in minhash.link_near_duplicates(df).collect()} == {(3, 3), (7, 7), (7, 3)}
