@@ -159,6 +159,63 @@ from candidates left join lines using (doc_id, item_id, diagonal)
 where not coalesce(clash, false) group by doc_id, item_id
 """
 
+_FIELD = "coalesce(octet_length(encode(cast({0} as varchar))) || ':' || {0}, '-')"
+
+
+def _leaf(text: str) -> str:
+    return "sha256(" + " || ".join(_FIELD.format(f) for f in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+
+def _levels(name: str, count: int) -> str:
+    """Tables ``name``0 (tree, pos, node, total) to ``name``count: all levels of all trees, and ``name``r0 to ...: their runs."""
+    parts = []
+    for k in range(count):
+        parts.append(
+            f"{name}r{k} as (select tree, pos // 16 as up, string_agg(node, '' order by pos) as run, any_value(total) as total from {name}{k} group by all),\n"
+            f"{name}{k + 1} as (select tree, up as pos, case when total = 1 then run else sha256(run) end as node, (total + 15) // 16 as total from {name}r{k})"
+        )
+    return ",\n".join(parts)
+
+
+def _folds(name: str, count: int, start: str, columns: str) -> str:
+    """Tables ``name``f0 (as ``start``) to ``name``fcount: node and siblings of every row, folded level by level."""
+    parts = [f"{name}f0 as ({start})"]
+    for k in range(count):
+        left, right = "substr(run, 1, 64 * (pos % 16))", "substr(run, 64 * (pos % 16) + 65)"
+        parts.append(
+            f"{name}f{k + 1} as (select {columns}, tree, pos // 16 as pos, siblings || {left} || {right} as siblings,\n"
+            f"  case when r.total = 1 then node else sha256({left} || node || {right}) end as node\n"
+            f"  from {name}f{k} join {name}r{k} r using (tree) where r.up = pos // 16)"
+        )
+    return ",\n".join(parts)
+
+
+_TAMPERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_BITS = "[-1, -1, -1, -1, -1, -1, -1, -1]"
+#: Bit by bit: a byte (0 to 255) is taken in, -1 is one shift.
+_CRC = (
+    f"xor(list_reduce(flatten(list_transform(string_split(cast(doc_id as varchar), ''), lambda c: list_prepend(ascii(c), {_BITS}))),"
+    " lambda c, x: case when x >= 0 then xor(c, x) else xor(c >> 1, 3988292384 * (c & 1)) end, 4294967295::bigint), 4294967295)"
+)
+
+#: Eight levels a tree: sources of up to 4 thousand million documents.
+MANIFEST = f"""
+with leaves as (
+  select doc_id, coalesce('+' || source, '') as tree, {_leaf("text")} as leaf,
+    case when {_CRC} % 5 = 0 then {_leaf(_TAMPERED)} end as tampered from documents),
+placed as (
+  select *, row_number() over (partition by tree order by doc_id nulls first, leaf) - 1 as pos, count(*) over (partition by tree) as total from leaves),
+d0 as (select tree, pos, leaf as node, total from placed),
+{_levels("d", 8)},
+s0 as (
+  select '' as tree, tree as source, row_number() over (order by tree) - 1 as pos, node, count(*) over () as total from d8),
+{_levels("s", 8)},
+{_folds("d", 8, "select doc_id, leaf, tree as source, tree, pos, '' as siblings, coalesce(tampered, leaf) as node from placed", "doc_id, leaf, source")},
+{_folds("s", 8, "select doc_id, leaf, s0.node as subroot, '' as tree, s0.pos, siblings, df8.node from df8 join s0 using (source)", "doc_id, leaf, subroot")}
+select doc_id, leaf, subroot, root.node as root, sha256(siblings) as proof_sha256, f.node as folded_root, f.node = root.node as verified
+from sf8 f, s8 root
+"""
+
 
 def llm_sql() -> dict[str, str]:
     return {
@@ -167,4 +224,5 @@ def llm_sql() -> dict[str, str]:
         "op6_minmax_near_duplicates": NEAR_DUPLICATES,
         "op9_template_leaks": LEAKS,
         "op10_warc_revisits": WARC,
+        "op13_merkle_manifest": MANIFEST,
     }
