@@ -216,6 +216,45 @@ select doc_id, leaf, subroot, root.node as root, sha256(siblings) as proof_sha25
 from sf8 f, s8 root
 """
 
+def _cuts(width: int) -> str:
+    values = [
+        f"select phrase, lang, {k} as k, (select f from counted c where c.lang = g.lang and c.size = {k} and c.words = g.words[1:{k}]) as l,\n"
+        f"  (select f from counted c where c.lang = g.lang and c.size = {width - k} and c.words = g.words[{k + 1}:{width}]) as r from frequent g where size = {width}"
+        for k in range(1, width)
+    ]
+    return "\nunion all ".join(values)
+
+
+COLLOCATIONS = rf"""
+with pieces as (
+  select doc_id, coalesce(lang, 'und') as lang, unnest(regexp_split_to_array({_LOWERED}, '[.,;:!?\x0A-\x0D]')) as piece from documents),
+cut as (
+  select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') as w from pieces),
+counted as (
+  select lang, size, w[i:i + size - 1] as words, count(*) as f
+  from cut, unnest([1, 2, 3, 4]) as s(size), unnest(range(1, len(w) - size + 2)) as t(i) group by all),
+totals as (
+  select lang, sum(f)::bigint as n from counted where size = 1 group by lang),
+frequent as (
+  select *, array_to_string(words, ' ') as phrase from counted where f >= 30 and size > 1),
+cuts as ({_cuts(2)}
+union all {_cuts(3)}
+union all {_cuts(4)}),
+best as (
+  select lang, phrase, min((2000000::hugeint * f // (l + r))) as score, arg_min(l, ((2000000::hugeint * f // (l + r)) * 4 + k)) as l,
+    arg_min(r, ((2000000::hugeint * f // (l + r)) * 4 + k)) as r
+  from cuts join frequent using (lang, phrase) group by lang, phrase),
+longest as (
+  select lang, part, max(f) as f from (
+    select lang, f, unnest([array_to_string(words[1:size - 1], ' '), array_to_string(words[2:size], ' ')]) as part from frequent where size > 2)
+  group by lang, part),
+kept as (
+  select b.*, g.f from best b join frequent g using (lang, phrase) left join longest o on o.lang = b.lang and o.part = b.phrase
+  where coalesce(100 * o.f < 80 * g.f, true))
+select lang, row_number() over (partition by lang order by score desc, f desc, phrase) as rank, phrase, f as a, l, r, n, score::bigint as score
+from kept join totals using (lang) qualify rank <= 2000
+"""
+
 
 def llm_sql() -> dict[str, str]:
     return {
@@ -224,5 +263,6 @@ def llm_sql() -> dict[str, str]:
         "op6_minmax_near_duplicates": NEAR_DUPLICATES,
         "op9_template_leaks": LEAKS,
         "op10_warc_revisits": WARC,
+        "op11_tiled_collocations": COLLOCATIONS,
         "op13_merkle_manifest": MANIFEST,
     }

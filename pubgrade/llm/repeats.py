@@ -89,7 +89,7 @@ class Sentences:
         closes[:-1] |= lines[self.starts[1:]] > lines[self.ends[:-1]]
         last = firsts[1:][firsts[1:] > firsts[:-1]] - 1
         closes[last] = True
-        self.each = words.span_hash(words.byte_prefix(words.LOWER[buffer]), self.starts, self.ends)
+        self.each = words.hash_spans(words.LOWER[buffer], self.starts, self.ends)
         ends = np.flatnonzero(closes)  # last word of every sentence
         begins = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
         self.first = np.union1d(begins, self._cuts(begins, ends))  # first word of every piece

@@ -129,7 +129,7 @@ class Counter:
         _, ends, _ = words.spans(buffer, offsets)
         cuts = np.union1d(ends, offsets)
         starts, ends = cuts[:-1], cuts[1:]
-        hashes, where, inverse = np.unique(words.span_hash(words.byte_prefix(buffer), starts, ends), return_index=True, return_inverse=True)
+        hashes, where, inverse = np.unique(words.hash_spans(buffer, starts, ends), return_index=True, return_inverse=True)
         sums = np.zeros(len(starts) + 1, np.int64)
         np.cumsum(self._known(hashes, where, buffer, starts, ends)[inverse], out=sums[1:])
         total = np.diff(sums[np.searchsorted(starts, offsets)])

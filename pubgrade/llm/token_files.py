@@ -115,7 +115,7 @@ class Encoder:
     def batch(self, buffer: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a step with the end ids, and the number of each text's ids."""
         starts, ends, firsts = words.spans(buffer, offsets)
-        hashes, where, inverse = np.unique(words.span_hash(words.byte_prefix(buffer), starts, ends), return_index=True, return_inverse=True)
+        hashes, where, inverse = np.unique(words.hash_spans(buffer, starts, ends), return_index=True, return_inverse=True)
         if len(self.hashes) + len(hashes) > KEPT_WORDS and len(self.hashes):
             self._clear()
         at = np.searchsorted(self.hashes, hashes)

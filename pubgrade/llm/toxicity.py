@@ -66,15 +66,14 @@ class Words:
     def __init__(self, buffer: np.ndarray, offsets: np.ndarray):
         text = _lower(buffer)
         starts, ends, self.firsts = words.spans(text, offsets, _SEPARATES)
-        sums = words.byte_prefix(text)
-        hashes, where, self.inverse = np.unique(words.span_hash(sums, starts, ends), return_index=True, return_inverse=True)
+        hashes, where, self.inverse = np.unique(words.hash_spans(text, starts, ends), return_index=True, return_inverse=True)
         starts, ends = starts[where], ends[where]
         self.features = np.zeros((len(hashes), 1 + len(STARTS) + len(ENDINGS)), np.uint64)
         self.features[:, 0] = hashes
         for k, size in enumerate(STARTS + ENDINGS):
             long = np.flatnonzero(ends - starts > size)
             spans = (starts[long], starts[long] + size) if k < len(STARTS) else (ends[long] - size, ends[long])
-            self.features[long, k + 1] = words.mix(words.span_hash(sums, *spans) + np.uint64(k + 1))
+            self.features[long, k + 1] = words.mix(words.hash_spans(text, *spans) + np.uint64(k + 1))
 
 
 def _join(odds: np.ndarray) -> np.ndarray:

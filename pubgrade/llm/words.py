@@ -1,12 +1,15 @@
 """Words of whole Arrow batches as numpy arrays: spans, hashes and sets.
 
 A batch of texts is one byte buffer with offsets, so finding and hashing all its
-words needs no Python loop. A span is hashed as a polynomial of its bytes modulo
-2^64 (differences of prefix sums) and then mixed; equal bytes give equal hashes
-wherever they stand. Two different spans of one corpus share a hash with a
-chance of about n * n / 2^65.
+words needs no Python loop. A short span is hashed eight bytes at a time, each mixed
+into what came before; a long one by BLAKE2. Equal bytes give equal hashes wherever
+they stand, and n different spans share one with a chance of about n * n / 2^65.
+Runs of hashed words are hashed as polynomials modulo 2^64 (``prefix``, ``span_hash``):
+enough for runs of some dozen values that are hashes themselves, but not for letters
+or long runs, where patterns such as abba baab collide whatever the base.
 """
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,6 +19,8 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 #: Bytes of text that one step works on; a longer text is one step of its own.
 STEP_BYTES = 1_000_000
+#: Spans longer than this are hashed one by one.
+SHORT = 64
 
 #: The blanks of the word pattern [^\x20\x09-\x0D]+.
 BLANKS = b" \t\n\x0b\x0c\r"
@@ -59,11 +64,25 @@ def span_hash(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndar
     return mix(h + (ends - starts).astype(np.uint64) * np.uint64(0x94D049BB133111EB))
 
 
-def byte_prefix(buffer: np.ndarray) -> np.ndarray:
-    return prefix(buffer.astype(np.uint64) + np.uint64(1))
-
-
-def steps(texts: pa.Array) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+def hash_spans(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of byte spans."""
+    sizes = ends - starts
+    hashes = mix(sizes.astype(np.uint64) * np.uint64(0x94D049BB133111EB))
+    # eight bytes from every position on, the first one lowest
+    eight = np.ndarray((len(buffer),), "<u8", np.concatenate([buffer, np.zeros(8, np.uint8)]), strides=(1,))
+    rows, done = np.flatnonzero((sizes > 0) & (sizes <= SHORT)), 0
+    while len(rows):
+        left = sizes[rows] - done
+        beyond = np.uint64(64) - np.uint64(8) * np.minimum(left, 8).astype(np.uint64)
+        values = eight[starts[rows] + done] << beyond
+        hashes[rows] = mix(hashes[rows] * np.uint64(_BASE) + values)
+        rows, done = rows[left > 8], done + 8
+    for i in np.flatnonzero(sizes > SHORT).tolist():
+        hashes[i] = int.from_bytes(hashlib.blake2b(buffer[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return hashes
+
+
+def steps(texts: pa.Array, size: int = STEP_BYTES) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
     """Row slices with their bytes and offsets; a null counts as an empty text."""
     texts = texts.cast(pa.large_binary())
     if texts.null_count:
@@ -74,7 +93,7 @@ def steps(texts: pa.Array) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     first = 0
     while first < n:
-        last = int(np.searchsorted(offsets, offsets[first] + STEP_BYTES, "right")) - 1
+        last = int(np.searchsorted(offsets, offsets[first] + size, "right")) - 1
         last = min(max(last, first + 1), n)
         yield slice(first, last), data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
         first = last
@@ -99,7 +118,7 @@ def spans(buffer: np.ndarray, offsets: np.ndarray, is_blank: np.ndarray = IS_BLA
 def word_hashes(buffer: np.ndarray, offsets: np.ndarray, lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words and the position of every text's first word."""
     starts, ends, firsts = spans(buffer, offsets)
-    return span_hash(byte_prefix(LOWER[buffer] if lower else buffer), starts, ends), firsts
+    return hash_spans(LOWER[buffer] if lower else buffer, starts, ends), firsts
 
 
 def shingles(hashes: np.ndarray, size: int) -> np.ndarray:
