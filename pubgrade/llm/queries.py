@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from pubgrade.llm import collocations, decontaminate, manifest, minhash, mixing, quality, repeats, token_counts, token_files, toxicity, url_rules, warc
+from pubgrade.llm import collocations, decontaminate, manifest, minhash, mixing, pii, quality, repeats, token_counts, token_files, toxicity, url_rules, warc
 from pubgrade.llm.tables import scratch_path, table
 from pubgrade.sources.scratch import with_local_scratch
 
@@ -60,6 +60,10 @@ def phrase_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.find_collocations(table(spark, sf_dir, "documents"))
 
 
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(pii.find_spans(table(spark, sf_dir, "documents")))
+
+
 def manifest_proofs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.prove(table(spark, sf_dir, "documents"))
 
@@ -77,6 +81,7 @@ def llm_queries() -> dict[str, Query]:
         "op9_template_leaks": template_leaks,
         "op10_warc_revisits": warc_records,
         "op11_tiled_collocations": phrase_scores,
+        "op12_deobfuscated_pii": personal_data,
         "op13_merkle_manifest": manifest_proofs,
         "pipeline": corpus_pipeline.run,
     }
