@@ -12,9 +12,8 @@ How it is dealt out. A task cuts its documents into chunks of one language and a
 CHUNK_BYTES. A chunk keeps its words as a sequence of ids (-1 where a phrase cannot
 go on) and its cells, counted; these are shuffled by buckets of tiles, which sum them up,
 in a stream of rows sorted by bucket, so memory is bounded by one bucket.
-A tile of frequent words gets a share of every chunk, so from a bound of its size (a word
-of rank r has at most every r-th place) it is split by chunks over several buckets, whose
-sums are added afterwards. The ids of frequent pairs travel back the same way: bucket by
+A tile of frequent words gets a share of every chunk, so from an estimate of its size (by
+Zipf's law) it is split by chunks over several buckets, whose sums are added afterwards. The ids of frequent pairs travel back the same way: bucket by
 bucket to the cells of every chunk, then by chunk to the sequences. Nothing is
 broadcast, no dictionary is held whole, and nothing is dropped.
 
@@ -50,8 +49,10 @@ ID_BITS = 31
 COLUMN_BITS = ID_BITS - SIDE_BITS
 #: Cells from which a tile is counted in an array of all its cells.
 DENSE = 16_384
-#: Places that fill a bucket, and cells of one tile that do.
-BUCKET_WORDS, BUCKET_CELLS = 2_000_000, 4_000_000
+#: Places that fill a bucket of many tiles, and cells of chunks that fill one with a single tile.
+BUCKET_WORDS, BUCKET_CELLS = 2_000_000, 64_000_000
+#: By how much a tile may be larger than the estimate of its size.
+MARGIN = 8
 
 #: Blanks between words, and signs that end a piece.
 ENDS = np.zeros(256, dtype=bool)
@@ -131,14 +132,19 @@ class Buckets:
         self.number = max(at_least, -(-n_words // BUCKET_WORDS))
 
     def parts(self, tiles: np.ndarray) -> np.ndarray:
-        """Buckets over which a tile is split."""
-        rank = np.maximum(np.maximum(tiles >> COLUMN_BITS, tiles & ((1 << COLUMN_BITS) - 1)), 1)
-        most = np.minimum(self.words // rank, self.chunks * SIDE * SIDE)
-        return -(-most // self.cells)
+        """Buckets over which a tile is split, from its estimated size; a wrong estimate costs time only."""
+
+        def share(strip: np.ndarray) -> np.ndarray:
+            # words of rank r take about 1 / (r ln V) of all places, V of some hundred thousand
+            return np.where(strip > 0, 1 / np.maximum(strip, 1), 6) / 12
+
+        most = MARGIN * self.words * share(tiles >> COLUMN_BITS) * share(tiles & ((1 << COLUMN_BITS) - 1))
+        most = np.minimum(np.minimum(most, self.words), self.chunks * SIDE * SIDE)
+        return np.maximum(np.ceil(most / self.cells), 1).astype(np.int64)
 
     def of(self, codes: np.ndarray, chunk: int) -> np.ndarray:
         tiles = codes >> TILE_BITS
-        return (tiles % 2147483647 * 1_000_003 + chunk % np.maximum(self.parts(tiles), 1)) % 2147483647 % self.number
+        return (tiles % 2147483647 * 1_000_003 + chunk % self.parts(tiles)) % 2147483647 % self.number
 
 
 # what tasks return: rows with null in the columns that they do not fill
