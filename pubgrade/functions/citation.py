@@ -2,8 +2,11 @@
 
 The text is cut into tokens, and a fold over them carries the depth of braces: what
 stands at depth one (commas, equals and number signs, closing signs) cuts an entry
-into names and operands. So braces nest to any depth, in linear time. Operands are
-joined at number signs; a bare word must be a number, a month or a ``@string`` of
+into names and operands. So braces nest to any depth. A fold copies its state at every step, so
+the tokens are folded in blocks: the states between blocks first, then the cuts of every block from its
+own state. Segments are joined from the tokens between two cuts, never cut out of the whole
+text by character. So the time grows with the length of the text (and with definitions times
+bare words). Operands are joined at number signs; a bare word must be a number, a month or a ``@string`` of
 the same text, else the whole citation is unreadable (NULL) rather than wrong.
 LaTeX commands that the letter table does not know stay as they are.
 """
@@ -16,8 +19,6 @@ from pyspark.sql import functions as F
 from pubgrade import rules
 
 _PART = r"""(?s)@\s*+[a-zA-Z]++\s*+[{(]|[{}()",=#]|\\.|[^@{}()",=#\\]++|."""
-_CUT = "struct<kind: string, at: int, to: int>"
-_PAIR = "struct<name: string, value: string>"
 
 _SPECIAL = r"""[\\{}~$%]|--|``|''"""
 _COMMAND = (
@@ -82,85 +83,155 @@ def decode_latex(text: Column) -> Column:
     return F.when(text.rlike(_SPECIAL), F.array_join(F.transform(tokens, decode), "")).otherwise(text)
 
 
-def _cuts(citation: Column) -> Column:
-    """Where entries begin (@) and end ($), and the commas, equals and number signs of their first level."""
-    tokens = F.regexp_extract_all(citation, F.lit(_PART), F.lit(0))
-    start = F.struct(
-        F.lit(0).alias("depth"), F.lit("").alias("opener"), F.lit(False).alias("quoted"), F.lit(0).alias("at"),
-        F.array().cast(f"array<{_CUT}>").alias("cuts"),
-    )
-
-    def step(state: Column, token: Column) -> Column:
-        depth, opener, quoted = state["depth"], state["opener"], state["quoted"]
-        to = state["at"] + F.char_length(token)
-        begins = (depth == 0) & token.startswith("@") & (F.char_length(token) > 1)
-        opens = (depth > 0) & ((token == "{") | (token.startswith("@") & token.endswith("{")))
-        ends = (depth == 1) & (((token == "}") & (opener == "{")) | ((token == ")") & (opener == "(") & ~quoted))
-        closes = (depth > 1) & (token == "}")
-        divides = (depth == 1) & ~quoted & token.isin(",", "=", "#")
-        kind = F.when(begins, "@").when(ends, "$").when(divides, token)
-        cut = F.struct(kind.alias("kind"), state["at"].alias("at"), to.alias("to"))
-        moved = F.when(begins | opens, depth + 1).when(ends | closes, depth - 1).otherwise(depth)
-        changed = F.struct(
-            moved.alias("depth"),
-            F.when(begins, F.substring(token, -1, 1)).otherwise(opener).alias("opener"),
-            F.when(begins | ends, False).when((depth == 1) & (token == '"'), ~quoted).otherwise(quoted).alias("quoted"),
-            to.alias("at"),
-            F.when(kind.isNotNull(), F.array_append(state["cuts"], cut)).otherwise(state["cuts"]).alias("cuts"),
-        )
-        # most tokens only move on: text, and inside of values all but braces
-        brace = token.endswith("{") | (token == "}")
-        sign = (depth <= 1) & (token.startswith("@") | token.isin(")", '"', ",", "=", "#"))
-        return F.when(brace | sign, changed).otherwise(state.withField("at", to))
+#: Tokens of a block; a fold copies its state at every step, so what one fold collects must stay small.
+_BLOCK = 200
+_STATE = "struct<depth: int, opener: string, quoted: boolean, at: int, type: string>"
 
-    return F.aggregate(tokens, start, step, lambda state: state["cuts"])
 
+def _bound(value: Column, use) -> Column:
+    """``use`` of a value that is computed once, where every use of an expression would compute it anew."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
-def _read(citation: Column, cuts: Column) -> Column:
-    """Struct of the number of entries, whether an operand was unreadable, and the pairs in order."""
+
+def _blocks(values: Column) -> Column:
+    n = F.size(values)
+    starts = F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(_BLOCK))
+    return F.transform(starts, lambda s: F.slice(values, s + 1, F.lit(_BLOCK)))
+
+
+def _moved(state: Column, token: Column, kind: Column) -> Column:
+    """The state after a token."""
+    depth, following = state["depth"], state["at"] + 1
+    begins, ends = kind == "@", kind == "$"
+    opens = (depth > 0) & ((token == "{") | (token.startswith("@") & token.endswith("{")))
+    closes = (depth > 1) & (token == "}")
+    changed = F.struct(
+        F.when(begins | opens, depth + 1).when(ends | closes, depth - 1).otherwise(depth).alias("depth"),
+        F.when(begins, F.substring(token, -1, 1)).otherwise(state["opener"]).alias("opener"),
+        F.when(begins | ends, False).when((depth == 1) & (token == '"'), ~state["quoted"]).otherwise(state["quoted"]).alias("quoted"),
+        following.alias("at"),
+        F.when(begins, F.lower(F.regexp_extract(token, r"[a-zA-Z]+", 0))).when(~ends, state["type"]).alias("type"),
+    )
+    # most tokens only move on: text, and inside of values all but braces
+    brace = token.endswith("{") | (token == "}")
+    sign = (depth <= 1) & (token.startswith("@") | token.isin(")", '"'))
+    return F.when(brace | sign, changed).otherwise(state.withField("at", following))
+
+
+def _kind(state: Column, token: Column) -> Column:
+    """What the token cuts: @ and $ for the begin and end of an entry, or a comma, equals or number sign at the first level; '' for nothing."""
+    depth, opener = state["depth"], state["opener"]
+    begins = (depth == 0) & token.startswith("@") & (F.char_length(token) > 1)
+    ends = (depth == 1) & (((token == "}") & (opener == "{")) | ((token == ")") & (opener == "(") & ~state["quoted"]))
+    divides = (depth == 1) & ~state["quoted"] & token.isin(",", "=", "#")
+    return F.when(begins, "@").when(ends, "$").when(divides, token).otherwise("")
+
+
+def _cuts(tokens: Column) -> Column:
+    """kind, at (position of the token) and type (of the entry) of all cuts: first the states between blocks, then each block's cuts."""
+    start = F.struct(F.lit(0).alias("depth"), F.lit("").alias("opener"), F.lit(False).alias("quoted"), F.lit(0).alias("at"), F.lit(None).cast("string").alias("type"))
+    collected = "array<struct<kind: string, at: int, type: string>>"
+
+    def passed(both: Column, block: Column) -> Column:
+        end = F.aggregate(block, both["state"], lambda state, token: _moved(state, token, _kind(state, token)))
+        return F.struct(end.alias("state"), F.array_append(both["starts"], both["state"]).alias("starts"))
+
+    def starts(blocks: Column) -> Column:
+        none = F.struct(start.alias("state"), F.array().cast(f"array<{_STATE}>").alias("starts"))
+        return F.when(F.size(blocks) == 1, F.array(start)).otherwise(F.aggregate(blocks, none, passed, lambda both: both["starts"]))
+
+    def step(both: Column, token: Column) -> Column:
+        state = both["state"]
+
+        def go_on(kind: Column) -> Column:
+            moved = _moved(state, token, kind)
+            cut = F.struct(kind.alias("kind"), state["at"].alias("at"), F.coalesce(moved["type"], state["type"]).alias("type"))
+            return F.struct(moved.alias("state"), F.when(kind != "", F.array_append(both["cuts"], cut)).otherwise(both["cuts"]).alias("cuts"))
+
+        return _bound(_kind(state, token), go_on)
+
+    def of_block(block: Column, state: Column) -> Column:
+        return F.aggregate(block, F.struct(state.alias("state"), F.array().cast(collected).alias("cuts")), step, lambda both: both["cuts"])
+
+    def of_all(blocks: Column) -> Column:
+        return _bound(starts(blocks), lambda states: F.flatten(F.zip_with(blocks, states, of_block)))
+
+    return _bound(_blocks(tokens), of_all)
+
+
+def _groups(tokens: Column, cuts: Column) -> Column:
+    """What stands between two of the cuts @ , $: kind, type, name, closed (another one follows) and the parts (kind, text) after = and #."""
 
     def segment(cut: Column, i: Column) -> Column:
-        following = F.get(cuts, i + 1)
-        text = F.substr(citation, cut["to"] + 1, F.coalesce(following["at"], F.char_length(citation)) - cut["to"])
-        head = F.lower(F.regexp_extract(F.substr(citation, cut["at"] + 1, cut["to"] - cut["at"]), r"[a-zA-Z]+", 0))
-        return F.struct(cut["kind"].alias("kind"), head.alias("head"), F.regexp_replace(text, r"^\s+|\s+$", "").alias("text"))
-
-    no_pairs, no_text = F.array().cast(f"array<{_PAIR}>"), F.lit(None).cast("string")
-    months = F.array(*[F.struct(F.lit(m[:3].lower()).alias("name"), F.lit(m).alias("value")) for m in rules.MONTHS])
-    start = F.struct(
-        F.lit(0).alias("entries"), F.lit(False).alias("bad"), no_text.alias("type"), no_text.alias("name"), no_text.alias("value"),
-        no_pairs.alias("pairs"), months.cast(f"array<{_PAIR}>").alias("words"),
-    )
-
-    def step(state: Column, s: Column) -> Column:
-        kind, text = s["kind"], s["text"]
-        known = F.coalesce(state["type"].isin(rules.CITATION_TYPES), F.lit(False))
-        defines = F.coalesce(state["type"] == "string", F.lit(False))
-        done = kind.isin(",", "$", "@") & state["value"].isNotNull()
-        pair = F.struct(state["name"].alias("name"), state["value"].alias("value"))
-        word = F.get(F.filter(state["words"], lambda w: w["name"] == F.lower(text)), F.lit(0))["value"]
-        enclosed = text.rlike(r'^[{"]') & (F.char_length(text) > 1)
-        operand = (
-            F.when(enclosed, F.substring(text, F.lit(2), F.char_length(text) - 2))
-            .when(text.rlike(r"^[0-9]+$"), text)
-            .when(text != "", word)
-            .otherwise("")
+        following = F.coalesce(F.get(cuts, i + 1)["at"], F.size(tokens))
+        text = F.array_join(F.slice(tokens, cut["at"] + 2, following - cut["at"] - 1), "")
+        return F.struct(cut["kind"].alias("kind"), cut["type"].alias("type"), F.regexp_replace(text, r"^\s+|\s+$", "").alias("text"))
+
+    def grouped(segments: Column) -> Column:
+        def group(border: Column, i: Column, borders: Column) -> Column:
+            first, following = F.get(segments, border), F.get(borders, i + 1)
+            parts = F.slice(segments, border + 2, F.coalesce(following, F.size(segments)) - border - 1)
+            return F.struct(
+                first["kind"].alias("kind"), first["type"].alias("type"), F.lower(first["text"]).alias("name"), following.isNotNull().alias("closed"), parts.alias("parts")
+            )
+
+        places = F.transform(segments, lambda s, i: F.when(s["kind"].isin("@", ",", "$"), i))
+        borders = F.filter(places, lambda p: p.isNotNull())
+        return _bound(borders, lambda found: F.transform(found, lambda border, i: group(border, i, found)))
+
+    return _bound(F.transform(cuts, segment), grouped)
+
+
+def _operand(text: Column, words: Column, place: Column) -> Column:
+    """Value of an operand: enclosed text, a number or a word that is defined before ``place``; NULL if it is none of these."""
+    enclosed = text.rlike(r'^[{"]') & (F.char_length(text) > 1)
+    word = F.get(F.filter(words, lambda w: (w["name"] == F.lower(text)) & (w["place"] < place)), F.lit(0))["value"]
+    inner = F.substring(text, F.lit(2), F.char_length(text) - 2)
+    return F.when(enclosed, inner).when(text.rlike(r"^[0-9]+$"), text).when(text != "", word).otherwise("")
+
+
+def _value(parts: Column, words: Column, place: Column) -> Column:
+    """The operands from the last equals sign on, joined; NULL without one or if one of them is NULL."""
+
+    def joined(value: Column, part: Column) -> Column:
+        operand = _operand(part["text"], words, place)
+        return F.when(part["kind"] == "=", operand).otherwise(F.concat(value, operand))
+
+    only = F.get(parts, F.lit(0))
+    alone = (F.size(parts) == 1) & (only["kind"] == "=")
+    return F.when(alone, _operand(only["text"], words, place)).when(F.size(parts) > 0, F.aggregate(parts, F.lit(None).cast("string"), joined))
+
+
+def _read(groups: Column) -> Column:
+    """Struct of the number of entries, whether an operand was unreadable, and the pairs in order."""
+    months = F.array(*[F.struct(F.lit(m[:3].lower()).alias("name"), F.lit(m).alias("value"), F.lit(-1).alias("place")) for m in rules.MONTHS])
+    placed = F.transform(groups, lambda g, i: g.withField("place", i))
+    defined = F.filter(placed, lambda g: (g["type"] == "string") & (F.size(g["parts"]) > 0) & g["closed"])
+
+    def define(words: Column, g: Column) -> Column:
+        value = _value(g["parts"], words, g["place"])
+        word = F.struct(g["name"].alias("name"), value.alias("value"), g["place"].alias("place"))
+        return F.when(value.isNotNull(), F.array_append(words, word)).otherwise(words)
+
+    def read(words: Column) -> Column:
+        def unreadable(g: Column, i: Column) -> Column:
+            parts = g["parts"]
+            twice = g["type"].isin(rules.CITATION_TYPES) & (F.size(parts) > 1) & (F.size(F.filter(parts, lambda p: p["kind"] == "=")) > 1)
+            return (g["type"].isin(rules.CITATION_TYPES) | (g["type"] == "string")) & (twice | F.exists(parts, lambda p: _operand(p["text"], words, i).isNull()))
+
+        fields = F.transform(
+            groups,
+            lambda g, i: F.when(
+                g["closed"] & g["type"].isin(rules.CITATION_TYPES), F.struct(g["name"].alias("name"), _value(g["parts"], words, i).alias("value"))
+            ),
         )
-        reads = kind.isin("=", "#") & (known | defines)
-        value = F.when(kind == "=", operand).when(kind == "#", F.concat(state["value"], operand))
-        # the key of an entry is no field, the first name of a definition is one
-        name = F.when(kind == ",", F.lower(text)).when(kind == "@", F.lower(text)).otherwise(state["name"])
         return F.struct(
-            (state["entries"] + ((kind == "$") & known).cast("int")).alias("entries"),
-            (state["bad"] | (reads & operand.isNull()) | ((kind == "=") & known & state["value"].isNotNull())).alias("bad"),
-            F.when(kind == "@", s["head"]).when(kind == "$", no_text).otherwise(state["type"]).alias("type"),
-            name.alias("name"),
-            F.when(kind.isin("=", "#"), value).alias("value"),
-            F.when(done & known, F.array_append(state["pairs"], pair)).otherwise(state["pairs"]).alias("pairs"),
-            F.when(done & defines, F.array_append(state["words"], pair)).otherwise(state["words"]).alias("words"),
+            F.size(F.filter(groups, lambda g: (g["kind"] == "$") & g["type"].isin(rules.CITATION_TYPES))).alias("entries"),
+            F.exists(F.transform(groups, unreadable), lambda b: F.coalesce(b, F.lit(False))).alias("bad"),
+            F.filter(fields, lambda f: f["value"].isNotNull()).alias("pairs"),
         )
 
-    return F.aggregate(F.transform(cuts, segment), start, step)
+    return _bound(F.aggregate(defined, months, define), read)
 
 
 def citation_fields(citation: Column, names: list[str]) -> Column:
@@ -171,10 +242,6 @@ def citation_fields(citation: Column, names: list[str]) -> Column:
     not count.
     """
 
-    # bound once each, since every use of an expression would compute it anew
-    def bound(value: Column, use) -> Column:
-        return F.get(F.transform(F.array(value), use), F.lit(0))
-
     def pairs(found: Column) -> Column:
         trimmed = F.transform(
             found["pairs"], lambda f: F.struct(f["name"].alias("name"), F.regexp_replace(f["value"], "\n[ \t]+", "\n").alias("value"))
@@ -183,8 +250,9 @@ def citation_fields(citation: Column, names: list[str]) -> Column:
         decoded = F.transform(wanted, lambda f: F.struct(f["name"].alias("name"), decode_latex(f["value"]).alias("value")))
         return F.when((found["entries"] == 1) & ~found["bad"], F.reverse(F.filter(decoded, lambda f: f["value"] != "")))
 
-    read = bound(_cuts(citation), lambda cuts: _read(citation, cuts))
-    return F.when(citation.contains("@"), bound(read, pairs))
+    tokens = F.regexp_extract_all(citation, F.lit(_PART), F.lit(0))
+    groups = _bound(tokens, lambda parts: _bound(_cuts(parts), lambda cuts: _groups(parts, cuts)))
+    return F.when(citation.contains("@"), _bound(_bound(groups, _read), pairs))
 
 
 def field_value(fields: str, *names: str) -> Column:
