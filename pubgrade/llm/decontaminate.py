@@ -18,8 +18,14 @@ recognised, and number words are English.
 
 Items without any window under the plain template are searched for word by word, in
 any case and without closing punctuation: those of fewer than eight words as a whole,
-however short, the others by their windows. An item of one common word is found in
-every document that has the word.
+however short, the others by their windows. An item of a single word must be alone
+on its line, since the word itself stands in many texts.
+
+Most documents hold none of it, so templates are built for candidates only. Every
+window searched for has a run of literal words, which a match must hold as they are: the
+longest run of four, else two, else one of them is its anchor. A document is a candidate if
+it holds an anchor; nothing is lost by that. Only where a window has no plain word at
+all, or the benchmark has more anchors than can be broadcast, are all documents candidates.
 
 Rows (``find_leaks``): doc_id, item_id, n_windows (of the best diagonal; under the
 wider templates only where the plain one finds nothing), exact (all slot values
@@ -114,6 +120,10 @@ def benchmark_windows(items: DataFrame) -> DataFrame:
     return firsts.join(counts, "item_id")
 
 
+def _is_plain_slot(word: Column) -> Column:
+    return F.contains(word, F.lit("<"))
+
+
 def _agreeing(joined: DataFrame, is_slot: Callable[[Column], Column]) -> DataFrame:
     """Candidates with ``exact``, without those whose slots disagree; ``joined`` has their raw, words, i_raw and i_words."""
     # positions of the item, the same word of the document is ``diagonal`` further
@@ -160,16 +170,86 @@ def _best(found: DataFrame) -> DataFrame:
     return found.groupBy("doc_id", "key", "item_id").agg(F.max("n_windows").alias("n_windows"), F.max("exact").alias("exact"))
 
 
+#: Signs that keep a word out of anchors: there its form may depend on the template.
+_ODD = rf"[.,;:!?)<>{SIGNS}]"
+_ANCHOR_SIZES = (4, 2, 1)
+
+
+def _anchor(words: Column) -> Column:
+    """Hash and size of the longest run of anchor size in an array of (w, plain), NULL without a plain word."""
+
+    def runs(size: int) -> Column:
+        starts = F.when(F.size(words) >= size, F.sequence(F.lit(0), F.size(words) - size)).otherwise(F.array().cast("array<int>"))
+        whole = F.filter(starts, lambda i: F.forall(F.slice(words, i + 1, size), lambda w: w["plain"]))
+        return F.transform(whole, lambda i: F.struct(F.length(F.array_join(F.transform(F.slice(words, i + 1, size), lambda w: w["w"]), "")).alias("n"), (-i).alias("at")))
+
+    def hashed(size: int) -> Column:
+        best = -F.array_max(runs(size))["at"]
+        words_of = [F.xxhash64(F.get(words, best + k)["w"]) for k in range(size)]
+        return F.when(best.isNotNull(), F.struct(_run_hash(words_of).alias("hash"), F.lit(size).alias("size")))
+
+    return F.coalesce(*[hashed(size) for size in _ANCHOR_SIZES])
+
+
+def _run_hash(hashes: list[Column]) -> Column:
+    return hashes[0] if len(hashes) == 1 else F.xxhash64(_run_hash(hashes[: len(hashes) // 2]), _run_hash(hashes[len(hashes) // 2 :]))
+
+
+def _literals(words: str, slot: Callable[[Column], Column]) -> Column:
+    return F.transform(words, lambda w: F.struct(w.alias("w"), (~slot(w) & ~F.rlike(w, F.lit(_ODD))).alias("plain")))
+
+
+def _slices(words: str, size: int | Column) -> Column:
+    """All runs of ``size`` words."""
+    n = F.size(words)
+    starts = F.when(n >= size, F.sequence(F.lit(1), n - size + 1)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.slice(words, i, size))
+
+
+def _anchors(items: DataFrame) -> DataFrame:
+    """hash and size of the anchors of all windows searched for; NULLs if a window has none."""
+    own = items.where("item_id is not null").select("item_id", "text")
+
+    def of_windows(words: DataFrame, kind: str, slot: Callable[[Column], Column]) -> DataFrame:
+        windows = words.select(F.explode(_slices(kind, WINDOW)).alias("ws"))
+        searched = windows.where(F.size(F.filter("ws", lambda w: ~slot(w))) >= LITERALS)
+        return searched.select(_anchor(_literals("ws", slot)).alias("a"))
+
+    found = of_windows(own.select(_words(template(F.col("text"))).alias("plain")), "plain", _is_plain_slot)
+    wider = _wider_words(own)
+    for kind in WIDER:
+        found = found.unionByName(of_windows(wider, kind, _is_slot))
+    raw = _left_out(own).select(F.explode(_slices("raw", F.col("size"))).alias("ws"))
+    return found.unionByName(raw.select(_anchor(_literals("ws", lambda w: F.lit(False))).alias("a"))).select("a.*").distinct()
+
+
+def _candidates(docs: DataFrame, items: DataFrame, broadcast_windows: int) -> DataFrame:
+    """doc_id, key, text of the documents that hold an anchor."""
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
+    anchors = cut_lineage(_anchors(items), "leak-anchors")
+    sizes = {row["size"]: row["n"] for row in anchors.groupBy("size").agg(F.count("*").alias("n")).collect()}
+    if None in sizes or sum(sizes.values()) > broadcast_windows:
+        return keyed
+    core = F.transform(_raw_words(F.translate("text", SIGNS, " " * len(SIGNS))), lambda w: F.xxhash64(w))
+    held = keyed.select("doc_id", "key", core.alias("h1"))
+    held = held.withColumn("h2", F.zip_with("h1", F.slice("h1", 2, F.size("h1")), lambda x, y: F.xxhash64(x, y)))
+    held = held.withColumn("h4", F.zip_with("h2", F.slice("h2", 3, F.size("h2")), lambda x, y: F.xxhash64(x, y)))
+    runs = F.concat(*[F.col(f"h{size}") for size in sizes]) if sizes else F.col("h1")
+    hits = held.select("doc_id", "key", F.explode(runs).alias("hash")).join(F.broadcast(anchors), "hash", "left_semi")
+    hits = cut_lineage(hits.select(F.col("doc_id").alias("d"), F.col("key").alias("k")).distinct(), "leak-hits")
+    return cut_lineage(keyed.join(hits, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k")), "left_semi"), "leak-texts")
+
+
 def _plain_leaks(docs: DataFrame, items: DataFrame, least: int, broadcast_windows: int) -> DataFrame:
     index = cut_lineage(benchmark_windows(items).withColumn("kind", F.lit("plain")), "benchmark-windows")
-    words = docs.select("doc_id", F.xxhash64("text").alias("key"), _words(template(F.col("text"))).alias("words"))
+    words = docs.select("doc_id", "key", _words(template(F.col("text"))).alias("words"))
     placed = words.select("doc_id", "key", F.posexplode(_windows("words")).alias("place", "hash"))
     candidates = cut_lineage(_lines(_matches(placed, index, broadcast_windows), least), "leak-candidates")
     plain = candidates.where("not slotted").select("doc_id", "key", "item_id", "n_windows", F.lit(True).alias("exact"))
-    texts = _with_texts(candidates.where("slotted"), docs.select("doc_id", F.xxhash64("text").alias("key"), "text"))
+    texts = _with_texts(candidates.where("slotted"), docs.select("doc_id", "key", "text"))
     texts = texts.withColumns({"raw": _words(F.col("text")), "words": _words(template(F.col("text")))}).drop("text")
     item = items.select("item_id", _words(F.col("text")).alias("i_raw"), _words(template(F.col("text"))).alias("i_words"))
-    return _best(plain.unionByName(_agreeing(texts.join(item, "item_id"), lambda w: F.contains(w, F.lit("<")))))
+    return _best(plain.unionByName(_agreeing(texts.join(item, "item_id"), _is_plain_slot)))
 
 
 def _wider_words(table: DataFrame) -> DataFrame:
@@ -184,31 +264,32 @@ def _is_slot(word: Column) -> Column:
 
 
 def _wider_windows(words: DataFrame, *keys: str) -> DataFrame:
-    """keys, kind, place, hash and n_slots of all windows under the wider templates."""
-    hashed = words.select(*keys, *[F.transform(k, lambda w: F.struct(F.xxhash64(w).alias("h"), _is_slot(w).alias("slot"))).alias(k) for k in WIDER])
-    return hashed.select(*keys, F.explode(F.concat(*[_kind_windows(k) for k in WIDER])).alias("w")).select(*keys, "w.*")
+    """keys, kind, place and hash of all windows under the wider templates."""
+
+    def windows(kind: str) -> Column:
+        hashed = F.transform(_slices(kind, WINDOW), lambda ws, i: F.struct(F.lit(kind).alias("kind"), i.alias("place"), F.xxhash64(F.lit(kind), ws).alias("hash")))
+        return hashed
+
+    hashed = words.select(*keys, *[F.transform(k, lambda w: F.xxhash64(w)).alias(k) for k in WIDER])
+    return hashed.select(*keys, F.explode(F.concat(*[windows(k) for k in WIDER])).alias("w")).select(*keys, "w.*")
 
 
-def _kind_windows(kind: str) -> Column:
-    n = F.size(kind)
+def _slot_counts(words: DataFrame) -> DataFrame:
+    """item_id, kind, place and n_slots of the same windows."""
 
-    def window(i: Column) -> Column:
-        part = F.slice(kind, i, WINDOW)
-        return F.struct(
-            F.lit(kind).alias("kind"), (i - 1).alias("place"), F.xxhash64(F.lit(kind), part).alias("hash"), F.size(F.filter(part, lambda w: w["slot"])).alias("n_slots")
-        )
+    def windows(kind: str) -> Column:
+        return F.transform(_slices(kind, WINDOW), lambda ws, i: F.struct(F.lit(kind).alias("kind"), i.alias("place"), F.size(F.filter(ws, _is_slot)).alias("n_slots")))
 
-    starts = F.when(n >= WINDOW, F.sequence(F.lit(1), n - WINDOW + 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, window)
+    return words.select("item_id", F.explode(F.concat(*[windows(k) for k in WIDER])).alias("w")).select("item_id", "w.*")
 
 
 def _wider_leaks(docs: DataFrame, items: DataFrame, known: DataFrame, least: int, broadcast_windows: int) -> DataFrame:
     """Leaks under the wider templates, without the pairs in ``known``."""
     item = _wider_words(items.where("item_id is not null").select("item_id", "text"))
-    windows = _wider_windows(item, "item_id").where(F.col("n_slots") <= WINDOW - LITERALS)
+    windows = _wider_windows(item, "item_id").join(_slot_counts(item), ["item_id", "kind", "place"]).where(F.col("n_slots") <= WINDOW - LITERALS)
     firsts = windows.groupBy("hash", "item_id", "kind").agg(F.min("place").alias("at"), F.max(F.col("n_slots") > 0).alias("slotted"))
     index = cut_lineage(firsts.join(firsts.groupBy("item_id", "kind").agg(F.count("*").alias("n")), ["item_id", "kind"]), "wider-windows")
-    keyed = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
+    keyed = docs.select("doc_id", "key", "text")
     placed = _wider_windows(_wider_words(keyed), "doc_id", "key").select("doc_id", "key", "place", "hash")
     lines = _lines(_matches(placed, index, broadcast_windows), least)
     same = known.select(F.col("doc_id").alias("d"), F.col("key").alias("k"), F.col("item_id").alias("i"))
@@ -227,22 +308,27 @@ def _raw_words(text: Column) -> Column:
     return _words(F.lower(_replaced(text, [_CLOSING])))
 
 
+def _left_out(items: DataFrame) -> DataFrame:
+    """item_id, raw (words), size (of a window) of the items that have no window under the plain template."""
+    words = items.where("item_id is not null").select("item_id", _words(template(F.col("text"))).alias("words"), _raw_words(F.col("text")).alias("raw"))
+    searched = F.exists(_slices("words", WINDOW), lambda ws: F.size(F.filter(ws, lambda w: ~_is_plain_slot(w))) >= LITERALS)
+    return words.where((F.size("raw") > 0) & ~searched).select("item_id", "raw", F.least(F.size("raw"), F.lit(WINDOW)).alias("size"))
+
+
 def _raw_windows(words: str, size: int) -> Column:
-    n = F.size(words)
-    starts = F.when(n >= size, F.sequence(F.lit(1), n - size + 1)).otherwise(F.array().cast("array<int>"))
-    return F.transform(starts, lambda i: F.struct((i - 1).alias("place"), F.xxhash64(F.lit(size), F.slice(words, i, size)).alias("hash")))
+    return F.transform(_slices(words, size), lambda ws, i: F.struct(i.alias("place"), F.xxhash64(F.lit(size), ws).alias("hash")))
 
 
-def _raw_leaks(docs: DataFrame, items: DataFrame, least: int, broadcast_windows: int) -> DataFrame | None:
-    """Leaks of the items that have no window under the plain template, None without such items."""
-    words = items.where("item_id is not null").select("item_id", _words(template(F.col("text"))).alias("words"), _raw_words(F.col("text")).alias("raw"))
+def _lone_words(text: Column) -> Column:
+    """Windows of one word, for the lines that have one word only."""
+    lines = F.transform(F.split(text, "\n"), _raw_words)
+    lone = F.filter(lines, lambda ws: F.size(ws) == 1)
+    return F.transform(lone, lambda ws: F.struct(F.lit(0).alias("place"), F.xxhash64(F.lit(1), ws).alias("hash")))
 
-    def searched(i: Column) -> Column:
-        return F.size(F.filter(F.slice("words", i, WINDOW), lambda w: ~F.contains(w, F.lit("<")))) >= LITERALS
 
-    starts = F.when(F.size("words") >= WINDOW, F.sequence(F.lit(1), F.size("words") - WINDOW + 1)).otherwise(F.array().cast("array<int>"))
-    left_out = words.where((F.size("raw") > 0) & ~F.exists(starts, searched)).select("item_id", "raw", F.least(F.size("raw"), F.lit(WINDOW)).alias("size"))
-    left_out = cut_lineage(left_out, "unsearched-items")
+def _raw_leaks(docs: DataFrame, items: DataFrame, least: int, broadcast_windows: int) -> DataFrame | None:
+    """Leaks of the items that have no window under the plain template, None without such items."""
+    left_out = cut_lineage(_left_out(items), "unsearched-items")
     # at most one number per size comes to the driver
     sizes = sorted(row["size"] for row in left_out.select("size").distinct().collect())
     if not sizes:
@@ -251,14 +337,16 @@ def _raw_leaks(docs: DataFrame, items: DataFrame, least: int, broadcast_windows:
     firsts = left_out.select("item_id", "size", F.explode(each).alias("w")).groupBy("w.hash", "item_id", "size").agg(F.min("w.place").alias("at"))
     counts = firsts.groupBy("item_id", "size").agg(F.when(F.col("size") < WINDOW, 1).otherwise(F.count("*")).cast("long").alias("n"))
     index = firsts.join(counts, ["item_id", "size"]).select("hash", "item_id", "at", "n", F.lit("raw").alias("kind"), F.lit(False).alias("slotted"))
-    own = docs.select("doc_id", F.xxhash64("text").alias("key"), _raw_words(F.col("text")).alias("raw"))
-    placed = own.select("doc_id", "key", F.explode(F.concat(*[_raw_windows("raw", n) for n in sizes])).alias("w")).select("doc_id", "key", "w.*")
+    own = docs.select("doc_id", "key", "text", _raw_words(F.col("text")).alias("raw"))
+    windows = F.concat(*[_lone_words(F.col("text")) if n == 1 else _raw_windows("raw", n) for n in sizes])
+    placed = own.select("doc_id", "key", F.explode(windows).alias("w")).select("doc_id", "key", "w.*")
     lines = _lines(_matches(placed, cut_lineage(index, "raw-windows"), broadcast_windows), least)
     return lines.select("doc_id", "key", "item_id", "n_windows", F.lit(True).alias("exact"))
 
 
 def _leaks(docs: DataFrame, items: DataFrame, least: int, broadcast_windows: int) -> DataFrame:
     """doc_id, key (hash of the text), item_id, n_windows, exact."""
+    docs = _candidates(docs, items, broadcast_windows)
     plain = cut_lineage(_plain_leaks(docs, items, least, broadcast_windows), "plain-leaks")
     more = _wider_leaks(docs, items, plain, least, broadcast_windows)
     raw = _raw_leaks(docs, items, least, broadcast_windows)

@@ -89,7 +89,8 @@ def test_items_without_template_windows(spark, docs, limit):
     ]
     items = spark.createDataFrame([*enumerate(questions), (9, ""), (10, None)], "item_id long, text string")
     rows = [(i, FILL + q + " " + FILL) for i, q in enumerate(questions)]
-    df = docs(*rows, (20, FILL + "WHAT IS the capital of france"), (21, FILL + "What is the capital of Spain?"), (22, "15 18 21"), (23, None), (24, FILL))
+    rows[3] = (3, FILL + "\n Why? \n" + FILL)
+    df = docs(*rows, (30, FILL + "Why? " + FILL), (20, FILL + "WHAT IS the capital of france"), (21, FILL + "What is the capital of Spain?"), (22, "15 18 21"), (23, None), (24, FILL))
     found = {(r.doc_id, r.item_id, r.exact) for r in decontaminate.find_leaks(df, items, broadcast_windows=limit).collect()}
     assert found == {(i, i, True) for i in range(4)} | {(20, 0, True)}
-    assert sorted(r.doc_id for r in decontaminate.drop_leaks(df, items).collect()) == [21, 22, 23, 24]
+    assert sorted(r.doc_id for r in decontaminate.drop_leaks(df, items).collect()) == [21, 22, 23, 24, 30]
