@@ -708,6 +708,36 @@ from v_works w left join parts p on w.orcid_publication_id = p.orcid_publication
         " order by a.\"startYear\" limit 500",
     )
     # monitoring
+    counts = " union all ".join(
+        f"select '{chain_name}' as chain, 'count' as kind, '{entity}' as indicator, ({counted})::double as value"
+        for chain_name, person, work in (("initial", "true", "true"), ("FilterObjects", MINIMAL_PERSON, MINIMAL_WORK))
+        for entity, counted in (
+            ("persons", f"select count(*) from v_persons where {person}"),
+            ("affiliations", f"select count(affiliations) from v_persons where {person}"),
+            ("works", f"select count(*) from v_works where {work}"),
+            ("orgUnits", "select count(*) from v_orgUnits"),
+        )
+    )
+    measured = (
+        f"{counts} union all select 'initial', 'indicator', indicator, value from report where indicator = 'MinObject' or indicator like 'MinObject.%'"
+        " union all select 'FilterObjects', 'indicator', indicator, 1.0 from report where indicator = 'MinObject' or indicator like 'MinObject.%'"
+    )
+    sql["q_append_measurements"] = with_views(
+        INDICATOR_VIEWS,
+        "select case when chain = 'initial' then n else n + 1 end::bigint as run_seq, 'MinObject' as metrics, chain, kind, indicator, value"
+        " from measured, (values (1), (3)) as t(n)",
+        **report,
+        measured=measured,
+    )
+    sql["q_append_monitoring"] = with_views(
+        INDICATOR_VIEWS,
+        "select 1::bigint as run_seq, 'initial' as base_chain, 'FilterObjects' as result_chain, kind, indicator,"
+        " 3::bigint as base_run_seq_last, 1::bigint as base_run_seq_before, 4::bigint as result_run_seq_last, 2::bigint as result_run_seq_before,"
+        f" 0.0::double as base_change, {round3('b.value - r.value')} as improvement_last, 0.0::double as improvement_change"
+        " from measured b join measured r using (kind, indicator) where b.chain = 'initial' and r.chain = 'FilterObjects'",
+        **report,
+        measured=measured,
+    )
     sql["q_monitor_base"] = monitor("kind, indicator, base_change")
     sql["q_monitor_improvement"] = monitor("kind, indicator, improvement_before, improvement_last, improvement_change")
     sql["q_monitor_guard"] = with_views(

@@ -361,6 +361,30 @@ def full_chain_persons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_affiliations(chain.transform(load(spark, sf_dir))["persons"])
 
 
+def _measured(spark: SparkSession, sf_dir: str) -> str:
+    """Table of four measurements: the initial state and the filtered one, twice."""
+    path = scratch_path(spark, "measurements")
+    entities = load(spark, sf_dir, "works", "persons", "orgUnits")
+    filtered = entities | {"works": filters.keep_minimal_works(entities["works"]), "persons": filters.keep_minimal_persons(entities["persons"])}
+    for chain_name, frames in (("initial", entities), ("FilterObjects", filtered)) * 2:
+        report.append_measurement(frames, path, chain_name, ["MinObject"], AS_OF_YEAR)
+    return path
+
+
+def append_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report.read_measurements(spark, _measured(spark, sf_dir)).drop("time")
+
+
+def append_monitoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    measured, path = report.read_measurements(spark, _measured(spark, sf_dir)), scratch_path(spark, "monitoring")
+    monitor.append_monitoring(measured, path, "MinObject", "initial", "FilterObjects")
+    changes = monitor.read_monitoring(spark, path)
+    return changes.select(
+        "run_seq", "base_chain", "result_chain", "kind", "indicator", "base_run_seq_last", "base_run_seq_before",
+        "result_run_seq_last", "result_run_seq_before", "base_change", "improvement_last", "improvement_change",
+    )
+
+
 def monitor_query(*columns: str) -> Query:
     return lambda spark, sf_dir: monitor.monitor(spark_view(spark, sf_dir, "v_measurements")).select("kind", "indicator", *columns)
 
@@ -467,6 +491,8 @@ def all_queries() -> dict[str, Query]:
         "q_sample_nested": entity_query(
             partial(sample.sample_extremes, attribute="affiliations.startYear", n=500), "persons", "startYear"
         ),
+        "q_append_measurements": append_measurements,
+        "q_append_monitoring": append_monitoring,
         "q_monitor_base": monitor_query("base_change"),
         "q_monitor_improvement": monitor_query("improvement_before", "improvement_last", "improvement_change"),
         "q_monitor_guard": view_query("v_measurements", monitor.run_counts),

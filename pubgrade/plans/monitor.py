@@ -1,9 +1,11 @@
 """How indicators moved between the last two runs."""
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pubgrade.functions.rounding import round3
+from pubgrade.sources import runs
 
 
 def run_counts(measurements: DataFrame) -> DataFrame:
@@ -73,10 +75,26 @@ def monitor(
     ).withColumn("improvement_change", round3(F.col("improvement_before") - F.col("improvement_last")))
 
 
+_NAMES = "metrics base_chain result_chain kind indicator".split()
+_TIMES = "base_time_last base_time_before result_time_last result_time_before".split()
+_NUMBERS = "base_run_seq_last base_run_seq_before result_run_seq_last result_run_seq_before".split()
+_CHANGES = "base_change improvement_before improvement_last improvement_change".split()
+MONITORED = T.StructType(
+    [T.StructField(name, T.StringType()) for name in _NAMES + _TIMES]
+    + [T.StructField(name, T.LongType()) for name in _NUMBERS]
+    + [T.StructField(name, T.DoubleType()) for name in _CHANGES]
+)
+
+
 def append_monitoring(
     measurements: DataFrame, path: str, metrics: str = "complete", base: str = "initial", result: str = "complete"
-) -> None:
-    """Appends what changed between the compared runs, with their chains, numbers and times."""
+) -> int:
+    """Appends what changed between the compared runs, with their chains, numbers and times, as a run; returns its number."""
     changes = monitor(measurements, metrics, base, result)
     named = changes.select(F.lit(metrics).alias("metrics"), F.lit(base).alias("base_chain"), F.lit(result).alias("result_chain"), "*")
-    named.write.mode("append").parquet(path)
+    return runs.append_run(named.select([F.col(f.name).cast(f.dataType) for f in MONITORED]), path)
+
+
+def read_monitoring(spark: SparkSession, path: str) -> DataFrame:
+    """All monitoring runs with their number as run_seq."""
+    return runs.read_runs(spark, path, MONITORED)

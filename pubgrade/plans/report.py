@@ -2,21 +2,22 @@
 
 from datetime import date, datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pubgrade import rules
 from pubgrade.functions.rounding import round3
 from pubgrade.plans import metrics as m
+from pubgrade.sources import runs
 
 # Correctness has a single metric, so it is that metric under another name
 ALIASES = {"Correctness": "CorrectValue"}
 ALL_DIMENSIONS = ["Completeness", "Correctness", "Consistency"]
 ALL_METRICS = [*rules.WEIGHTS, *rules.DIMENSIONS, *ALIASES]
 
-MEASUREMENT = (
-    "run_seq bigint, time string, metrics string, chain string, kind string, indicator string, value double"
+MEASUREMENT = T.StructType(
+    [T.StructField(name, T.StringType()) for name in ("time", "metrics", "chain", "kind", "indicator")] + [T.StructField("value", T.DoubleType())]
 )
 
 
@@ -102,7 +103,6 @@ def analyze(
 def measurement_rows(
     entities: dict[str, DataFrame],
     chain: str,
-    run_seq: int,
     requested: list[str] | None = None,
     as_of_year: int | None = None,
     time: datetime | None = None,
@@ -114,7 +114,6 @@ def measurement_rows(
     )
     report = analyze(entities, requested, as_of_year).select(F.lit("indicator").alias("kind"), "indicator", "value")
     return counts.unionByName(report).select(
-        F.lit(run_seq).cast("bigint").alias("run_seq"),
         F.lit((time or datetime.now()).strftime("%d/%m/%Y %H:%M:%S")).alias("time"),
         F.lit(",".join(requested)).alias("metrics"),
         F.lit(chain).alias("chain"),
@@ -131,19 +130,10 @@ def append_measurement(
     requested: list[str] | None = None,
     as_of_year: int | None = None,
 ) -> int:
-    """Appends a measurement to the table of all runs and returns its number."""
-    spark = entities["works"].sparkSession
-    last = read_measurements(spark, path, missing_ok=True).agg(F.max("run_seq")).first()[0]
-    run_seq = (last or 0) + 1
-    rows = measurement_rows(entities, chain, run_seq, requested, as_of_year)
-    rows.coalesce(1).write.mode("append").parquet(path)
-    return run_seq
-
-
-def read_measurements(spark: SparkSession, path: str, missing_ok: bool = False) -> DataFrame:
-    try:
-        return spark.read.schema(MEASUREMENT).parquet(path)
-    except AnalysisException as error:
-        if not missing_ok or error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], MEASUREMENT)
+    """Appends a measurement as a run of its own to the table of all runs and returns its number."""
+    return runs.append_run(measurement_rows(entities, chain, requested, as_of_year), path)
+
+
+def read_measurements(spark: SparkSession, path: str) -> DataFrame:
+    """All measurements with their number as run_seq; a missing table has none."""
+    return runs.read_runs(spark, path, MEASUREMENT)
