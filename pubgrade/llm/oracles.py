@@ -50,7 +50,7 @@ measured as (
 long as (
   select lang, source, measure, (value >> greatest(length(bin(value)) - 6, 0)) << greatest(length(bin(value)) - 6, 0) as bucket
   from (unpivot (select * from measured where not base_failed) on symbols, lines, repeats, length into name measure value value)),
-margins(measure, below, above) as (values ('symbols', null, 100), ('lines', null, 4000), ('repeats', null, 3000), ('length', 100, 100)),
+margins(measure, below, above) as (values ('symbols', null, 100), ('lines', null, 2000), ('repeats', null, 2000), ('length', 100, 100)),
 quartiles as (
   select lang, source, measure, count(*) as docs, quantile_disc(bucket, 0.25) as q25, quantile_disc(bucket, 0.75) as q75
   from long group by grouping sets ((lang, source, measure), (lang, measure), (measure))),

@@ -21,8 +21,9 @@ from pyspark.sql import functions as F
 
 from pubgrade.llm.tables import cut_lineage
 
-#: Measure: (margin below, margin above); None: no fence on that side.
-MARGINS = {"symbols": (None, 100), "lines": (None, 4000), "repeats": (None, 3000), "length": (100, 100)}
+#: Measure: (margin below, margin above) in ten-thousandths; None: no fence on that side. Where the quartiles
+#: of lines and repeats are zero, one repeated line of a short good document is a tenth of it and must pass.
+MARGINS = {"symbols": (None, 100), "lines": (None, 2000), "repeats": (None, 2000), "length": (100, 100)}
 #: Smallest group with thresholds of its own.
 LEAST = 50
 #: Rows of one language and source are dealt over so many tasks when thresholds come to them.

@@ -84,3 +84,18 @@ def test_sketches_merge(docs):
         return sorted(map(tuple, df.groupBy("lang", "source", "measure", "bucket").sum("n").collect()))
 
     assert total(parts) == total(quality.sketches(measured))
+
+
+def test_repeats_below_the_base_rule_are_judged_by_the_group(docs):
+    """A quarter of repeated words passes the base rule and fails the fence of a group without any; a tenth stays."""
+    rng = random.Random(4)
+
+    def text(n, repeated):
+        own = [f"w{rng.randint(0, 10**6)}" for _ in range(n - repeated)]
+        return " ".join([*own[:repeated], *own])
+
+    rows = [(i, text(100, 0), "en", "s") for i in range(80)] + [(100, text(200, 25), "en", "s"), (101, text(200, 9), "en", "s")]
+    found = {r.doc_id: r for r in quality.judge_quality(docs(*rows)).collect()}
+    assert found[100].n_repeat_words == 50 and not found[100].base_failed and not found[100].kept
+    assert found[101].n_repeat_words == 18 and found[101].kept
+    assert all(found[i].kept for i in range(80))
