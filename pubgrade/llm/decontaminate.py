@@ -24,8 +24,10 @@ on its line, since the word itself stands in many texts.
 Most documents hold none of it, so templates are built for candidates only. Every
 window searched for has a run of literal words, which a match must hold as they are: the
 longest run of four, else two, else one of them is its anchor. A document is a candidate if
-it holds an anchor; nothing is lost by that. Only where a window has no plain word at
-all, or the benchmark has more anchors than can be broadcast, are all documents candidates.
+it holds an anchor, by a Bloom filter of all anchors first and by a join afterwards, with the
+other literal words of the window at their places; nothing is lost by that. Only where a window
+has no plain word at all, or the benchmark has more anchors than can be broadcast, are all
+documents candidates.
 
 Rows (``find_leaks``): doc_id, item_id, n_windows (of the best diagonal; under the
 wider templates only where the plain one finds nothing), exact (all slot values
@@ -173,10 +175,12 @@ def _best(found: DataFrame) -> DataFrame:
 #: Signs that keep a word out of anchors: there its form may depend on the template.
 _ODD = rf"[.,;:!?)<>{SIGNS}]"
 _ANCHOR_SIZES = (4, 2, 1)
+#: Bits of the filter of anchors: it is a constant of half a megabyte in the plan, whatever the benchmark's size.
+FILTER_BITS = 1 << 22
 
 
 def _anchor(words: Column) -> Column:
-    """Hash and size of the longest run of anchor size in an array of (w, plain), NULL without a plain word."""
+    """Hash, size and place of the longest run of anchor size in an array of (w, plain, breaks), NULL without a plain word."""
 
     def runs(size: int) -> Column:
         starts = F.when(F.size(words) >= size, F.sequence(F.lit(0), F.size(words) - size)).otherwise(F.array().cast("array<int>"))
@@ -186,7 +190,7 @@ def _anchor(words: Column) -> Column:
     def hashed(size: int) -> Column:
         best = -F.array_max(runs(size))["at"]
         words_of = [F.xxhash64(F.get(words, best + k)["w"]) for k in range(size)]
-        return F.when(best.isNotNull(), F.struct(_run_hash(words_of).alias("hash"), F.lit(size).alias("size")))
+        return F.when(best.isNotNull(), F.struct(_run_hash(words_of).alias("hash"), F.lit(size).alias("size"), best.alias("at")))
 
     return F.coalesce(*[hashed(size) for size in _ANCHOR_SIZES])
 
@@ -195,8 +199,21 @@ def _run_hash(hashes: list[Column]) -> Column:
     return hashes[0] if len(hashes) == 1 else F.xxhash64(_run_hash(hashes[: len(hashes) // 2]), _run_hash(hashes[len(hashes) // 2 :]))
 
 
-def _literals(words: str, slot: Callable[[Column], Column]) -> Column:
-    return F.transform(words, lambda w: F.struct(w.alias("w"), (~slot(w) & ~F.rlike(w, F.lit(_ODD))).alias("plain")))
+def _anchored(windows: DataFrame, slot: Callable[[Column], Column], breaks: Callable[[Column], Column]) -> DataFrame:
+    """hash and size of the anchors of windows (ws), and others: distance and hash of the plain words that stand as far from the anchor in a text too.
+
+    Words that ``breaks`` holds for may be several words of a text.
+    """
+    words = F.transform("ws", lambda w: F.struct(w.alias("w"), (~slot(w) & ~F.rlike(w, F.lit(_ODD))).alias("plain"), breaks(w).alias("breaks")))
+    found = windows.select(words.alias("ws")).withColumn("a", _anchor(F.col("ws")))
+
+    def other(w: Column, i: Column) -> Column:
+        low, high = F.least(i, F.col("a.at")), F.greatest(i, F.col("a.at"))
+        joined = ~F.exists(F.slice("ws", low + 1, high - low + 1), lambda v: v["breaks"])
+        return F.when(w["plain"] & joined, F.struct((i - F.col("a.at")).alias("off"), F.xxhash64(w["w"]).alias("h")))
+
+    others = F.filter(F.transform("ws", other), lambda o: o.isNotNull())
+    return found.select("a.hash", "a.size", F.when(F.col("a").isNotNull(), others).alias("others"))
 
 
 def _slices(words: str, size: int | Column) -> Column:
@@ -207,37 +224,89 @@ def _slices(words: str, size: int | Column) -> Column:
 
 
 def _anchors(items: DataFrame) -> DataFrame:
-    """hash and size of the anchors of all windows searched for; NULLs if a window has none."""
+    """The anchors of all windows searched for; NULLs if a window has none."""
     own = items.where("item_id is not null").select("item_id", "text")
 
-    def of_windows(words: DataFrame, kind: str, slot: Callable[[Column], Column]) -> DataFrame:
+    def never(w: Column) -> Column:
+        return F.lit(False)
+
+    def of_windows(words: DataFrame, kind: str, slot: Callable[[Column], Column], breaks: Callable[[Column], Column]) -> DataFrame:
         windows = words.select(F.explode(_slices(kind, WINDOW)).alias("ws"))
-        searched = windows.where(F.size(F.filter("ws", lambda w: ~slot(w))) >= LITERALS)
-        return searched.select(_anchor(_literals("ws", slot)).alias("a"))
+        return _anchored(windows.where(F.size(F.filter("ws", lambda w: ~slot(w))) >= LITERALS), slot, breaks)
 
-    found = of_windows(own.select(_words(template(F.col("text"))).alias("plain")), "plain", _is_plain_slot)
+    found = of_windows(own.select(_words(template(F.col("text"))).alias("plain")), "plain", _is_plain_slot, never)
     wider = _wider_words(own)
     for kind in WIDER:
-        found = found.unionByName(of_windows(wider, kind, _is_slot))
+        found = found.unionByName(of_windows(wider, kind, _is_slot, lambda w: F.contains(w, F.lit(NUM))))
     raw = _left_out(own).select(F.explode(_slices("raw", F.col("size"))).alias("ws"))
-    return found.unionByName(raw.select(_anchor(_literals("ws", lambda w: F.lit(False))).alias("a"))).select("a.*").distinct()
+    return found.unionByName(_anchored(raw, never, never)).distinct()
+
+
+def _filter_bits(hash_: Column) -> list[Column]:
+    """The two bits of a hash in the filter."""
+    return [F.pmod(hash_, F.lit(FILTER_BITS)), F.pmod(F.shiftright(hash_, 24), F.lit(FILTER_BITS))]
+
+
+def _filter(anchors: DataFrame) -> Column:
+    """A Bloom filter of the anchors as an array constant, 64 bits a number; at most FILTER_BITS / 64 numbers come to the driver."""
+    bits = anchors.select(F.explode(F.array(*_filter_bits(F.col("hash")))).alias("bit"))
+    numbers = bits.groupBy(F.expr("bit div 64").alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits"))
+    values = [0] * (FILTER_BITS // 64)
+    for row in numbers.collect():
+        values[row["at"]] = row["bits"]
+    # folds to one constant, where a list would be an expression for each number
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _candidates(docs: DataFrame, items: DataFrame, broadcast_windows: int) -> DataFrame:
-    """doc_id, key, text of the documents that hold an anchor."""
+    """doc_id, key, text of the documents that hold an anchor with the plain words around it.
+
+    First a scan with the filter, then the join of what is left with the anchors themselves.
+    """
     keyed = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
     anchors = cut_lineage(_anchors(items), "leak-anchors")
     sizes = {row["size"]: row["n"] for row in anchors.groupBy("size").agg(F.count("*").alias("n")).collect()}
     if None in sizes or sum(sizes.values()) > broadcast_windows:
         return keyed
     core = F.transform(_raw_words(F.translate("text", SIGNS, " " * len(SIGNS))), lambda w: F.xxhash64(w))
-    held = keyed.select("doc_id", "key", core.alias("h1"))
-    held = held.withColumn("h2", F.zip_with("h1", F.slice("h1", 2, F.size("h1")), lambda x, y: F.xxhash64(x, y)))
-    held = held.withColumn("h4", F.zip_with("h2", F.slice("h2", 3, F.size("h2")), lambda x, y: F.xxhash64(x, y)))
-    runs = F.concat(*[F.col(f"h{size}") for size in sizes]) if sizes else F.col("h1")
-    hits = held.select("doc_id", "key", F.explode(runs).alias("hash")).join(F.broadcast(anchors), "hash", "left_semi")
-    hits = cut_lineage(hits.select(F.col("doc_id").alias("d"), F.col("key").alias("k")).distinct(), "leak-hits")
-    return cut_lineage(keyed.join(hits, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k")), "left_semi"), "leak-texts")
+    bits = _filter(anchors)
+
+    def known(hash_: Column) -> Column:
+        first, second = [F.getbit(F.get(bits, F.shiftright(bit, 6).cast("int")), bit.bitwiseAND(F.lit(63)).cast("int")) == 1 for bit in _filter_bits(hash_)]
+        return first & second
+
+    def pairs(h1: Column) -> Column:
+        return F.zip_with(h1, F.slice(h1, 2, F.size(h1)), lambda x, y: F.xxhash64(x, y))
+
+    def fours(h2: Column) -> Column:
+        return F.zip_with(h2, F.slice(h2, 3, F.size(h2)), lambda x, y: F.xxhash64(x, y))
+
+    def judged(h1: Column, h2: Column, h4: Column) -> Column:
+        passing = F.lit(False)
+        for size, runs in ((4, h4), (2, h2), (1, h1)):
+            passing = passing | F.exists(runs, known) if size in sizes else passing
+        return F.struct(h1.alias("h1"), h2.alias("h2"), h4.alias("h4"), passing.alias("passing"))
+
+    # one expression that computes each step once; as columns, the condition below would repeat them
+    runs = _bound(core, lambda h1: _bound(pairs(h1), lambda h2: _bound(fours(h2), lambda h4: judged(h1, h2, h4))))
+    held = keyed.withColumn("runs", runs).where("runs.passing").select("doc_id", "key", "text", "runs.h1", "runs.h2", "runs.h4")
+    held = cut_lineage(held, "leak-texts")
+    found = None
+    for size in sizes:
+        runs = held.select("doc_id", "key", "h1", F.posexplode(f"h{size}").alias("at", "hash"))
+        hits = runs.join(F.broadcast(anchors.where(F.col("size") == size)), "hash")
+        hits = hits.where(F.forall("others", lambda o: F.get("h1", F.col("at") + o["off"]).eqNullSafe(o["h"]))).select("doc_id", "key")
+        found = hits if found is None else found.unionByName(hits)
+    if found is None:
+        return keyed.where("false")
+    found = cut_lineage(found.select(F.col("doc_id").alias("d"), F.col("key").alias("k")).distinct(), "leak-hits")
+    texts = held.select("doc_id", "key", "text")
+    return cut_lineage(texts.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k")), "left_semi"), "leak-candidates")
 
 
 def _plain_leaks(docs: DataFrame, items: DataFrame, least: int, broadcast_windows: int) -> DataFrame:
