@@ -708,6 +708,13 @@ from v_works w left join parts p on w.orcid_publication_id = p.orcid_publication
         " order by a.\"startYear\" limit 500",
     )
     # monitoring
+    sql["q_incremental_report"] = sql["q_quality_report"]
+    sql["q_unique_value_approximate"] = with_views(
+        "v_works",
+        " union all ".join(
+            f"select '{c}' as \"column\", count({c}) as base, count(distinct {c}) > 0 as near from v_works" for c in ("bibtex", "orcid_publication_id", "doi")
+        ),
+    )
     counts = " union all ".join(
         f"select '{chain_name}' as chain, 'count' as kind, '{entity}' as indicator, ({counted})::double as value"
         for chain_name, person, work in (("initial", "true", "true"), ("FilterObjects", MINIMAL_PERSON, MINIMAL_WORK))

@@ -11,7 +11,7 @@ from checks.views import spark_view
 from pubgrade import rules, schemas
 from pubgrade.functions import text
 from pubgrade.operators import correct, enrich, extract, filters, merge, parse, registry, sample
-from pubgrade.plans import chain, metrics, monitor, report
+from pubgrade.plans import chain, metrics, monitor, partials, report
 from pubgrade.sources import ingest, records, states
 from pubgrade.sources.scratch import scratch_path, with_local_scratch
 
@@ -361,6 +361,26 @@ def full_chain_persons(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_affiliations(chain.transform(load(spark, sf_dir))["persons"])
 
 
+def incremental_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of the initial state after that of a state with other works: the rest comes from the store."""
+    root = scratch_path(spark, "states")
+    states.write_state(root, states.INITIAL, load(spark, sf_dir, "works", "persons", "orgUnits", "ROR", "lei", "fundref"))
+    corrected = chain.run_transformation(spark, root, "CorrectContradict")
+    partials.analyze(spark, root, corrected, f"{root}/partials", AS_OF_YEAR)
+    return partials.analyze(spark, root, states.INITIAL, f"{root}/partials", AS_OF_YEAR)
+
+
+def unique_value_approximate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of two halves of the works, merged: bases, and whether the estimates are within 3 % of the exact counts."""
+    works, columns = load(spark, sf_dir, "works")["works"], ["bibtex", "orcid_publication_id", "doi"]
+    even = F.coalesce(F.crc32("orcid_publication_id") % 2 == 0, F.lit(True))
+    halves = [metrics.distinct_sketches(works.where(half), columns) for half in (even, ~even)]
+    estimated = metrics.estimate_distinct(metrics.merge_sketches(halves[0].unionByName(halves[1])))
+    exact = metrics.count_distinct(works, columns).select("column", F.col("hits").alias("exact"))
+    near = F.abs(F.col("hits") - F.col("exact")) <= 0.03 * F.col("exact")
+    return estimated.join(exact, "column").select("column", "base", near.alias("near"))
+
+
 def _measured(spark: SparkSession, sf_dir: str) -> str:
     """Table of four measurements: the initial state and the filtered one, twice."""
     path = scratch_path(spark, "measurements")
@@ -491,6 +511,8 @@ def all_queries() -> dict[str, Query]:
         "q_sample_nested": entity_query(
             partial(sample.sample_extremes, attribute="affiliations.startYear", n=500), "persons", "startYear"
         ),
+        "q_incremental_report": incremental_report,
+        "q_unique_value_approximate": unique_value_approximate,
         "q_append_measurements": append_measurements,
         "q_append_monitoring": append_monitoring,
         "q_monitor_base": monitor_query("base_change"),

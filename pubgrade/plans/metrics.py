@@ -269,25 +269,56 @@ def org_name_ratio(entities: dict[str, DataFrame]) -> DataFrame:
     return _one_entry(one_row, "CorrectValue", "orgUnits.name", value="share")
 
 
+#: What a measurement consists of, and the entities that each part reads.
+PARTS = {
+    "works": ("works",),
+    "persons": ("persons",),
+    "orgUnits": ("orgUnits",),
+    "registries": ("orgUnits", "ROR", "lei", "fundref"),
+}
+
+
+def part_indicators(part: str, entities: dict[str, DataFrame], metrics: list[str], as_of_year: int) -> DataFrame | None:
+    """Indicators of one part in long form, not rounded; None if the metrics have none there."""
+    if part == "registries":
+        return org_name_ratio(entities) if "CorrectValue" in metrics else None
+    df = entities[part]
+    ratios_of = {"works": lambda df, metric: work_ratios(df, metric, as_of_year), "persons": person_ratios, "orgUnits": org_ratios}[part]
+    ratios = [ratio for metric in metrics for ratio in ratios_of(df, metric)]
+    frames = [fused_ratios(df, ratios)] if ratios else []
+    if "UniqueValue" in metrics:
+        frames.append(unique_value_ratios(df, part))
+    if "UniqueObject" in metrics and part == "works":
+        frames.append(_one_entry(count_objects(df), "UniqueObject", "works"))
+    return reduce(DataFrame.unionByName, frames) if frames else None
+
+
 def indicators(entities: dict[str, DataFrame], metrics: list[str], as_of_year: int) -> DataFrame:
     """Indicators of the given metrics in long form, not rounded."""
-    per_entity = {
-        "works": lambda df, metric: work_ratios(df, metric, as_of_year),
-        "persons": person_ratios,
-        "orgUnits": org_ratios,
-    }
-    frames = []
-    for entity, ratios_of in per_entity.items():
-        ratios = [ratio for metric in metrics for ratio in ratios_of(entities[entity], metric)]
-        if ratios:
-            frames.append(fused_ratios(entities[entity], ratios))
-    if "CorrectValue" in metrics:
-        frames.append(org_name_ratio(entities))
-    if "UniqueValue" in metrics:
-        frames.extend(unique_value_ratios(entities[entity], entity) for entity in per_entity)
-    if "UniqueObject" in metrics:
-        frames.append(_one_entry(count_objects(entities["works"]), "UniqueObject", "works"))
-    return reduce(DataFrame.unionByName, frames)
+    frames = [part_indicators(part, entities, metrics, as_of_year) for part in PARTS]
+    return reduce(DataFrame.unionByName, [frame for frame in frames if frame is not None])
+
+
+#: Size of a distinct-count sketch as the logarithm of its buckets: some kilobytes, an error of about 1 %.
+SKETCH_SIZE = 14
+
+
+def distinct_sketches(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, sketch, base): what is needed to estimate distinct values, in one pass without a shuffle of values.
+
+    Sketches of several tables, or of what was added to one, merge with ``merge_sketches``.
+    """
+    sketches = [F.struct(F.lit(c).alias("column"), F.hll_sketch_agg(c, SKETCH_SIZE).alias("sketch"), F.count(c).alias("base")) for c in columns]
+    return df.agg(F.array(*sketches).alias("all")).select(F.inline("all"))
+
+
+def merge_sketches(sketches: DataFrame) -> DataFrame:
+    return sketches.groupBy("column").agg(F.hll_union_agg("sketch").alias("sketch"), F.sum("base").alias("base"))
+
+
+def estimate_distinct(sketches: DataFrame) -> DataFrame:
+    """(column, hits, base) as in ``count_distinct``, hits estimated."""
+    return sketches.select("column", F.least(F.hll_sketch_estimate("sketch"), F.col("base")).alias("hits"), "base")
 
 
 def missing_values(df: DataFrame, value: Column, domain: list[str]) -> DataFrame:

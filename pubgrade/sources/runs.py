@@ -18,7 +18,7 @@ _RUNS, _NUMBERS = "runs", "numbers"
 RUN = "run_seq"
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -26,7 +26,7 @@ def _file_system(spark: SparkSession, path: str):
 def _create_if_absent(spark: SparkSession, path: str, text: str) -> bool:
     """Creates a file with a short text unless there is one; of several writers one succeeds."""
     jvm = spark._jvm
-    place, fs = _file_system(spark, path)
+    place, fs = file_system(spark, path)
     fs.mkdirs(place.getParent())
     try:
         if fs.getScheme() == "file":
@@ -47,7 +47,7 @@ def _create_if_absent(spark: SparkSession, path: str, text: str) -> bool:
 
 def run_numbers(spark: SparkSession, path: str) -> list[int]:
     """Numbers of the runs, ascending: one per append, from the names of files."""
-    place, fs = _file_system(spark, f"{path}/{_NUMBERS}")
+    place, fs = file_system(spark, f"{path}/{_NUMBERS}")
     if not fs.exists(place):
         return []
     names = [status.getPath().getName() for status in fs.listStatus(place)]

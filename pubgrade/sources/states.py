@@ -69,20 +69,23 @@ def write_state(root: str, chain: str, entities: dict[str, DataFrame]) -> None:
     _write_list(spark, root, chain, sorted({*names, *entities}))
 
 
+def stored_chain(spark: SparkSession, root: str, chain: str, entity: str) -> str | None:
+    """The state that holds the latest version of an entity; None if none does."""
+    chains = fallback_chains(chain)
+    stored = {candidate: stored_entities(spark, root, candidate) for candidate in chains}
+    if chain != INITIAL and not any(stored[c] for c in chains if c != INITIAL):
+        raise ValueError(f"no state of {chain} in {root}")
+    return next((c for c in chains if entity in (stored[c] or [])), None)
+
+
 def read_entity(spark: SparkSession, root: str, chain: str, entity: str) -> DataFrame | None:
     """The latest stored version of an entity.
 
     The schema is that of the files: the correction of affiliations changes the
     order of their fields, which later decides how two arrays compare.
     """
-    chains = fallback_chains(chain)
-    stored = {candidate: stored_entities(spark, root, candidate) for candidate in chains}
-    if chain != INITIAL and not any(stored[c] for c in chains if c != INITIAL):
-        raise ValueError(f"no state of {chain} in {root}")
-    for candidate in chains:
-        if entity in (stored[candidate] or []):
-            return spark.read.parquet(f"{root}/{candidate}/{entity}")
-    return None
+    found = stored_chain(spark, root, chain, entity)
+    return None if found is None else spark.read.parquet(f"{root}/{found}/{entity}")
 
 
 def read_entities(spark: SparkSession, root: str, chain: str = INITIAL) -> dict[str, DataFrame]:

@@ -2,12 +2,13 @@ import os
 import sys
 
 import pytest
+from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from checks.compare import connect, local_session  # noqa: E402
 from pubgrade import schemas  # noqa: E402
-from pubgrade.sources.scratch import use_local_scratch  # noqa: E402
+from pubgrade.sources.scratch import remove, scratch_root, use_local_scratch  # noqa: E402
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -20,6 +21,17 @@ def spark():
     return session
 
 
+@pytest.fixture(scope="module", autouse=True)
+def freed():
+    """After a module, the session gives back what its tests held: scratch tables, cached plans, shuffles of collected frames."""
+    yield
+    session = SparkSession.getActiveSession()
+    if session:
+        remove(session, scratch_root(session))
+        session.catalog.clearCache()
+        session.sparkContext._jvm.System.gc()
+
+
 @pytest.fixture(scope="session")
 def duck():
     return connect(SF_DIR)
