@@ -39,7 +39,7 @@ columns are ignored here and kept by ``drop_leaks``. Everything is DataFrame exp
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pubgrade.llm.tables import cut_lineage, fresh_name
@@ -157,8 +157,7 @@ def _lines(matches: DataFrame, least: int) -> DataFrame:
     lines = matches.groupBy("doc_id", "key", "item_id", "kind", "n", "diagonal").agg(
         F.count("*").alias("n_windows"), F.min("at").alias("low"), F.max("at").alias("high"), F.max("slotted").alias("slotted")
     )
-    # a passage may lose a window at either end to the text around it
-    return lines.where(F.col("n_windows") >= F.least(F.ceil(F.col("n") / 2), F.lit(least)))
+    return lines.where(F.col("n_windows") >= _needed(F.col("n"), least))
 
 
 def _matches(placed: DataFrame, index: DataFrame, broadcast_windows: int) -> DataFrame:
@@ -188,9 +187,11 @@ def _anchor(words: Column) -> Column:
         return F.transform(whole, lambda i: F.struct(F.length(F.array_join(F.transform(F.slice(words, i + 1, size), lambda w: w["w"]), "")).alias("n"), (-i).alias("at")))
 
     def hashed(size: int) -> Column:
-        best = -F.array_max(runs(size))["at"]
-        words_of = [F.xxhash64(F.get(words, best + k)["w"]) for k in range(size)]
-        return F.when(best.isNotNull(), F.struct(_run_hash(words_of).alias("hash"), F.lit(size).alias("size"), best.alias("at")))
+        def of(best: Column) -> Column:
+            words_of = [F.xxhash64(F.get(words, k - best["at"])["w"]) for k in range(size)]
+            return F.when(best.isNotNull(), F.struct(_run_hash(words_of).alias("hash"), F.lit(size).alias("size"), (-best["at"]).alias("at"), best["n"].alias("n")))
+
+        return _bound(F.array_max(runs(size)), of)
 
     return F.coalesce(*[hashed(size) for size in _ANCHOR_SIZES])
 
@@ -199,13 +200,17 @@ def _run_hash(hashes: list[Column]) -> Column:
     return hashes[0] if len(hashes) == 1 else F.xxhash64(_run_hash(hashes[: len(hashes) // 2]), _run_hash(hashes[len(hashes) // 2 :]))
 
 
-def _anchored(windows: DataFrame, slot: Callable[[Column], Column], breaks: Callable[[Column], Column]) -> DataFrame:
-    """hash and size of the anchors of windows (ws), and others: distance and hash of the plain words that stand as far from the anchor in a text too.
+def _anchored(windows: DataFrame, slot: Callable[[Column], Column], breaks: Callable[[Column], Column], least: int) -> DataFrame:
+    """hash and size of the anchors of windows (item_id, ws), and others: distance and hash of the plain words that stand as far from the anchor in a text too.
 
-    Words that ``breaks`` holds for may be several words of a text.
+    Words that ``breaks`` holds for may be several words of a text. As a leak has several of an item's
+    windows, those with the poorest anchors are left out: as many as any leak must exceed.
     """
     words = F.transform("ws", lambda w: F.struct(w.alias("w"), (~slot(w) & ~F.rlike(w, F.lit(_ODD))).alias("plain"), breaks(w).alias("breaks")))
-    found = windows.select(words.alias("ws")).withColumn("a", _anchor(F.col("ws")))
+    found = cut_lineage(windows.distinct().select("item_id", words.alias("ws")).withColumn("a", _anchor(F.col("ws"))), "leak-runs")
+    best = Window.partitionBy("item_id").orderBy(F.desc_nulls_last("a.size"), F.desc("a.n"), "a.hash")
+    n = F.count("*").over(Window.partitionBy("item_id"))
+    found = found.withColumn("n", n).withColumn("no", F.row_number().over(best)).where(F.col("no") <= F.col("n") - _needed(F.col("n"), least) + 1)
 
     def other(w: Column, i: Column) -> Column:
         low, high = F.least(i, F.col("a.at")), F.greatest(i, F.col("a.at"))
@@ -216,6 +221,11 @@ def _anchored(windows: DataFrame, slot: Callable[[Column], Column], breaks: Call
     return found.select("a.hash", "a.size", F.when(F.col("a").isNotNull(), others).alias("others"))
 
 
+def _needed(n: Column, least: int) -> Column:
+    """Windows that make a leak of an item with ``n`` of them; a passage may lose a window at either end to the text around it."""
+    return F.least(F.ceil(n / 2), F.lit(least))
+
+
 def _slices(words: str, size: int | Column) -> Column:
     """All runs of ``size`` words."""
     n = F.size(words)
@@ -223,23 +233,23 @@ def _slices(words: str, size: int | Column) -> Column:
     return F.transform(starts, lambda i: F.slice(words, i, size))
 
 
-def _anchors(items: DataFrame) -> DataFrame:
-    """The anchors of all windows searched for; NULLs if a window has none."""
+def _anchors(items: DataFrame, least: int) -> DataFrame:
+    """The anchors of the windows searched for; NULLs if one has none."""
     own = items.where("item_id is not null").select("item_id", "text")
 
     def never(w: Column) -> Column:
         return F.lit(False)
 
     def of_windows(words: DataFrame, kind: str, slot: Callable[[Column], Column], breaks: Callable[[Column], Column]) -> DataFrame:
-        windows = words.select(F.explode(_slices(kind, WINDOW)).alias("ws"))
-        return _anchored(windows.where(F.size(F.filter("ws", lambda w: ~slot(w))) >= LITERALS), slot, breaks)
+        windows = words.select("item_id", F.explode(_slices(kind, WINDOW)).alias("ws"))
+        return _anchored(windows.where(F.size(F.filter("ws", lambda w: ~slot(w))) >= LITERALS), slot, breaks, least)
 
-    found = of_windows(own.select(_words(template(F.col("text"))).alias("plain")), "plain", _is_plain_slot, never)
+    found = of_windows(own.select("item_id", _words(template(F.col("text"))).alias("plain")), "plain", _is_plain_slot, never)
     wider = _wider_words(own)
     for kind in WIDER:
         found = found.unionByName(of_windows(wider, kind, _is_slot, lambda w: F.contains(w, F.lit(NUM))))
-    raw = _left_out(own).select(F.explode(_slices("raw", F.col("size"))).alias("ws"))
-    return found.unionByName(_anchored(raw, never, never)).distinct()
+    raw = _left_out(own).select("item_id", F.explode(_slices("raw", F.col("size"))).alias("ws"))
+    return found.unionByName(_anchored(raw, never, never, least)).distinct()
 
 
 def _filter_bits(hash_: Column) -> list[Column]:
@@ -263,13 +273,14 @@ def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def _candidates(docs: DataFrame, items: DataFrame, broadcast_windows: int) -> DataFrame:
+def _candidates(docs: DataFrame, items: DataFrame, least: int, broadcast_windows: int) -> DataFrame:
     """doc_id, key, text of the documents that hold an anchor with the plain words around it.
 
-    First a scan with the filter, then the join of what is left with the anchors themselves.
+    A scan with the filter keeps the places of possible anchors with the words around
+    them; only these are joined with the anchors themselves.
     """
     keyed = docs.select("doc_id", F.xxhash64("text").alias("key"), "text")
-    anchors = cut_lineage(_anchors(items), "leak-anchors")
+    anchors = cut_lineage(_anchors(items, least), "leak-anchors")
     sizes = {row["size"]: row["n"] for row in anchors.groupBy("size").agg(F.count("*").alias("n")).collect()}
     if None in sizes or sum(sizes.values()) > broadcast_windows:
         return keyed
@@ -286,24 +297,35 @@ def _candidates(docs: DataFrame, items: DataFrame, broadcast_windows: int) -> Da
     def fours(h2: Column) -> Column:
         return F.zip_with(h2, F.slice(h2, 3, F.size(h2)), lambda x, y: F.xxhash64(x, y))
 
-    def judged(h1: Column, h2: Column, h4: Column) -> Column:
-        passing = F.lit(False)
-        for size, runs in ((4, h4), (2, h2), (1, h1)):
-            passing = passing | F.exists(runs, known) if size in sizes else passing
-        return F.struct(h1.alias("h1"), h2.alias("h2"), h4.alias("h4"), passing.alias("passing"))
+    def hits(h1: Column, runs: Column, size: int) -> Column:
+        places = F.filter(F.transform(runs, lambda h, i: F.when(known(h), i)), lambda i: i.isNotNull())
 
-    # one expression that computes each step once; as columns, the condition below would repeat them
-    runs = _bound(core, lambda h1: _bound(pairs(h1), lambda h2: _bound(fours(h2), lambda h4: judged(h1, h2, h4))))
-    held = keyed.withColumn("runs", runs).where("runs.passing").select("doc_id", "key", "text", "runs.h1", "runs.h2", "runs.h4")
-    held = cut_lineage(held, "leak-texts")
-    found = None
-    for size in sizes:
-        runs = held.select("doc_id", "key", "h1", F.posexplode(f"h{size}").alias("at", "hash"))
-        hits = runs.join(F.broadcast(anchors.where(F.col("size") == size)), "hash")
-        hits = hits.where(F.forall("others", lambda o: F.get("h1", F.col("at") + o["off"]).eqNullSafe(o["h"]))).select("doc_id", "key")
-        found = hits if found is None else found.unionByName(hits)
-    if found is None:
+        def around(i: Column) -> Column:
+            near = F.transform(F.sequence(F.lit(1 - WINDOW), F.lit(WINDOW - 1)), lambda d: F.get(h1, i + d))
+            return F.struct(F.lit(size).alias("size"), F.get(runs, i).alias("hash"), near.alias("near"))
+
+        return F.transform(places, around)
+
+    def all_hits(h1: Column) -> Column:
+        own = [] if 1 not in sizes else [hits(h1, h1, 1)]
+        if not {2, 4} & set(sizes):
+            return F.concat(*own)
+
+        def of_pairs(h2: Column) -> Column:
+            more = [] if 2 not in sizes else [hits(h1, h2, 2)]
+            last = [] if 4 not in sizes else [_bound(fours(h2), lambda h4: hits(h1, h4, 4))]
+            return F.concat(*own, *more, *last)
+
+        return _bound(pairs(h1), of_pairs)
+
+    if not sizes:
         return keyed.where("false")
+    # one expression that computes each step once, and twice for the few documents that are kept
+    held = keyed.withColumn("hits", _bound(core, all_hits)).where(F.size("hits") > 0)
+    held = cut_lineage(held, "leak-texts")
+    placed = held.select("doc_id", "key", F.explode("hits").alias("hit")).select("doc_id", "key", "hit.*")
+    found = placed.join(F.broadcast(anchors), ["hash", "size"])
+    found = found.where(F.forall("others", lambda o: F.get("near", o["off"] + (WINDOW - 1)).eqNullSafe(o["h"])))
     found = cut_lineage(found.select(F.col("doc_id").alias("d"), F.col("key").alias("k")).distinct(), "leak-hits")
     texts = held.select("doc_id", "key", "text")
     return cut_lineage(texts.join(found, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k")), "left_semi"), "leak-candidates")
@@ -415,7 +437,7 @@ def _raw_leaks(docs: DataFrame, items: DataFrame, least: int, broadcast_windows:
 
 def _leaks(docs: DataFrame, items: DataFrame, least: int, broadcast_windows: int) -> DataFrame:
     """doc_id, key (hash of the text), item_id, n_windows, exact."""
-    docs = _candidates(docs, items, broadcast_windows)
+    docs = _candidates(docs, items, least, broadcast_windows)
     plain = cut_lineage(_plain_leaks(docs, items, least, broadcast_windows), "plain-leaks")
     more = _wider_leaks(docs, items, plain, least, broadcast_windows)
     raw = _raw_leaks(docs, items, least, broadcast_windows)
