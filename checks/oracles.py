@@ -587,6 +587,7 @@ def all_sql() -> dict[str, str]:
         " array_to_string(published.\"date-parts\"[1], '-') as \"date\" from items",
         items=f"select i.* from ({items})",
     )
+    sql["q_read_items"] = sql["q_flatten_items"]
     sql["q_flatten_authors"] = with_views(
         "v_raw_items",
         f'select "DOI" as doi, a."firstName", a.id, a."lastName" from (select "DOI", unnest({ITEM_AUTHORS}) as a from items)',

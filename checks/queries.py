@@ -255,6 +255,20 @@ def extract_xml_works(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_works(extract.flatten_works(records.extract_work_records(members)).drop("_authors"))
 
 
+def read_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All items in one file, read in blocks of some kilobytes."""
+    path = scratch_path(spark, "items")
+    rows = spark_view(spark, sf_dir, "v_raw_items").select(F.explode("items").alias("item"))
+    # one line per item in one file; the outer object around them
+    lines = rows.select(F.to_json("item").alias("value"), F.monotonically_increasing_id().alias("n"))
+    last = lines.agg(F.max("n").alias("last"))
+    lines = lines.join(F.broadcast(last)).select(
+        F.concat(F.when(F.col("n") == 0, '{"status": "{ok", "items": [').otherwise(""), "value", F.when(F.col("n") == F.col("last"), "]}").otherwise(",")).alias("value"), "n"
+    )
+    lines.coalesce(1).sortWithinPartitions("n").select("value").write.text(path)
+    return records.flatten_items(records.read_large_items(spark, path)).drop("authors")
+
+
 def extract_xml_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "xml")
     lei = spark_view(spark, sf_dir, "v_lei")
@@ -451,6 +465,7 @@ def all_queries() -> dict[str, Query]:
             ),
         ),
         "q_isolate_orgs": view_query("v_raw_persons", extract.isolate_organisations),
+        "q_read_items": read_items,
         "q_flatten_items": view_query("v_raw_items", lambda df: records.flatten_items(items(df)).drop("authors")),
         "q_flatten_authors": view_query(
             "v_raw_items", lambda df: records.flatten_items(items(df)).select("doi", F.inline("authors"))

@@ -1,6 +1,6 @@
 """Nested dumps into flat records: XML records and bibliographic JSON files."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -215,6 +215,72 @@ def read_items(spark: SparkSession, paths: str | list[str], damaged: str = "drop
     return files if damaged == "only" else files.select(F.inline("items"))
 
 
+def _braces(segments: Column, inside: int) -> Column:
+    """Opening braces in every second segment between quotation marks, from segment ``inside`` on."""
+    counts = F.transform(segments, lambda s, i: F.when(i % 2 == inside, F.length(s) - F.length(F.replace(s, F.lit("{"), F.lit("")))).otherwise(0))
+    return F.aggregate(counts, F.lit(0), lambda total, n: total + n)
+
+
+def _running(pieces: DataFrame, value: str, name: str) -> DataFrame:
+    """``pieces`` with the sum of ``value`` over all earlier pieces of the file as ``name``.
+
+    Sums within a block of the file first, and one row per block for what comes before it.
+    """
+    blocks = pieces.groupBy("file", "block").agg(F.sum(value).alias("_sum"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    before = blocks.select("file", "block", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_before"))
+    own = Window.partitionBy("file", "block").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    summed = pieces.withColumn("_own", F.coalesce(F.sum(value).over(own), F.lit(0))).join(before, ["file", "block"])
+    return summed.withColumn(name, F.col("_own") + F.col("_before")).drop("_own", "_before")
+
+
+def split_items(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """The text of every object of the array ``items`` of bibliographic JSON files, as (json).
+
+    A file of any size is read by many tasks: closing braces separate the pieces that
+    a text source splits it into. Quotation marks before a piece tell whether it begins inside a
+    string, braces before it how deep; an item ends where the depth comes back to one, and the
+    pieces of an item, also from both sides of a block's border, are joined again. Other fields of a file
+    may stand before or after the items, but no other array of objects.
+    """
+    pieces = spark.read.option("lineSep", "}").text(paths).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("at"),
+        F.col("value").alias("text"),
+    )
+    segments = F.split(F.regexp_replace("text", r"(?s)\\.", ""), '"')
+    pieces = pieces.withColumn("_s", segments).select(
+        "file", "block", "at", "text", (F.size("_s") - 1).alias("marks"), _braces(F.col("_s"), 0).alias("outer"), _braces(F.col("_s"), 1).alias("inner")
+    )
+    pieces = _running(pieces, "marks", "marks_before")
+    begins_inside, ends_inside = F.col("marks_before") % 2 == 1, (F.col("marks_before") + F.col("marks")) % 2 == 1
+    closes = F.when(ends_inside, 0).otherwise(1)
+    pieces = pieces.withColumns({"closes": closes, "change": F.when(begins_inside, F.col("inner")).otherwise(F.col("outer")) - closes})
+    pieces = _running(pieces, "change", "depth")
+    pieces = pieces.withColumn("ends", ((F.col("closes") == 1) & (F.col("depth") + F.col("change") == 1)).cast("int"))
+    pieces = _running(pieces, "ends", "item").withColumn("piece", F.struct("block", "at", "text", "depth", "ends"))
+    items = pieces.groupBy("file", "item").agg(F.array_sort(F.collect_list("piece")).alias("pieces"))
+    # what follows the last item has no end
+    items = items.where(F.element_at("pieces", -1)["ends"] == 1)
+    text = F.concat(F.array_join(F.transform("pieces", lambda p: p["text"]), "}"), F.lit("}"))
+    items = items.select(text.alias("text"), (F.get("pieces", F.lit(0))["depth"] == 0).alias("first"))
+    opened = r'"items"\s*:\s*\[\s*'
+    lead = F.when(F.col("first"), rf"(?s)^\s*\{{.*?{opened}(?=\{{)").otherwise(rf"^(?:\s*,\s*|[^{{]*{opened})(?=\{{)")
+    return items.where(F.regexp_like("text", lead)).select(F.regexp_replace("text", lead, F.lit("")).alias("json"))
+
+
+def read_large_items(spark: SparkSession, paths: str | list[str], damaged: str = "drop") -> DataFrame:
+    """Like ``read_items`` for files of any size, each read by many tasks; items that cannot be parsed, or are cut off at the end, are damaged one by one."""
+    if damaged not in ("drop", "only", "fail"):
+        raise ValueError(f"damaged must be drop, only or fail, not {damaged}")
+    schema = T.StructType([*T.StructType.fromDDL(f"i {ITEM}")["i"].dataType, T.StructField(DAMAGED, T.StringType())])
+    options = {"columnNameOfCorruptRecord": DAMAGED, "mode": "FAILFAST" if damaged == "fail" else "PERMISSIVE"}
+    parsed = split_items(spark, paths).withColumn("i", F.from_json("json", schema, options))
+    broken = F.col("i").isNull() | F.col(f"i.{DAMAGED}").isNotNull()
+    return parsed.where(broken).select("json") if damaged == "only" else parsed.where(~broken).select("i.*").drop(DAMAGED)
+
+
 def flatten_items(items: DataFrame) -> DataFrame:
     """Bibliographic items -> rows of the reference table."""
     doi = F.col("DOI")
