@@ -11,7 +11,8 @@ memberships alone, so documents with equal features form a cell; every iteration
 one Spark aggregation over the cells, and only one number per domain comes back.
 
 By default the total is the largest for which no domain needs repetition; with ``whole`` it
-is the one for which that domain stays as it is. A document is copied floor(rate) times and
+is the one for which that domain stays as it is, and cells that most likely belong to it have
+the rate one, so that none of its documents is lost to a draw or repeated. A document is copied floor(rate) times and
 once more with the chance of the rest, drawn by a hash of its id and text.
 
 Rows (``fit_rates``): doc_id, n_tokens (words), one membership column per domain
@@ -124,8 +125,8 @@ def memberships(cells: DataFrame, labelled: DataFrame, domains: list[str], names
     return powers.select(*cells.columns, F.transform("logs", lambda x: x / whole).alias("m"))
 
 
-def _rate(steps: list[list[float]], domains: int) -> Column:
-    """The rate of a cell after the gradient steps so far, and the point from which the next step goes."""
+def _rate(steps: list[list[float]], domains: int, fixed: Column) -> Column:
+    """The rate of a cell after the gradient steps so far, and the point from which the next step goes; one for ``fixed`` cells."""
     start = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
     if not steps:
         return start
@@ -135,10 +136,12 @@ def _rate(steps: list[list[float]], domains: int) -> Column:
         rate = F.greatest(state["ahead"] - slope, F.lit(0.0))
         return F.struct(rate.alias("rate"), (rate + F.get(step, F.lit(domains)) * (rate - state["rate"])).alias("ahead"))
 
-    return F.aggregate(F.lit(steps), start, move)
+    return F.when(fixed, start).otherwise(F.aggregate(F.lit(steps), start, move))
 
 
-def _fit(cells: DataFrame, targets: dict[str, float], whole: str | None, budget: float | None, iterations: int) -> list[list[float]]:
+def _fit(
+    cells: DataFrame, targets: dict[str, float], whole: str | None, fixed: Column, budget: float | None, iterations: int
+) -> list[list[float]]:
     """The gradient steps: one slope per domain and the momentum."""
     shares = [share / sum(targets.values()) for share in targets.values()]
     k = len(shares)
@@ -155,7 +158,7 @@ def _fit(cells: DataFrame, targets: dict[str, float], whole: str | None, budget:
     wanted = budget if budget is not None else able.get(whole) or min(able.values(), default=total)
     steps: list[list[float]] = []
     for turn in range(iterations):
-        now = totals(_rate(steps, k)["ahead"])
+        now = totals(_rate(steps, k, fixed)["ahead"])
         # tokens are the metric of the rates, in which the Lipschitz constant is at most one
         slopes = [(n - s * wanted) / total for n, s in zip(now, shares)]
         if max(map(abs, slopes)) < 1e-5:
@@ -183,7 +186,8 @@ def fit_rates(
     cells = own.groupBy("cell", *names).agg(F.sum("n_tokens").alias("tokens"))
     cells = memberships(cells, labelled.where(half == 1), domains, names)
     cells = cut_lineage(cells.select("cell", "tokens", "m"), "mix-cells")
-    rate = _rate(_fit(cells, targets, whole, budget, iterations), len(domains))["rate"]
+    fixed = F.lit(False) if whole is None else F.get("m", F.lit(domains.index(whole))) >= F.array_max("m")
+    rate = _rate(_fit(cells, targets, whole, fixed, budget, iterations), len(domains), fixed)["rate"]
     fitted = cells.select("cell", "m", rate.alias("rate"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))).alias("salt"))
     salted = own.withColumn("salt", F.floor(F.col("draw") * SPREAD))
     joined = salted.join(cut_lineage(fitted, "mix-rates"), ["cell", "salt"])

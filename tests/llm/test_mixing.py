@@ -111,6 +111,7 @@ def test_whole_domain_stays(spark, docs):
     expected = [sum(f * r.n_tokens * r.m_good for r in found) for f in (1, 0)]
     assert sum(r.rate * r.n_tokens * r.m_good for r in found) == pytest.approx(expected[0], rel=0.05)
     assert sum(r.rate * r.n_tokens * r.m_poor for r in found) == pytest.approx(expected[0], rel=0.1)
+    assert all(r.rate == 1 and r.copies == 1 for r in found if r.m_good >= r.m_poor)
 
 
 def test_features(docs):

@@ -72,7 +72,7 @@ def test_token_files(stages):
 
 def test_registered():
     assert llm_queries().keys() <= __spark_entry__.queries().keys() and llm_sql().keys() <= llm_queries().keys()
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in llm_queries()} - {"pipeline"}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in llm_queries()} - {"pipeline"}
 
 
 @pytest.mark.parametrize("name", llm_sql())
