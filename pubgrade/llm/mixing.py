@@ -12,7 +12,8 @@ one Spark aggregation over the cells, and only one number per domain comes back.
 
 By default the total is the largest for which no domain needs repetition; with ``whole`` it
 is the one for which that domain stays as it is, and cells that most likely belong to it have
-the rate one, so that none of its documents is lost to a draw or repeated. A document is copied floor(rate) times and
+the rate one, so that none of its documents is lost to a draw or repeated. ``most`` bounds the rates: with one nothing
+is repeated, and a domain with too few tokens stays below its target. A document is copied floor(rate) times and
 once more with the chance of the rest, drawn by a hash of its id and text.
 
 Rows (``fit_rates``): doc_id, n_tokens (words), one membership column per domain
@@ -125,22 +126,22 @@ def memberships(cells: DataFrame, labelled: DataFrame, domains: list[str], names
     return powers.select(*cells.columns, F.transform("logs", lambda x: x / whole).alias("m"))
 
 
-def _rate(steps: list[list[float]], domains: int, fixed: Column) -> Column:
-    """The rate of a cell after the gradient steps so far, and the point from which the next step goes; one for ``fixed`` cells."""
+def _rate(steps: list[list[float]], domains: int, fixed: Column, most: float) -> Column:
+    """The rate of a cell after the gradient steps so far, up to ``most``, and the point from which the next step goes; one for ``fixed`` cells."""
     start = F.struct(F.lit(1.0).alias("rate"), F.lit(1.0).alias("ahead"))
     if not steps:
         return start
 
     def move(state: Column, step: Column) -> Column:
         slope = sum((F.get("m", F.lit(k)) * F.get(step, F.lit(k)) for k in range(domains)), F.lit(0.0))
-        rate = F.greatest(state["ahead"] - slope, F.lit(0.0))
+        rate = F.least(F.greatest(state["ahead"] - slope, F.lit(0.0)), F.lit(most))
         return F.struct(rate.alias("rate"), (rate + F.get(step, F.lit(domains)) * (rate - state["rate"])).alias("ahead"))
 
     return F.when(fixed, start).otherwise(F.aggregate(F.lit(steps), start, move))
 
 
 def _fit(
-    cells: DataFrame, targets: dict[str, float], whole: str | None, fixed: Column, budget: float | None, iterations: int
+    cells: DataFrame, targets: dict[str, float], whole: str | None, fixed: Column, budget: float | None, iterations: int, most: float
 ) -> list[list[float]]:
     """The gradient steps: one slope per domain and the momentum."""
     shares = [share / sum(targets.values()) for share in targets.values()]
@@ -158,7 +159,7 @@ def _fit(
     wanted = budget if budget is not None else able.get(whole) or min(able.values(), default=total)
     steps: list[list[float]] = []
     for turn in range(iterations):
-        now = totals(_rate(steps, k, fixed)["ahead"])
+        now = totals(_rate(steps, k, fixed, most)["ahead"])
         # tokens are the metric of the rates, in which the Lipschitz constant is at most one
         slopes = [(n - s * wanted) / total for n, s in zip(now, shares)]
         if max(map(abs, slopes)) < 1e-5:
@@ -169,7 +170,7 @@ def _fit(
 
 def fit_rates(
     docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, domain: Column | None = None, whole: str | None = None,
-    budget: float | None = None, iterations: int = ITERATIONS,
+    budget: float | None = None, iterations: int = ITERATIONS, most: float = math.inf,
 ) -> DataFrame:
     """One row per document; see the module's text. ``budget`` is the wanted number of tokens."""
     targets = targets or TARGETS
@@ -187,7 +188,7 @@ def fit_rates(
     cells = memberships(cells, labelled.where(half == 1), domains, names)
     cells = cut_lineage(cells.select("cell", "tokens", "m"), "mix-cells")
     fixed = F.lit(False) if whole is None else F.get("m", F.lit(domains.index(whole))) >= F.array_max("m")
-    rate = _rate(_fit(cells, targets, whole, fixed, budget, iterations), len(domains), fixed)["rate"]
+    rate = _rate(_fit(cells, targets, whole, fixed, budget, iterations, most), len(domains), fixed, most)["rate"]
     fitted = cells.select("cell", "m", rate.alias("rate"), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SPREAD - 1).cast("long"))).alias("salt"))
     salted = own.withColumn("salt", F.floor(F.col("draw") * SPREAD))
     joined = salted.join(cut_lineage(fitted, "mix-rates"), ["cell", "salt"])
@@ -196,11 +197,12 @@ def fit_rates(
 
 
 def mix(
-    docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, domain: Column | None = None, whole: str | None = None
-) -> DataFrame:
+    docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None, domain: Column | None = None, whole: str | None = None,
+    most: float = math.inf,
+) -> DataFrame:
     """``docs`` with each row as often as its copies say, all columns kept."""
     d, copies, draw, key = (fresh_name(docs, x) for x in ("d", "copies", "draw", "key"))
-    rates = fit_rates(docs, labels, targets, domain, whole)
+    rates = fit_rates(docs, labels, targets, domain, whole, most=most)
     # equal ids and texts have equal draws, so one of equal rows decides for all
     rates = rates.select(F.col("doc_id").alias(d), F.col("draw").alias(draw), F.col("copies").alias(copies)).distinct()
     drawn = docs.withColumn(key, _draw())

@@ -112,6 +112,8 @@ def test_whole_domain_stays(spark, docs):
     assert sum(r.rate * r.n_tokens * r.m_good for r in found) == pytest.approx(expected[0], rel=0.05)
     assert sum(r.rate * r.n_tokens * r.m_poor for r in found) == pytest.approx(expected[0], rel=0.1)
     assert all(r.rate == 1 and r.copies == 1 for r in found if r.m_good >= r.m_poor)
+    bounded = mixing.fit_rates(df, known, {"good": 0.5, "poor": 0.5}, mixing.quality_domain(), whole="good", most=1.0).collect()
+    assert max(r.rate for r in bounded) == 1 and max(r.copies for r in bounded) == 1
 
 
 def test_features(docs):
