@@ -28,7 +28,7 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.mix(docs, table(spark, sf_dir, "labels"), TARGETS, mixing.quality_domain(), whole="good")
+    return mixing.mix(docs, table(spark, sf_dir, "labels"), TARGETS, mixing.quality_domain(), whole="good", most=1.0)
 
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
