@@ -159,6 +159,11 @@ def state_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """The rows dealt evenly over tasks: a small file holds many rows, and each becomes a long record."""
+    return df.hint("rebalance")
+
+
 def _element(tag: str, value: Column) -> Column:
     """XML element of a value, or nothing for NULL."""
     escaped = F.replace(F.replace(F.replace(value, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
@@ -198,14 +203,14 @@ def person_members(persons: DataFrame) -> DataFrame:
 
 
 def extract_xml_persons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    persons = records.extract_persons(person_members(spark_view(spark, sf_dir, "v_raw_persons")))
+    persons = records.extract_persons(person_members(_spread(spark_view(spark, sf_dir, "v_raw_persons"))))
     jobs = persons.select("id", "firstName", "lastName", "country", F.inline("affiliations"))
     return jobs.select("id", "firstName", "lastName", "country", "startYear", "role", "orgName", "orgID", "orgIDType")
 
 
 def extract_xml_damaged(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The record of every country's person is cut off."""
-    persons = spark_view(spark, sf_dir, "v_raw_persons")
+    persons = _spread(spark_view(spark, sf_dir, "v_raw_persons"))
     members = person_members(persons).withColumn("own", F.col("xml").contains("<address:country>"))
     cut = F.when(F.col("own"), F.substring("xml", F.lit(1), F.char_length("xml") - 30)).otherwise(F.col("xml"))
     members = members.select("path", cut.alias("xml"))
@@ -251,7 +256,7 @@ def work_members(works: DataFrame) -> DataFrame:
 
 
 def extract_xml_works(spark: SparkSession, sf_dir: str) -> DataFrame:
-    members = work_members(spark_view(spark, sf_dir, "v_raw_works"))
+    members = work_members(_spread(spark_view(spark, sf_dir, "v_raw_works")))
     return flat_works(extract.flatten_works(records.extract_work_records(members)).drop("_authors"))
 
 

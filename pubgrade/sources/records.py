@@ -68,16 +68,26 @@ def read_members(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     )
 
 
+def _once(df: DataFrame, value: Column, name: str) -> DataFrame:
+    """``df`` with a costly value as ``name``, computed once per row.
+
+    The filters and columns that use it would each repeat a plain column's expression;
+    they cannot move below a generator of one row.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def parse_records(members: DataFrame, record: str, damaged: str = "drop") -> DataFrame:
     """``members`` with the parsed record as ``r``.
 
     Records that are no complete XML are left out ("drop"), are all that is returned,
-    as they came ("only"), or raise ("fail").
+    as they came ("only"), or raise ("fail"). Every record is parsed once, whatever is
+    asked of ``r`` afterwards.
     """
     if damaged not in ("drop", "only", "fail"):
         raise ValueError(f"damaged must be drop, only or fail, not {damaged}")
     options = _XML | {"columnNameOfCorruptRecord": DAMAGED, "mode": "FAILFAST" if damaged == "fail" else "PERMISSIVE"}
-    parsed = members.withColumn("r", F.from_xml("xml", f"{record.rstrip()}, `{DAMAGED}` string", options))
+    parsed = _once(members, F.from_xml("xml", f"{record.rstrip()}, `{DAMAGED}` string", options), "r")
     broken = F.col("r").isNull() | F.col(f"r.{DAMAGED}").isNotNull()
     return parsed.where(broken).select(members.columns) if damaged == "only" else parsed.where(~broken)
 
@@ -276,7 +286,7 @@ def read_large_items(spark: SparkSession, paths: str | list[str], damaged: str =
         raise ValueError(f"damaged must be drop, only or fail, not {damaged}")
     schema = T.StructType([*T.StructType.fromDDL(f"i {ITEM}")["i"].dataType, T.StructField(DAMAGED, T.StringType())])
     options = {"columnNameOfCorruptRecord": DAMAGED, "mode": "FAILFAST" if damaged == "fail" else "PERMISSIVE"}
-    parsed = split_items(spark, paths).withColumn("i", F.from_json("json", schema, options))
+    parsed = _once(split_items(spark, paths), F.from_json("json", schema, options), "i")
     broken = F.col("i").isNull() | F.col(f"i.{DAMAGED}").isNotNull()
     return parsed.where(broken).select("json") if damaged == "only" else parsed.where(~broken).select("i.*").drop(DAMAGED)
 

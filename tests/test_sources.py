@@ -194,6 +194,17 @@ def test_legal_entities(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_records_are_parsed_once(spark, tmp_path):
+    """Not again by every filter and column that uses the record."""
+    members = spark.range(3).selectExpr("concat('summaries/', id, '.xml') as path", "concat('<r>', id, '</r>') as xml")
+    jobs = records.extract_persons(members).select("id", F.inline("affiliations"))
+    (tmp_path / "items.json").write_text('{"items": [{"DOI": "10.1/1", "author": [{"given": "A", "family": "B"}]}]}')
+    authors = records.flatten_items(records.read_large_items(spark, str(tmp_path))).select("doi", F.inline("authors"))
+    for df, parser in ((jobs, "from_xml("), (authors, "from_json(")):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count(parser) == 1
+
+
 def test_items(spark, tmp_path):
     items = [
         {"DOI": "10.1/a", "type": "book", "title": ["T", "U"], "ISBN": ["1", "2"], "URL": "http://u",
