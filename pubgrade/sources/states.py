@@ -9,7 +9,9 @@ written last, so a state of which a part is missing is refused, not read.
 """
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,14 +60,22 @@ def stored_entities(spark: SparkSession, root: str, chain: str) -> list[str] | N
 
 
 def write_state(root: str, chain: str, entities: dict[str, DataFrame]) -> None:
-    """Writes a state, or adds entities to it or replaces them."""
+    """Writes a state, or adds entities to it or replaces them.
+
+    All entities are written at the same time: small ones have few tasks, which
+    would leave the cluster idle one after the other.
+    """
     if not entities:
         raise ValueError("a state needs at least one entity")
     spark = next(iter(entities.values())).sparkSession
     _, names = _read_list(spark, root, chain)
     _write_list(spark, root, chain, None)
-    for name, df in entities.items():
-        df.write.mode("overwrite").parquet(f"{root}/{chain}/{name}")
+
+    def write(name: str) -> None:
+        entities[name].write.mode("overwrite").parquet(f"{root}/{chain}/{name}")
+
+    with ThreadPoolExecutor(len(entities)) as pool:
+        list(pool.map(inheritable_thread_target(spark)(write), entities))
     _write_list(spark, root, chain, sorted({*names, *entities}))
 
 

@@ -1,5 +1,6 @@
 import gzip
 import json
+import threading
 from types import SimpleNamespace
 
 import pytest
@@ -60,6 +61,15 @@ def test_states(spark, frame, tmp_path):
     assert states.read_entity(spark, root, "initial", "works").count() == 2
 
 
+def test_entities_are_written_at_the_same_time(frame, tmp_path, monkeypatch):
+    both, entities = threading.Barrier(2), {name: frame(name, {}) for name in ("works", "persons")}
+    writer = type(entities["works"].write)
+    plain = writer.parquet
+    monkeypatch.setattr(writer, "parquet", lambda self, path: (both.wait(20), plain(self, path)))
+    states.write_state(str(tmp_path), states.INITIAL, entities)
+    assert {name: entities[name].count() for name in entities} == {"works": 1, "persons": 1}
+
+
 def test_half_written_state_is_refused(spark, frame, tmp_path):
     works = frame("works", {"title": "t"})
     broken = frame("persons", {"id": "1"}).select("*", F.raise_error(F.lit("stop")).alias("x"))
