@@ -19,6 +19,11 @@ from pyspark.sql import functions as F
 from pubgrade import rules
 
 _FROM_CYRILLIC = "[\u0410-\uffff]"
+#: TEXT_NOISE, where a letter or digit costs one test: only NOT_AVAILABLE begins with one.
+_GUARDED_NOISE = (
+    rf"(?=[^a-zA-Z0-9])(?:{rules.TAG}|{rules.LEADING_NOISE}|{rules.TRAILING_NOISE}|{rules.DOUBLE_BLANK})|{rules.NOT_AVAILABLE}"
+)
+_REVERSED_TRAILING = "^" + rules.TRAILING_NOISE.removesuffix("$")
 
 
 def is_ascii(text: Column) -> Column:
@@ -85,8 +90,8 @@ def strip_noise(df: DataFrame, titles: list[str], abstracts: list[str]) -> DataF
     between them. What follows a label is no longer the start of the text, so noise
     there stays.
     """
-    patterns = {c: f"{rules.TEXT_NOISE}|{rules.LINE_BREAKS}" for c in titles}
-    patterns |= {c: f"{rules.ABSTRACT_LABEL}|{rules.TEXT_NOISE}" for c in abstracts}
+    patterns = {c: f"{_GUARDED_NOISE}|{rules.LINE_BREAKS}" for c in titles}
+    patterns |= {c: f"{rules.ABSTRACT_LABEL}|{_GUARDED_NOISE}" for c in abstracts}
     removed = {c: [rules.DOUBLE_BLANK, "\n", "\r", "\t"] for c in titles} | {c: [rules.DOUBLE_BLANK] for c in abstracts}
 
     def step(change: Callable[[str, Column, Column], Column]) -> None:
@@ -113,7 +118,9 @@ def strip_noise(df: DataFrame, titles: list[str], abstracts: list[str]) -> DataF
 
     def trailing(column: str, value: Column, kind: Column) -> Column:
         noisy = (kind != "mixed") & _last(value).rlike(rules.TRAILING_NOISE)
-        return F.when(noisy, F.regexp_replace(value, rules.TRAILING_NOISE, "")).otherwise(value)
+        # from the end, where one try is enough; from the start the pattern tries every run of signs
+        stripped = F.reverse(F.regexp_replace(F.reverse(value), _REVERSED_TRAILING, ""))
+        return F.when(noisy, stripped).otherwise(value)
 
     def inner(column: str, value: Column, kind: Column) -> Column:
         changed = value
