@@ -174,7 +174,7 @@ def _best(found: DataFrame) -> DataFrame:
 #: Signs that keep a word out of anchors: there its form may depend on the template.
 _ODD = rf"[.,;:!?)<>{SIGNS}]"
 _ANCHOR_SIZES = (4, 2, 1)
-#: Bits of the filter of anchors: it is a constant of half a megabyte in the plan, whatever the benchmark's size.
+#: Bits of the filter of anchors: half a megabyte, whatever the benchmark's size.
 FILTER_BITS = 1 << 22
 
 
@@ -258,14 +258,17 @@ def _filter_bits(hash_: Column) -> list[Column]:
 
 
 def _filter(anchors: DataFrame) -> Column:
-    """A Bloom filter of the anchors as an array constant, 64 bits a number; at most FILTER_BITS / 64 numbers come to the driver."""
+    """A Bloom filter of the anchors as an array, 64 bits a number, that Spark looks up once.
+
+    A scalar subquery on a stored row: a constant would stand in every plan, its text and each task
+    as boxed numbers, once for every place that uses it.
+    """
     bits = anchors.select(F.explode(F.array(*_filter_bits(F.col("hash")))).alias("bit"))
-    numbers = bits.groupBy(F.expr("bit div 64").alias("at")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits"))
-    values = [0] * (FILTER_BITS // 64)
-    for row in numbers.collect():
-        values[row["at"]] = row["bits"]
-    # folds to one constant, where a list would be an expression for each number
-    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+    own = bits.select(F.expr("bit div 64").alias("at"), F.expr("shiftleft(1L, cast(bit % 64 as int))").alias("bits"))
+    none = anchors.sparkSession.range(FILTER_BITS // 64).select(F.col("id").alias("at"), F.lit(0).cast("long").alias("bits"))
+    numbers = own.unionByName(none).groupBy("at").agg(F.bit_or("bits").alias("bits"))
+    row = numbers.agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "bits"))), lambda x: x["bits"]).alias("bits"))
+    return cut_lineage(row, "leak-filter").scalar()
 
 
 def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -284,10 +287,11 @@ def _candidates(docs: DataFrame, items: DataFrame, least: int, broadcast_windows
     sizes = {row["size"]: row["n"] for row in anchors.groupBy("size").agg(F.count("*").alias("n")).collect()}
     if None in sizes or sum(sizes.values()) > broadcast_windows:
         return keyed
+    if not sizes:
+        return keyed.where("false")
     core = F.transform(_raw_words(F.translate("text", SIGNS, " " * len(SIGNS))), lambda w: F.xxhash64(w))
-    bits = _filter(anchors)
 
-    def known(hash_: Column) -> Column:
+    def known(hash_: Column, bits: Column) -> Column:
         first, second = [F.getbit(F.get(bits, F.shiftright(bit, 6).cast("int")), bit.bitwiseAND(F.lit(63)).cast("int")) == 1 for bit in _filter_bits(hash_)]
         return first & second
 
@@ -297,8 +301,8 @@ def _candidates(docs: DataFrame, items: DataFrame, least: int, broadcast_windows
     def fours(h2: Column) -> Column:
         return F.zip_with(h2, F.slice(h2, 3, F.size(h2)), lambda x, y: F.xxhash64(x, y))
 
-    def hits(h1: Column, runs: Column, size: int) -> Column:
-        places = F.filter(F.transform(runs, lambda h, i: F.when(known(h), i)), lambda i: i.isNotNull())
+    def hits(h1: Column, runs: Column, size: int, bits: Column) -> Column:
+        places = F.filter(F.transform(runs, lambda h, i: F.when(known(h, bits), i)), lambda i: i.isNotNull())
 
         def around(i: Column) -> Column:
             near = F.transform(F.sequence(F.lit(1 - WINDOW), F.lit(WINDOW - 1)), lambda d: F.get(h1, i + d))
@@ -306,22 +310,21 @@ def _candidates(docs: DataFrame, items: DataFrame, least: int, broadcast_windows
 
         return F.transform(places, around)
 
-    def all_hits(h1: Column) -> Column:
-        own = [] if 1 not in sizes else [hits(h1, h1, 1)]
+    def all_hits(h1: Column, bits: Column) -> Column:
+        own = [] if 1 not in sizes else [hits(h1, h1, 1, bits)]
         if not {2, 4} & set(sizes):
             return F.concat(*own)
 
         def of_pairs(h2: Column) -> Column:
-            more = [] if 2 not in sizes else [hits(h1, h2, 2)]
-            last = [] if 4 not in sizes else [_bound(fours(h2), lambda h4: hits(h1, h4, 4))]
+            more = [] if 2 not in sizes else [hits(h1, h2, 2, bits)]
+            last = [] if 4 not in sizes else [_bound(fours(h2), lambda h4: hits(h1, h4, 4, bits))]
             return F.concat(*own, *more, *last)
 
         return _bound(pairs(h1), of_pairs)
 
-    if not sizes:
-        return keyed.where("false")
     # one expression that computes each step once, and twice for the few documents that are kept
-    held = keyed.withColumn("hits", _bound(core, all_hits)).where(F.size("hits") > 0)
+    hit = _bound(core, lambda h1: _bound(F.col("bits"), lambda bits: all_hits(h1, bits)))
+    held = keyed.withColumn("bits", _filter(anchors)).withColumn("hits", hit).drop("bits").where(F.size("hits") > 0)
     held = cut_lineage(held, "leak-texts")
     placed = held.select("doc_id", "key", F.explode("hits").alias("hit")).select("doc_id", "key", "hit.*")
     found = placed.join(F.broadcast(anchors), ["hash", "size"])

@@ -94,3 +94,17 @@ def test_items_without_template_windows(spark, docs, limit):
     found = {(r.doc_id, r.item_id, r.exact) for r in decontaminate.find_leaks(df, items, broadcast_windows=limit).collect()}
     assert found == {(i, i, True) for i in range(4)} | {(20, 0, True)}
     assert sorted(r.doc_id for r in decontaminate.drop_leaks(df, items).collect()) == [21, 22, 23, 24, 30]
+
+
+def test_plans_hold_no_filter(docs, items, monkeypatch):
+    """The filter of anchors is looked up, as a constant it filled plans and the driver's memory."""
+    store, sizes = decontaminate.cut_lineage, []
+
+    def measured(df, name):
+        sizes.append(len(df._jdf.queryExecution().toString()))
+        return store(df, name)
+
+    monkeypatch.setattr(decontaminate, "cut_lineage", measured)
+    found = decontaminate.find_leaks(docs(*DOCS), items).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(10, 1), (11, 1), (None, 1)}
+    assert max(sizes) < 200_000
